@@ -38,13 +38,14 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
         ]
     )
     brackets = sketch.select(*by, "_n", F.inline(wanted))
-    # The rank one past the position is needed too; it is the smallest value above the bracket.
+    # A wanted rank can lie one past either end of the bracket: its neighbours are kept.
     joined = rows.join(brackets, by) if by else rows.join(F.broadcast(brackets))
     below = F.col("lo").isNotNull() & (F.col("_v") < F.col("lo"))
     above = F.col("hi").isNotNull() & (F.col("_v") > F.col("hi"))
     outside = joined.groupBy(*by, "p").agg(
         F.max("_n").alias("_n"),
         F.coalesce(F.sum(F.when(below, F.col("_c"))), F.lit(0)).alias("_below"),
+        F.max(F.when(below, F.col("_v"))).alias("_prev"),
         F.min(F.when(above, F.col("_v"))).alias("_next"),
     )
     inside = joined.where(~below & ~above).select(*by, "p", "_v", "_c")
@@ -59,8 +60,11 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     left_rank, right_rank = F.floor("_pos") + 1, F.ceil("_pos") + 1
     hit = lambda r: r.between(F.col("_lo_rank"), F.col("_hi_rank"))
     picked = ranked.groupBy(*by, "p").agg(
-        F.max(F.when(hit(left_rank), F.col("_v"))).alias("_a"),
-        F.coalesce(F.max(F.when(hit(right_rank), F.col("_v"))), F.first("_next")).alias("_b"),
+        F.coalesce(F.max(F.when(hit(left_rank), F.col("_v"))), F.first("_prev")).alias("_a"),
+        F.coalesce(
+            F.max(F.when(hit(right_rank), F.col("_v"))),
+            F.first(F.when(right_rank <= F.col("_below"), F.col("_prev")).otherwise(F.col("_next"))),
+        ).alias("_b"),
         F.first("_pos").alias("_pos"),
     )
     share = F.col("_pos") - F.floor("_pos")

@@ -123,9 +123,10 @@ def r2_bins(scores: DataFrame, r2: str = "r2") -> DataFrame:
     label = F
     for upper, name in R2_BINS:
         label = label.when(F.col(r2) <= upper, name)
-    counts = [F.count(F.when(label == name, 1)).alias(name) for _, name in R2_BINS]
-    one = scores.agg(*counts)
-    return one.unpivot([], [name for _, name in R2_BINS], "bin", "n")
+    rows = [
+        F.struct(F.lit(name).alias("bin"), F.count(F.when(label == name, 1)).alias("n")) for _, name in R2_BINS
+    ]
+    return scores.agg(F.array(*rows).alias("bins")).select(F.inline("bins"))
 
 
 def histogram(df: DataFrame, value: str, by: list[str], bins: int = 20) -> DataFrame:

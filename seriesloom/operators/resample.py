@@ -30,6 +30,29 @@ def resample(df: DataFrame, spec: SeriesSpec, rule: str, measures: list[str], ho
     return df.groupBy(*spec.partition, label).agg(*[agg(m) for m in measures])
 
 
+def stack_grains(df: DataFrame, spec: SeriesSpec, measures: list[str], grains: dict[str, str | None]) -> DataFrame:
+    """Daily rows and their roll-ups in one pass, told apart by a ``grain`` column.
+
+    Every row is emitted once per grain with the label of its period and all grains
+    are summed in one aggregation. When the rows are already partitioned by series
+    this needs no shuffle. A rule of None keeps the rows as they are, missing values
+    included; in the roll-ups a missing value counts as 0.
+    """
+    labels = F.array(
+        *[
+            F.struct(
+                F.lit(grain).alias("grain"), (spec.t() if rule is None else LABELS[rule](spec.t())).alias("_label")
+            )
+            for grain, rule in grains.items()
+        ]
+    )
+    kept = [g for g, rule in grains.items() if rule is None]
+    plain = F.col("grain").isin(*kept) if kept else F.lit(False)
+    rows = df.select(*spec.partition, *measures, F.inline(labels))
+    sums = [F.when(plain, F.sum(m)).otherwise(F.coalesce(F.sum(m), F.lit(0.0))).alias(m) for m in measures]
+    return rows.groupBy(*spec.partition, "grain", "_label").agg(*sums).withColumnRenamed("_label", spec.time)
+
+
 def shifted_resample(df: DataFrame, spec: SeriesSpec, rule: str, measure: str, rows: int) -> DataFrame:
     """Roll-up of the measure moved down by a number of rows first."""
     moved = df.withColumn(measure, F.lag(measure, rows).over(spec.window()))

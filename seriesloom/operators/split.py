@@ -63,7 +63,7 @@ def fraction_date_split(df: DataFrame, spec: SeriesSpec, train_share: float = 0.
     sides = F.when(position < cut, F.array(F.lit("train"))).when(
         position == cut, F.array(F.lit("train"), F.lit("test"))
     )
-    return df.withColumn("split", F.explode(sides.otherwise(F.array(F.lit("test")))))
+    return df.withColumn("split", sides.otherwise(F.array(F.lit("test")))).withColumn("split", F.explode("split"))
 
 
 def last_n_split(df: DataFrame, spec: SeriesSpec, n: int = 12) -> DataFrame:

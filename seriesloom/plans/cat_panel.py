@@ -313,7 +313,7 @@ def cluster_file(spark, sf):
 @query(
     "join_cluster",
     """SELECT p.p_partkey, c.cluster FROM part p LEFT JOIN cluster_file c
-ON CAST(p.p_partkey AS VARCHAR) = regexp_replace(c.id, '^0+', '')""",
+ON regexp_replace(CAST(p.p_partkey AS VARCHAR), '^0+', '') = regexp_replace(c.id, '^0+', '')""",
 )
 def join_cluster(spark, sf):
     parts = tables.table(spark, sf, "part").select("p_partkey")

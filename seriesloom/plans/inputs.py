@@ -14,6 +14,7 @@ from seriesloom.functions.text import INDICATORS
 from seriesloom.operators import align, lumpy, resample, score, split
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
+from seriesloom.session import cut_lineage
 from seriesloom.sources import tables
 from seriesloom.spec import SeriesSpec
 
@@ -104,12 +105,9 @@ def naive_daily(spark: SparkSession, sf: str, lumpy_key: bool = True) -> DataFra
 
 def by_grain(pairs: DataFrame) -> DataFrame:
     """Daily pairs with their weekly and monthly sums, stacked with a grain column."""
-    measures = ["actual", "predicted"]
-    columns = ["series", "grain", "date", *measures]
-    frames = [pairs.withColumn("grain", F.lit("daily"))]
-    for grain, rule in (("weekly", "week_sun"), ("monthly", "month_end")):
-        frames.append(resample.resample(pairs, SPEC, rule, measures).withColumn("grain", F.lit(grain)))
-    return align.stack([f.select(*columns) for f in frames])
+    grains = {"daily": None, "weekly": "week_sun", "monthly": "month_end"}
+    stacked = resample.stack_grains(pairs, SPEC, ["actual", "predicted"], grains)
+    return stacked.select("series", "grain", "date", "actual", "predicted")
 
 
 def naive_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,6 +120,11 @@ def naive_scores(spark: SparkSession, sf: str) -> DataFrame:
     return score.score_main(pairs, ["series", "grain"])
 
 
+def naive_score_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The scores, materialised for summaries that read them several times."""
+    return cut_lineage(naive_scores(spark, sf))
+
+
 def scores_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly scores per series with its zero share and demand class as cluster."""
     monthly_scores = naive_scores(spark, sf).where(F.col("grain") == "monthly")
