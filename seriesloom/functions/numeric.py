@@ -62,7 +62,7 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def rounded(columns: dict[str, Column], digits: int = 4) -> list[Column]:
+def rounded(columns: dict[str, Column], digits: int = 6) -> list[Column]:
     """Named columns rounded, ready for ``select``."""
     return [F.round(c, digits).alias(n) for n, c in columns.items()]
 

@@ -126,9 +126,21 @@ GROUP_COLUMNS = [c for columns, _, _ in GROUPS for c in columns]
 
 
 def weight_groups(profile: DataFrame, keep: list[str] = ["series"]) -> DataFrame:
-    """Each feature group scaled in its own way and multiplied by its weight."""
-    scaled: dict[str, Column] = {}
+    """Each feature group scaled in its own way and multiplied by its weight.
+
+    The statistics of all groups come from one aggregation over the profiles.
+    """
+    stats = _column_stats(
+        profile,
+        GROUP_COLUMNS,
+        lambda c: F.struct(
+            F.min(c).alias("low"), F.max(c).alias("high"), F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")
+        ),
+    )
+    scaled = []
     for columns, kind, weight in GROUPS:
-        scale = scale_minmax if kind == "minmax" else scale_standard
-        scaled.update(scale(profile, list(columns), weight))
-    return profile.select(*keep, *[c.alias(n) for n, c in scaled.items()])
+        for c in columns:
+            s = stats[c]
+            origin, span = (s["low"], s["high"] - s["low"]) if kind == "minmax" else (s["mean"], s["sd"])
+            scaled.append(((F.col(c) - origin) / _one_if_zero(span) * F.lit(weight)).alias(c))
+    return profile.select(*keep, *scaled)

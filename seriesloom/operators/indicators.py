@@ -100,7 +100,13 @@ def recipe_table(external: DataFrame) -> DataFrame:
         for n, group in sizes.items()
         for s in sorted(group)
     }
-    return external.withColumns({**means, "Month": F.month("month"), "Quarter": F.quarter("month")})
+    return external.withColumns(means)
+
+
+def _recipe_value(name: str) -> Column:
+    if name in ("Month", "Quarter"):
+        return {"Month": F.month, "Quarter": F.quarter}[name]("month").cast("double")
+    return F.col(name).cast("double")
 
 
 def recipe_long(panel: DataFrame, features: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -112,7 +118,7 @@ def recipe_long(panel: DataFrame, features: DataFrame, cluster: str = "cluster")
                 F.col(cluster) == c,
                 F.array(
                     *[
-                        F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value"))
+                        F.struct(F.lit(n).alias("feature"), _recipe_value(n).alias("value"))
                         for n in recipe_columns(c)
                     ]
                 ),

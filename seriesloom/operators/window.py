@@ -182,7 +182,8 @@ def roll_cv_eps(value: Column, spec: SeriesSpec, windows: tuple[int, ...], name:
 
 def expanding(value: Column, spec: SeriesSpec, name: str, stats: tuple[str, ...] = ("mean", "std", "sum")) -> dict[str, Column]:
     """Statistics of all rows up to the current one."""
-    return _framed(value, spec.frame(Window.unboundedPreceding, 0), stats, name, "expanding")
+    grown = spec.frame(Window.unboundedPreceding, 0)
+    return {f"{name}_expanding_{s}": _STATS[s](value).over(grown) for s in stats}
 
 
 def roll_or_expand(

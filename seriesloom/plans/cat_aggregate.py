@@ -17,7 +17,7 @@ PROFILE = ("avg_monthly_demand", "demand_std", "demand_cv", "order_fulfillment",
 MEASURES = inp.MEASURES
 
 
-def rnd(df, keep: list[str], columns, digits: int = 4):
+def rnd(df, keep: list[str], columns, digits: int = 6):
     return df.select(*keep, *[F.round(c, digits).alias(c) for c in columns])
 
 
@@ -101,7 +101,7 @@ UNION ALL SELECT 'monthly', series, last_day(date), {r('avg(dispatched)')} FROM
 def resample_mean(spark, sf):
     panel = inp.filled_lumpy(spark, sf)
     one = lambda grain, rule: resample.resample(panel, inp.SPEC, rule, ["dispatched"], "mean").select(
-        F.lit(grain).alias("grain"), "series", "date", F.round("dispatched", 4).alias("dispatched")
+        F.lit(grain).alias("grain"), "series", "date", F.round("dispatched", 6).alias("dispatched")
     )
     return one("weekly", "week_sun").unionByName(one("monthly", "month_end"))
 
@@ -158,7 +158,7 @@ def complete_months(spark, sf):
 )
 def totals_error(spark, sf):
     out = resample.totals_error(inp.naive_pairs(spark, sf), ["grain"])
-    return out.withColumn("pct_error", F.round("pct_error", 4))
+    return out.withColumn("pct_error", F.round("pct_error", 6))
 
 
 # --- summaries over series ------------------------------------------------------------------
@@ -348,7 +348,7 @@ _BOX = {"q25": "quantile_cont({c}, 0.25)", "q50": "quantile_cont({c}, 0.5)", "q7
     ),
 )
 def box_stats(spark, sf):
-    long = cut_lineage(inp.labelled(spark, sf)).unpivot(["series", "cluster"], list(PROFILE), "metric", "value")
+    long = inp.labelled(spark, sf).unpivot(["series", "cluster"], list(PROFILE), "metric", "value")
     return rnd(report.box_stats(long, ["metric", "cluster"], "value"), ["metric", "cluster"], _BOX)
 
 

@@ -129,12 +129,12 @@ def guard_history(spark, sf):
 @query(
     "drop_nulls",
     """SELECT series, month, lag12, ICI FROM (SELECT m.series, m.month, lag(dispatched, 12) OVER (PARTITION BY m.series ORDER BY m.month) AS lag12,
-  round(e.ICI, 4) AS ICI FROM monthly m LEFT JOIN ext e ON m.month = e.month) WHERE lag12 IS NOT NULL AND ICI IS NOT NULL""",
+  round(e.ICI, 6) AS ICI FROM monthly m LEFT JOIN ext e ON m.month = e.month) WHERE lag12 IS NOT NULL AND ICI IS NOT NULL""",
 )
 def drop_nulls(spark, sf):
     joined = align.join_month(inp.monthly(spark, sf), inp.external(spark, sf))
     wide = joined.select(
-        "series", "month", F.lag("dispatched", 12).over(inp.MONTHLY.window()).alias("lag12"), F.round("ICI", 4).alias("ICI")
+        "series", "month", F.lag("dispatched", 12).over(inp.MONTHLY.window()).alias("lag12"), F.round("ICI", 6).alias("ICI")
     )
     return split.drop_nulls(wide, ["lag12", "ICI"])
 
@@ -156,7 +156,7 @@ def _ext(prefix: str = "e.") -> str:
 
 
 def rounded_ext(df, *keep):
-    return df.select(*keep, *[F.round(c, 4).alias(c) for c in IND])
+    return df.select(*keep, *[F.round(c, 6).alias(c) for c in IND])
 
 
 @query(
@@ -207,7 +207,7 @@ FROM filled f""",
 def asof_month_limit(spark, sf):
     by_day = align.month_to_days(ext_sparse(spark, sf), ["ECG_DESP", "ICI"])
     joined = align.join_days(inp.filled(spark, sf), by_day)
-    return joined.select("series", "date", "dispatched", *[F.round(c, 4).alias(c) for c in ("ECG_DESP", "ICI")])
+    return joined.select("series", "date", "dispatched", *[F.round(c, 6).alias(c) for c in ("ECG_DESP", "ICI")])
 
 
 @query(
@@ -218,7 +218,7 @@ ASOF LEFT JOIN (SELECT month, ICI FROM ext_sparse WHERE ICI IS NOT NULL) b ON f.
 )
 def asof_month(spark, sf):
     joined = align.asof_month(inp.filled(spark, sf), ext_sparse(spark, sf), ["ECG_DESP", "ICI"], inp.END)
-    return joined.select("series", "date", "dispatched", *[F.round(c, 4).alias(c) for c in ("ECG_DESP", "ICI")])
+    return joined.select("series", "date", "dispatched", *[F.round(c, 6).alias(c) for c in ("ECG_DESP", "ICI")])
 
 
 cte("ext_late", "SELECT month, ECG_DESP, ICI FROM ext WHERE month >= DATE '1995-06-01'")
@@ -235,7 +235,7 @@ def asof_mean_fill(spark, sf):
     full = align.asof_mean_fill(
         inp.filled(spark, sf).drop("split"), late, ["ECG_DESP", "ICI"], inp.END, inp.SPEC
     )
-    return full.select("series", "date", *[F.round(c, 4).alias(c) for c in ("ECG_DESP", "ICI")])
+    return full.select("series", "date", *[F.round(c, 6).alias(c) for c in ("ECG_DESP", "ICI")])
 
 
 @query(
@@ -251,7 +251,7 @@ def asof_week_lag(spark, sf):
     lags = [1, 2, 4, 8, 12]
     panel = inp.filled(spark, sf).drop("split", "ordered")
     wide = align.asof_week_lag(panel, inp.SPEC, lags, cal.week_ending_sunday(F.col("date")), "Demand_lag")
-    return wide.select("series", "date", *[F.round(f"Demand_lag_{k}w", 4).alias(f"Demand_lag_{k}w") for k in lags])
+    return wide.select("series", "date", *[F.round(f"Demand_lag_{k}w", 6).alias(f"Demand_lag_{k}w") for k in lags])
 
 
 cte(
@@ -300,13 +300,13 @@ def lookup_cluster(spark, sf):
 
 cte(
     "cluster_file",
-    "SELECT lpad(series, 9, '0') AS id, cluster FROM labelled WHERE order_fulfillment > 0.95",
+    "SELECT lpad(series, 9, '0') AS id, cluster FROM labelled WHERE order_fulfillment < 1.05",
 )
 
 
 def cluster_file(spark, sf):
-    """Assignments keyed by padded ids; series with low fulfilment are not in it."""
-    rows = inp.labelled(spark, sf).where("order_fulfillment > 0.95")
+    """Assignments keyed by padded ids; series that shipped more than was ordered in the period are not in it."""
+    rows = inp.labelled(spark, sf).where("order_fulfillment < 1.05")
     return rows.select(text.pad_id(F.col("series")).alias("id"), "cluster")
 
 
@@ -339,7 +339,7 @@ def compare_columns(spark, sf):
     series = ["Brand#1|SMALL", "Brand#2|SMALL"]
     long = score.to_long(inp.naive_scores(spark, sf).where("grain = 'daily'"))
     wide = align.compare_series(long, series)
-    return wide.select("metric", *[F.round(F.col(f"`{s}`"), 4).alias(s) for s in series])
+    return wide.select("metric", *[F.round(F.col(f"`{s}`"), 6).alias(s) for s in series])
 
 
 @query(
@@ -365,7 +365,7 @@ def union_splits(spark, sf):
 def all_series_plan(spark, sf):
     """Every series scored by one keyed plan, without a loop."""
     scores = inp.naive_scores(spark, sf).where("grain = 'daily'")
-    return scores.select("series", *[F.round(m, 4).alias(m) for m in ("rmse", "mae", "mape", "r2")])
+    return scores.select("series", *[F.round(m, 6).alias(m) for m in ("rmse", "mae", "mape", "r2")])
 
 
 @query(
@@ -389,6 +389,6 @@ FROM all_series GROUP BY 1)""",
 )
 def run_status(spark, sf):
     status = report.run_status(isolate_errors(spark, sf))
-    return status.withColumn("pct_success", F.round("pct_success", 4))
+    return status.withColumn("pct_success", F.round("pct_success", 6))
 
 

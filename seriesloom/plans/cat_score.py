@@ -178,7 +178,7 @@ def score_train_test(spark, sf):
 )
 def row_errors(spark, sf):
     out = score.row_errors(pairs(spark, sf))
-    return out.select("series", "grain", "date", "abs_error", F.round("pct_error", 4).alias("pct_error"), "residual")
+    return out.select("series", "grain", "date", "abs_error", F.round("pct_error", 6).alias("pct_error"), "residual")
 
 
 _RES = {

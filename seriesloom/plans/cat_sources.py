@@ -27,7 +27,7 @@ def number():
 
 
 def rounded_scores(df):
-    return df.select("series", "grain", "n", *[F.round(m, 4).alias(m) for m in SCORES])
+    return df.select("series", "grain", "n", *[F.round(m, 6).alias(m) for m in SCORES])
 
 
 def order_rows(spark, sf):
@@ -57,7 +57,7 @@ def src_external(spark, sf):
     ext = inp.external(spark, sf)
     ext.select(F.lower(F.date_format("month", "MMM-yy")).alias("DATE"), *text.INDICATORS).write.csv(path, header=True)
     back = files.read_external(spark, path)
-    return back.select("month", *[F.round(c, 4).alias(c) for c in text.INDICATORS])
+    return back.select("month", *[F.round(c, 6).alias(c) for c in text.INDICATORS])
 
 
 def monthly_files(spark, sf):
@@ -153,7 +153,7 @@ def sink_merged(spark, sf):
     merged = align.join_month(inp.monthly(spark, sf), inp.external(spark, sf))
     path = sinks.write_merged(merged, scratch_path(spark, "merged"))
     return spark.read.parquet(path).select(
-        "series", "month", "dispatched", "ordered", *[F.round(c, 4).alias(c) for c in text.INDICATORS]
+        "series", "month", "dispatched", "ordered", *[F.round(c, 6).alias(c) for c in text.INDICATORS]
     )
 
 
@@ -206,7 +206,8 @@ LEFT JOIN scores_labelled l ON s.series = l.series""",
 def sink_summary(spark, sf):
     scores = inp.naive_scores(spark, sf).drop("n")
     path = sinks.write_summary(scores, inp.scores_labelled(spark, sf), scratch_path(spark, "summary"))
-    return spark.read.parquet(path).select("series", "cluster", "grain", "metric", "value")
+    rows = spark.read.parquet(path)
+    return rows.select("series", "cluster", "grain", "metric", F.round("value", 6).alias("value"))
 
 
 # --- parsing and shaping ---------------------------------------------------------------
@@ -308,7 +309,7 @@ def select_features(spark, sf):
     chosen = shape.select_features(
         wide, ["series", "month"], prefixes=("Demand_",), contains=("ECG",), exclude=("Demand_roll_std_3",)
     )
-    return chosen.withColumn("Demand_roll_mean_3", F.round("Demand_roll_mean_3", 4))
+    return chosen.withColumn("Demand_roll_mean_3", F.round("Demand_roll_mean_3", 6))
 
 
 @query("select_numeric", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -322,7 +323,7 @@ def _log_text():
     parts = []
     for grain in text.LOG_GRAINS:
         g = grain.lower()
-        shown = {m: F.format_string("%.4f", F.col(f"{g}_{m.lower()}")) for m in text.LOG_METRICS}
+        shown = {m: F.format_string("%.6f", F.col(f"{g}_{m.lower()}")) for m in text.LOG_METRICS}
         lines = [
             F.lit(f"{grain} Metrics:\n"),
             *[
@@ -338,7 +339,7 @@ def _log_text():
         parts.append(F.concat(*lines))
     marks = [
         F.concat(
-            F.lit(f"{g.upper()}_R2="), F.coalesce(F.format_string("%.4f", F.col(f"{g.lower()}_r2")), F.lit("N/A")), F.lit("\n")
+            F.lit(f"{g.upper()}_R2="), F.coalesce(F.format_string("%.6f", F.col(f"{g.lower()}_r2")), F.lit("N/A")), F.lit("\n")
         )
         for g in text.LOG_GRAINS
     ]
@@ -349,13 +350,13 @@ def _sql_log():
     out = []
     for grain in text.LOG_GRAINS:
         g = grain.lower()
-        v = lambda m: f"coalesce(printf('%.4f', {g}_{m}), 'nan')"
+        v = lambda m: f"coalesce(printf('%.6f', {g}_{m}), 'nan')"
         out.append(
             f"'{grain} Metrics:' || chr(10) || 'RMSE: ' || {v('rmse')} || chr(10) || 'MAE: ' || {v('mae')} || chr(10) || "
             f"'MAPE: ' || {v('mape')} || '%' || chr(10) || 'R2 (correlation squared): ' || {v('r2')} || chr(10)"
         )
     marks = " || ".join(
-        f"'{g.upper()}_R2=' || coalesce(printf('%.4f', {g.lower()}_r2), 'N/A') || chr(10)" for g in text.LOG_GRAINS
+        f"'{g.upper()}_R2=' || coalesce(printf('%.6f', {g.lower()}_r2), 'N/A') || chr(10)" for g in text.LOG_GRAINS
     )
     return " || ".join(out) + f" || '{text.LOG_START}' || chr(10) || {marks} || '{text.LOG_END}'"
 

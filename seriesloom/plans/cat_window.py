@@ -41,9 +41,14 @@ def full(agg: str, c: str, n: int, start: int, end: int, part: str = P) -> str:
 AGG = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max", "var": "var_samp", "sum": "sum"}
 
 
-def daily_query(name: str, features: dict[str, str], build, digits: int = 4, ints: tuple[str, ...] = ()):
-    """Register features of the filled brand panel: SQL expressions and the function that builds the columns."""
-    select = [f'{e} AS "{n}"' if n in ints else f'{r(e, digits)} AS "{n}"' for n, e in features.items()]
+def daily_query(name: str, features: dict[str, str], build, ints: tuple[str, ...] = (), coarse: str = "-"):
+    """Register features of the filled brand panel: SQL expressions and the function that builds the columns.
+
+    ``ints`` are compared as they are; columns whose name contains ``coarse`` can be
+    huge (a division by almost zero) and keep two decimals.
+    """
+    digits = {n: 2 if coarse in n else 6 for n in features}
+    select = [f'{e} AS "{n}"' if n in ints else f'{r(e, digits[n])} AS "{n}"' for n, e in features.items()]
 
     @query(name, f"SELECT series, date, split, {', '.join(select)} FROM filled")
     def run(spark, sf):
@@ -51,7 +56,7 @@ def daily_query(name: str, features: dict[str, str], build, digits: int = 4, int
         if set(columns) != set(features):
             raise ValueError(f"{name}: {set(columns) ^ set(features)}")
         return inp.filled(spark, sf).select(
-            "series", "date", "split", *[c.alias(n) if n in ints else F.round(c, digits).alias(n) for n, c in columns.items()]
+            "series", "date", "split", *[c.alias(n) if n in ints else F.round(c, digits[n]).alias(n) for n, c in columns.items()]
         )
 
 
@@ -180,7 +185,7 @@ daily_query(
         },
     },
     lambda: win.roll_median(d(), inp.SPLIT, (2, 3, 4), "Demand"),
-    digits=2,
+    coarse="volatility",
 )
 daily_query(
     "roll_cv_eps",
@@ -313,14 +318,14 @@ def _fix_lag(sql: str) -> str:
 def ema_recursive(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "dispatched")
     out = recursive.ema(panel, inp.SPLIT, "dispatched", (7, 14, 30, 60), "Demand_ema")
-    return out.select("series", "date", "split", *[F.round(f"Demand_ema_{s}", 4).alias(f"Demand_ema_{s}") for s in (7, 14, 30, 60)])
+    return out.select("series", "date", "split", *[F.round(f"Demand_ema_{s}", 6).alias(f"Demand_ema_{s}") for s in (7, 14, 30, 60)])
 
 
 @query("ema_weighted", _fix_lag(_ema_sql((7, 14, 30, 60, 90), True, "EMA", "ordered", "0")))
 def ema_weighted(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "ordered")
     out = recursive.ema(panel, inp.SPLIT, "ordered", (7, 14, 30, 60, 90), "EMA", adjust=True, fill=0.0)
-    return out.select("series", "date", "split", *[F.round(f"EMA_{s}", 4).alias(f"EMA_{s}") for s in (7, 14, 30, 60, 90)])
+    return out.select("series", "date", "split", *[F.round(f"EMA_{s}", 6).alias(f"EMA_{s}") for s in (7, 14, 30, 60, 90)])
 
 
 cte(
@@ -341,7 +346,7 @@ FROM croston_steps b JOIN croston_steps x ON x.series = b.series AND x.split = b
 def croston(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "ordered")
     out = recursive.croston(panel, inp.SPLIT, "ordered")
-    return out.select("series", "date", "split", F.round("croston", 4).alias("croston"))
+    return out.select("series", "date", "split", F.round("croston", 6).alias("croston"))
 
 
 @query(
@@ -355,7 +360,7 @@ def croston_align(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "ordered")
     side = lambda s: panel.where(F.col("split") == s)
     out = recursive.croston_aligned(side("train"), side("test"), inp.SPEC, "ordered")
-    return out.select("series", "date", "actual", F.round("predicted", 4).alias("predicted"))
+    return out.select("series", "date", "actual", F.round("predicted", 6).alias("predicted"))
 
 
 # --- differences, ratios and year-over-year --------------------------------------------------------------
@@ -433,7 +438,7 @@ def momentum(spark, sf):
 )
 def roll_corr(spark, sf):
     c = win.roll_corr(F.col("TUAV"), F.col("ECG_DESP"), _Months, 6)
-    return inp.external(spark, sf).select("month", F.round(c, 4).alias("market_correlation"))
+    return inp.external(spark, sf).select("month", F.round(c, 6).alias("market_correlation"))
 
 
 cte(
@@ -458,7 +463,7 @@ cte(
 def direction_changes(spark, sf):
     panel = inp.filled(spark, sf)
     out = win.direction_changes(panel, inp.SPLIT, (2, 3, 4), "Demand", F.col("split") == "train")
-    return out.select("series", "date", "split", *[F.round(f"Demand_direction_{n}", 4).alias(f"Demand_direction_{n}") for n in (2, 3, 4)])
+    return out.select("series", "date", "split", *[F.round(f"Demand_direction_{n}", 6).alias(f"Demand_direction_{n}") for n in (2, 3, 4)])
 
 
 @query(
@@ -519,7 +524,7 @@ daily_query(
         **win.order_ratio_lags(o(), d(), inp.SPLIT, (1, 2, 3, 7), "Order"),
         **win.order_ratio_lags(o(), d(), inp.SPLIT, (1, 2, 3, 7), "Eps", 1e-6),
     },
-    digits=2,
+    coarse="Eps",
 )
 daily_query(
     "order_roll",
@@ -587,7 +592,7 @@ def ext_lag(spark, sf):
     ext = inp.external_day_lags(spark, sf)
     names = [c for c in ext.columns if c not in ("split", "date")]
     joined = align.join_days(inp.filled(spark, sf), ext, ("split",))
-    return joined.select("series", "date", "split", *[F.round(c, 4).alias(c) for c in names])
+    return joined.select("series", "date", "split", *[F.round(c, 6).alias(c) for c in names])
 
 
 @query(
@@ -610,7 +615,8 @@ _ROLLS = (3, 6, 9, 12, 18, 24)
             **{f"{c}_roll_{s}_{n}m": full(AGG[s], c, n, 1 - n, 0, X) for c in ("PIB_CO", "ICI") for n in _ROLLS for s in ("mean", "std")},
             **{f"shifted_{c}_roll_mean_{n}m": full("avg", c, n, -n, -1, X) for c in ("TUAV",) for n in (3, 6)},
             **{f"grown_{c}_roll_mean_{n}m": over(f"avg({c})", 1 - n, 0, X) for c in ("TUAV",) for n in (3, 6)},
-        }
+        },
+        7,
     )
     + " FROM ext",
 )
@@ -620,7 +626,7 @@ def ext_roll(spark, sf):
         **{f"shifted_{n}": c for n, c in indicators.ext_rolls(("TUAV",), (3, 6), shift=1, stats=("mean",)).items()},
         **{f"grown_{n}": c for n, c in indicators.ext_rolls(("TUAV",), (3, 6), full=False, stats=("mean",)).items()},
     }
-    return inp.external(spark, sf).select("month", *num.rounded(columns))
+    return inp.external(spark, sf).select("month", *num.rounded(columns, 7))
 
 
 cte("ext_daily", "SELECT f.series, f.date, e.TUAV FROM filled f ASOF LEFT JOIN ext e ON f.date >= e.month")
@@ -697,7 +703,7 @@ JOIN recipe_rows x ON x.month = m.month AND x.cluster = l.cluster""",
 def cluster_recipe(spark, sf):
     panel = inp.monthly(spark, sf).select("series", "month").join(brand_labelled(spark, sf), "series")
     long = indicators.recipe_long(panel, indicators.recipe_table(inp.external(spark, sf)))
-    return long.withColumn("value", F.round("value", 4))
+    return long.withColumn("value", F.round("value", 6))
 
 
 # --- inference-time shifts, naive and fills ---------------------------------------------------------------------
@@ -722,7 +728,7 @@ def _shifted(spark, sf, names, rows, when):
         {"Month": F.month("date").cast("double")},
     )
     out = win.infer_shift(base, inp.SPLIT, names, rows, when)
-    return out.select("series", "date", "split", *[F.round(n, 4).alias(n) for n in names])
+    return out.select("series", "date", "split", *[F.round(n, 6).alias(n) for n in names])
 
 
 @query(
@@ -751,7 +757,7 @@ def infer_shift_30(spark, sf):
 def carry_last(spark, sf):
     out = win.carry_last(inp.monthly_with_split(spark, sf), inp.MONTHLY, "ordered")
     names = [f"order_rolling_mean_{n}" for n in (3, 6)]
-    return out.select("series", "month", "ordered", *[f"order_lag_{k}" for k in (1, 2, 3)], *[F.round(n, 4).alias(n) for n in names])
+    return out.select("series", "month", "ordered", *[f"order_lag_{k}" for k in (1, 2, 3)], *[F.round(n, 6).alias(n) for n in names])
 
 
 @query(
@@ -783,7 +789,7 @@ def fill_chain(spark, sf):
         win.fill_forward_zero("x", inp.SPEC).alias("ffill_zero"),
         win.fill_forward("x", inp.SPEC).alias("ffill"),
         F.coalesce("x", F.lit(0.0)).alias("zero"),
-        F.round(win.fill_mean("x", "ordered", inp.SPEC), 4).alias("mean_fill"),
+        F.round(win.fill_mean("x", "ordered", inp.SPEC), 6).alias("mean_fill"),
     )
 
 
@@ -843,12 +849,12 @@ def cal_flags(spark, sf):
 )
 def cal_misc(spark, sf):
     columns = cal.misc(F.col("date"))
-    return inp.daily(spark, sf).select("series", "date", columns["WeekOfMonth"].alias("WeekOfMonth"), F.round(columns["YearFraction"], 4).alias("YearFraction"))
+    return inp.daily(spark, sf).select("series", "date", columns["WeekOfMonth"].alias("WeekOfMonth"), F.round(columns["YearFraction"], 6).alias("YearFraction"))
 
 
 @query(
     "num_guard",
-    f"""SELECT series, date, {r("CASE WHEN isinf(x) THEN NULL ELSE x END")} AS inf_null, CASE WHEN isinf(x) THEN 1.7976931348623157e308::DOUBLE ELSE round(x, 4) END AS inf_max,
+    f"""SELECT series, date, {r("CASE WHEN isinf(x) THEN NULL ELSE x END")} AS inf_null, CASE WHEN isinf(x) THEN 1.7976931348623157e308::DOUBLE ELSE round(x, 6) END AS inf_max,
   greatest(dispatched - ordered, 0.0) AS clamped, abs(dispatched - ordered) AS absolute, {r('sqrt(abs(dispatched - ordered))')} AS root,
   CAST(sign(dispatched - ordered) AS DOUBLE) + 0.0 AS signum, {r('ordered / 7', 1)} AS rounded
 FROM (SELECT *, CASE WHEN dispatched = 0 THEN 'Infinity'::DOUBLE ELSE ordered / dispatched END AS x FROM filled)""",
@@ -861,11 +867,11 @@ def num_guard(spark, sf):
     return rows.select(
         "series",
         "date",
-        F.round(num.inf_to_null(F.col("x")), 4).alias("inf_null"),
-        F.when(infinite, num.inf_to_max(F.col("x"))).otherwise(F.round("x", 4)).alias("inf_max"),
+        F.round(num.inf_to_null(F.col("x")), 6).alias("inf_null"),
+        F.when(infinite, num.inf_to_max(F.col("x"))).otherwise(F.round("x", 6)).alias("inf_max"),
         num.clamp_nonneg(gap).alias("clamped"),
         F.abs(gap).alias("absolute"),
-        F.round(F.sqrt(F.abs(gap)), 4).alias("root"),
+        F.round(F.sqrt(F.abs(gap)), 6).alias("root"),
         F.signum(gap).alias("signum"),
         F.round(o() / F.lit(7.0), 1).alias("rounded"),
     )

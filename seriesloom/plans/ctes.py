@@ -96,7 +96,7 @@ cte(
     """
 SELECT CAST(p.p_partkey AS VARCHAR) AS series, p.p_name AS series_name, CAST(date_trunc('month', m.date) AS DATE) AS month,
   sum(m.dispatched) AS dispatched, sum(m.ordered) AS ordered
-FROM moves m JOIN part p ON m.partkey = p.p_partkey GROUP BY 1, 2, 3
+FROM moves m JOIN part p ON m.partkey = p.p_partkey WHERE m.date >= DATE '1998-01-01' GROUP BY 1, 2, 3
 """,
 )
 _SENS = ",\n  ".join(

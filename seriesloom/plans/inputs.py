@@ -67,10 +67,9 @@ def external_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parts_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """series = part; months with activity only, joined with the indicators."""
-    rows = tables.monthly_rollup(
-        tables.orders_daily(spark, sf, F.col("p_partkey").cast("string"), F.col("p_name")), ["series", "series_name"]
-    )
+    """series = part; months with activity since 1998 only, joined with the indicators."""
+    days = tables.orders_daily(spark, sf, F.col("p_partkey").cast("string"), F.col("p_name"))
+    rows = tables.monthly_rollup(split.since(days, "date", "1998-01-01"), ["series", "series_name"])
     return align.join_month(rows, external(spark, sf))
 
 
@@ -80,6 +79,11 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
     return split.drop_nulls(table, table.columns)
 
 
+def profile_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The profiles, materialised: scaling and labelling read them several times."""
+    return cut_lineage(profiles(spark, sf))
+
+
 def label_by_level(profile: DataFrame) -> DataFrame:
     """A fixed rule that labels series by demand level against mean and deviation over all series."""
     one = profile.agg(
@@ -91,7 +95,7 @@ def label_by_level(profile: DataFrame) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return label_by_level(profiles(spark, sf))
+    return label_by_level(profile_table(spark, sf))
 
 
 def naive_daily(spark: SparkSession, sf: str, lumpy_key: bool = True) -> DataFrame:

@@ -51,11 +51,11 @@ def compose(sql: str, extra: dict[str, str] | None = None) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql.strip()
 
 
-def r(expr: str, digits: int = 4) -> str:
+def r(expr: str, digits: int = 6) -> str:
     """Rounded expression; adding zero turns a negative zero into zero."""
     return f"(round({expr}, {digits}) + 0.0)"
 
 
-def cols(columns: dict[str, str], digits: int = 4) -> str:
+def cols(columns: dict[str, str], digits: int = 6) -> str:
     """Rounded and named expressions as a select list."""
     return ",\n  ".join(f'{r(e, digits)} AS "{n}"' for n, e in columns.items())

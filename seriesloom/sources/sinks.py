@@ -57,7 +57,7 @@ def summary_rows(scores: DataFrame, clusters: DataFrame) -> DataFrame:
     metrics = [c for c in scores.columns if c not in ("series", "grain")]
     long = scores.unpivot(["series", "grain"], metrics, "metric", "value")
     return long.join(clusters.select("series", "cluster"), "series", "left").select(
-        "series", "cluster", "grain", "metric", F.round("value", 4).alias("value")
+        "series", "cluster", "grain", "metric", "value"
     )
 
 
