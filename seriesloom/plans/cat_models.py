@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from seriesloom.functions import text
 from seriesloom.operators import align, indicators, models, recursive, report, score, split
 from seriesloom.operators import window as win
+from seriesloom.plans import clustered
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.cat_window import brand_labelled
 from seriesloom.plans.registry import query
-from seriesloom.session import cut_lineage
+from seriesloom.session import cut_lineage, scratch_path
 
 TREES = 5
 KEYS = ["series", "date"]
@@ -273,3 +274,30 @@ def score_learners(spark, sf):
     model = models.fit_boosted(rows, models.MONTHLY[1].capped(TREES), "dispatched")
     pairs = models.predict(model, rows, "dispatched", [*MONTH_KEYS, "split"])
     return score.score_train_test(pairs, ["series"])
+
+
+@query("clustered_batch")
+def clustered_batch(spark, sf):
+    """The whole clustered run: clusters, features, models, results written and read back."""
+    orders, external = inp.daily(spark, sf), inp.external(spark, sf)
+    assignments = cut_lineage(clustered.clusters(orders, external, "1998-01-01", n_init=1, k=3))
+    out = scratch_path(spark, "batch")
+    clustered.run(orders, external, inp.START, inp.END, inp.TEST, assignments, trees=TREES, out=out)
+    return spark.read.parquet(f"{out}/scores")
+
+
+@query("horizon_short")
+def horizon_short(spark, sf):
+    return _horizon(spark, sf, clustered.SHORT)
+
+
+@query("horizon_long")
+def horizon_long(spark, sf):
+    return _horizon(spark, sf, clustered.LONG)
+
+
+def _horizon(spark, sf, horizon):
+    """Scores of a horizon's feature lists, one model per given cluster."""
+    return clustered.run(
+        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.END, inp.TEST, brand_labelled(spark, sf), horizon, TREES
+    )["scores"]

@@ -395,7 +395,7 @@ def scrape_metrics(spark, sf):
 def _names():
     lag = [f"{c}_lag_{k}m" for c in text.INDICATORS for k in (1, 2, 3)]
     demand = [f"Demand_lag_{k}" for k in (1, 2, 3, 7, 14, 30)]
-    rolls = [f"Demand_roll_{s}_{n}" for n in (7, 14, 30) for s in ("mean", "std")]
+    rolls = [f"Demand_shift1_{s}_{n}" for n in (7, 14, 30) for s in ("mean", "std")] + ["Demand_roll_mean_7", "Demand_roll_std_7"]
     calendar = ["Month", "Quarter", "WeekOfYear", "DayOfWeek", "DayOfMonth", "Month_sin", "Month_cos", "Day_sin", "Day_cos"]
     orders = [f"Order_lag_{k}" for k in (1, 2, 3, 7, 14)] + [f"Order_ratio_lag_{k}" for k in (1, 2, 3, 7)]
     return ["dispatched", "ordered", *demand, *rolls, *calendar, *orders, *lag, "PIB_CO", "ICI_roll_mean_6", "TUAV_roll_std_3", "TUAV"]

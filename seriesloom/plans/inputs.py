@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.functions import calendar as cal
 from seriesloom.functions.text import INDICATORS
-from seriesloom.operators import align, lumpy, resample, score, split
+from seriesloom.operators import align, indicators, lumpy, resample, score, split
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
 from seriesloom.session import cut_lineage
@@ -143,34 +142,15 @@ def scores_labelled(spark: SparkSession, sf: str) -> DataFrame:
     return monthly_scores.join(stats.withColumn("cluster", cluster), "series")
 
 
-def features_main(spark: SparkSession, sf: str, infer: bool = True) -> DataFrame:
+def features_main(spark: SparkSession, sf: str) -> DataFrame:
     """The main daily feature matrix of every series, history restarting in each split."""
-    panel = filled(spark, sf)
-    target, order = F.col("dispatched"), F.col("ordered")
-    own = {
-        **win.lags(target, SPLIT, win.LAGS["main"], "Demand"),
-        **win.roll_past(target, SPLIT, win.ROLLS["main"], "Demand"),
-        **{n: c for n, c in cal.parts(F.col("date")).items() if n not in ("DayOfYear", "Year")},
-        **{n: c for n, c in cal.cyclic(F.col("date")).items() if n.startswith(("Month", "Day_"))},
-        **win.lags(order, SPLIT, (1, 2, 3, 7, 14), "Order"),
-        **win.order_ratio_lags(order, target, SPLIT, (1, 2, 3, 7), "Order"),
-    }
-    wide = win.add(panel, own)
-    ext = external_day_lags(spark, sf)
-    ext_names = [c for c in ext.columns if c not in ("split", "date")]
-    joined = align.join_days(wide, ext, ("split",))
-    names = [*own, *ext_names]
-    if infer:
-        joined = win.infer_shift(joined, SPLIT, names)
-    return joined.select(
-        "series", "date", "split", "dispatched", "ordered", *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names]
-    )
+    from seriesloom.plans import clustered
+
+    return clustered.feature_matrix(filled(spark, sf), external(spark, sf), SPEC, TEST)[0]
 
 
 def external_day_lags(spark: SparkSession, sf: str, ks: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Indicator lags per split and day: one month further back outside train, 30 days in force."""
-    from seriesloom.operators import indicators
-
     ext = external_split(spark, sf)
     lagged = indicators.ext_lags(INDICATORS, ks, ("split",), F.col("split") != "train")
     table = ext.select("split", "month", *[c.alias(n) for n, c in lagged.items()])

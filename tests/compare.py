@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import glob
-import math
 import os
 import sys
 import time
 
 import duckdb
+import numpy as np
+import pandas as pd
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -19,54 +20,51 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _plain(v):
-    if hasattr(v, "isoformat"):
-        return v.isoformat()[:10] if not hasattr(v, "hour") else v.isoformat()
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return v
-    if type(v).__name__ == "Decimal":
-        return ("decimal", str(v))
-    if isinstance(v, bool):
-        return ("bool", v)
-    return v
+_SPARK_KIND = {"bigint": "int", "int": "int"}
+_KIND = {"BIGINT": "int", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
 
 
-def _canon(rows, names):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    out = [tuple(_plain(row[i]) for i in order) for row in rows]
-    out.sort(key=repr)
-    return [names[i] for i in order], out
+def _sorted_frame(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame[sorted(frame.columns)]
+    for c in frame.columns:
+        if frame[c].dtype == object:
+            frame[c] = frame[c].map(lambda v: None if v is None or v is pd.NaT else str(v)[:10] if hasattr(v, "isoformat") else v)
+    return frame.sort_values(list(frame.columns), kind="stable", na_position="last").reset_index(drop=True)
 
 
-_KIND = {"BIGINT": "int", "INTEGER": "int", "HUGEINT": "huge", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "str", "DATE": "date", "BOOLEAN": "bool"}
-_SPARK_KIND = {"bigint": "int", "int": "int", "double": "double", "string": "str", "date": "date", "boolean": "bool"}
+def _unequal(x: pd.Series, y: pd.Series) -> np.ndarray:
+    """Rows that differ in value, in being missing, or in the sign of zero."""
+    x_null, y_null = x.isna().to_numpy(), y.isna().to_numpy()
+    both = ~x_null & ~y_null
+    out = x_null != y_null
+    a, b = x.to_numpy()[both], y.to_numpy()[both]
+    different = a != b
+    if x.dtype.kind == "f" and y.dtype.kind == "f":
+        different |= np.signbit(a) != np.signbit(b)
+    out[both] = different
+    return out
 
 
 def difference(spark_df, con, sql: str) -> str | None:
     """None when both sides agree exactly, otherwise what differs first."""
-    rows = [tuple(x) for x in spark_df.collect()]
-    names = spark_df.columns
     rel = con.execute(sql)
-    their_names = [d[0] for d in rel.description]
-    kinds = {d[0]: _KIND.get(str(d[1]), str(d[1])) for d in rel.description}
-    their_rows = rel.fetchall()
-    a_names, a = _canon(rows, names)
-    b_names, b = _canon(their_rows, their_names)
-    if a_names != b_names:
-        return f"columns {a_names} != {b_names}"
-    if len(a) != len(b):
-        return f"rows {len(a)} != {len(b)}"
+    kinds = {c[0]: _KIND.get(str(c[1]), str(c[1])) for c in rel.description}
+    theirs = rel.to_arrow_table().to_pandas()
+    ours = spark_df.toArrow().to_pandas()
+    if sorted(ours.columns) != sorted(theirs.columns):
+        return f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"
+    if len(ours) != len(theirs):
+        return f"rows {len(ours)} != {len(theirs)}"
     for field in spark_df.schema.fields:
         kind = _SPARK_KIND.get(field.dataType.simpleString(), field.dataType.simpleString())
         if kind != kinds[field.name]:
             return f"type of {field.name}: {kind} != {kinds[field.name]}"
-    bad = [i for i in range(len(a)) if repr(a[i]) != repr(b[i])]
-    if bad:
-        i = bad[0]
-        cells = [(n, x, y) for n, x, y in zip(a_names, a[i], b[i]) if repr(x) != repr(y)]
-        return f"{len(bad)} of {len(a)} rows differ, first: {cells[:4]} in {a[i][:6]}"
+    a, b = _sorted_frame(ours), _sorted_frame(theirs)
+    for c in a.columns:
+        bad = _unequal(a[c], b[c])
+        if bad.any():
+            i = int(np.argmax(bad))
+            return f"{bad.sum()} of {len(a)} rows differ in {c}: {a[c][i]!r} != {b[c][i]!r} at {a.iloc[i].to_dict()}"
     return None
 
 
@@ -79,14 +77,16 @@ def main(names: list[str], sf: str) -> int:
     sf_dir = f"/root/testdata/{sf}"
     con = connect(sf_dir)
     failed = 0
+    checked_only = "--sql" in names
+    names = [n for n in names if n != "--sql"]
     todo = [n for n in catalog.QUERIES if not names or any(n == x or (x.endswith("*") and n.startswith(x[:-1])) for x in names)]
+    if checked_only:
+        todo = [n for n in todo if n in catalog.SQL]
     for name in todo:
         t = time.time()
         try:
             df = catalog.QUERIES[name](spark, sf_dir)
-            t_plan = time.time() - t
             if name in catalog.SQL:
-                t0 = time.time()
                 msg = difference(df, con, catalog.SQL[name])
                 print(f"{'ok  ' if msg is None else 'DIFF'} {name} {time.time() - t:.1f}s {msg or ''}", flush=True)
                 failed += msg is not None
