@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.session import cut_lineage
+from seriesloom.session import spread
 
 # Settings of the sweep, of the final fit and of the older variant.
 SWEEP = {"ks": tuple(range(2, 11)), "n_init": 25, "max_iter": 300, "tol": 1e-4}
@@ -26,7 +26,7 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) ->
     """Rows without missing values as vectors, materialised once for the repeated fits."""
     complete = df.na.drop(subset=columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(complete)
-    return cut_lineage(vectors.select(*keep, *columns, "features"))
+    return spread(vectors.select(*keep, *columns, "features"))
 
 
 def kmeans(vectors: DataFrame, k: int, n_init: int, max_iter: int, tol: float, seed: int = SEED) -> KMeansModel:

@@ -371,20 +371,13 @@ _SMOOTH = """SELECT series, count(*) AS n, stddev_pop(CASE WHEN ordered > 0 THEN
   avg(CASE WHEN ordered > 0 THEN 1.0 ELSE 0.0 END) AS share FROM monthly_lumpy GROUP BY 1"""
 
 
-def lumpy_monthly(spark, sf):
-    from seriesloom.operators import align
-
-    rows = tables.monthly_rollup(inp.daily_lumpy(spark, sf))
-    return align.gap_fill(rows, inp.MONTHLY, MEASURES, inp.START, "2001-07-01", step="month")
-
-
 @query(
     "is_smooth",
     f"""SELECT series, n, {r('cv')} AS nonzero_cv, {r('share')} AS nonzero_share, coalesce(cv <= 0.5 AND share >= 0.7, false) AS is_smooth
 FROM ({_SMOOTH})""",
 )
 def is_smooth(spark, sf):
-    flags = lumpy.smooth_flags(lumpy_monthly(spark, sf), ["series"], "ordered")
+    flags = lumpy.smooth_flags(inp.monthly_lumpy(spark, sf), ["series"], "ordered")
     return rnd(flags, ["series", "n", "is_smooth"], ["nonzero_cv", "nonzero_share"])
 
 
@@ -396,7 +389,7 @@ FROM ({_SMOOTH})""",
 def route_smooth(spark, sf):
     from seriesloom.operators import models
 
-    flags = lumpy.smooth_flags(lumpy_monthly(spark, sf), ["series"], "ordered")
+    flags = lumpy.smooth_flags(inp.monthly_lumpy(spark, sf), ["series"], "ordered")
     return models.route_smooth(flags).select("series", "route")
 
 

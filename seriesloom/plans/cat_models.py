@@ -15,7 +15,7 @@ from seriesloom.plans import clustered
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.cat_window import brand_labelled
 from seriesloom.plans.registry import query
-from seriesloom.session import cut_lineage, scratch_path
+from seriesloom.session import cut_lineage, scratch_path, spread
 
 TREES = 5
 KEYS = ["series", "date"]
@@ -29,7 +29,8 @@ def daily_rows(spark, sf):
     stats = features.groupBy("series").agg(F.avg(train).alias("series_mean"), F.stddev_samp(train).alias("series_std"))
     joined = features.join(stats, "series").join(brand_labelled(spark, sf), "series")
     names = [c for c in joined.columns if c not in (*KEYS, "split", "dispatched", "ordered", "cluster")]
-    return cut_lineage(models.vectors(joined, names)), names
+    rows = models.vectors(joined, names).select(*KEYS, "split", "cluster", "dispatched", "features")
+    return spread(rows), names
 
 
 def monthly_rows(spark, sf):

@@ -612,21 +612,21 @@ _ROLLS = (3, 6, 9, 12, 18, 24)
     "SELECT month, "
     + cols(
         {
-            **{f"{c}_roll_{s}_{n}m": full(AGG[s], c, n, 1 - n, 0, X) for c in ("PIB_CO", "ICI") for n in _ROLLS for s in ("mean", "std")},
+            **{f"{c}_roll_{s}_{n}m": full(AGG[s], c, n, 1 - n, 0, X) for c in ("ISE_CO", "ICI") for n in _ROLLS for s in ("mean", "std")},
             **{f"shifted_{c}_roll_mean_{n}m": full("avg", c, n, -n, -1, X) for c in ("TUAV",) for n in (3, 6)},
             **{f"grown_{c}_roll_mean_{n}m": over(f"avg({c})", 1 - n, 0, X) for c in ("TUAV",) for n in (3, 6)},
         },
-        7,
+        5,
     )
     + " FROM ext",
 )
 def ext_roll(spark, sf):
     columns = {
-        **indicators.ext_rolls(("PIB_CO", "ICI"), _ROLLS),
+        **indicators.ext_rolls(("ISE_CO", "ICI"), _ROLLS),
         **{f"shifted_{n}": c for n, c in indicators.ext_rolls(("TUAV",), (3, 6), shift=1, stats=("mean",)).items()},
         **{f"grown_{n}": c for n, c in indicators.ext_rolls(("TUAV",), (3, 6), full=False, stats=("mean",)).items()},
     }
-    return inp.external(spark, sf).select("month", *num.rounded(columns, 7))
+    return inp.external(spark, sf).select("month", *num.rounded(columns, 5))
 
 
 cte("ext_daily", "SELECT f.series, f.date, e.TUAV FROM filled f ASOF LEFT JOIN ext e ON f.date >= e.month")

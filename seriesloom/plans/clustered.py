@@ -18,7 +18,7 @@ from seriesloom.operators import align, cleanse, cluster, indicators, models, re
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
 from seriesloom.plans.naive import GRAINS
-from seriesloom.session import cut_lineage
+from seriesloom.session import cut_lineage, spread
 from seriesloom.sources import sinks, tables
 from seriesloom.spec import SeriesSpec
 
@@ -98,7 +98,8 @@ def run(
     panel = panel.withColumn("split", split.cutoff_split(spec.t(), test_from))
     features, names = feature_matrix(panel, external, spec, test_from, horizon)
     joined = features.join(assignments, "series", "left").fillna({"cluster": 3})
-    rows = cut_lineage(models.vectors(joined, names))
+    vectors = models.vectors(joined, names)
+    rows = spread(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"))
     labels = sorted(r["cluster"] for r in rows.select("cluster").distinct().collect())
     predicted = models.panel_by_cluster(rows, models.FINISHED, spec.target, ["series", spec.time], labels, trees)
     forecasts = cut_lineage(resample.stack_grains(predicted, spec, ["actual", "predicted"], GRAINS))

@@ -26,6 +26,10 @@ MONTHLY_SPLIT = MONTHLY.with_history("split")
 MEASURES = ["dispatched", "ordered"]
 
 
+def lumpy_key():
+    return F.concat_ws("|", "p_brand", "p_type")
+
+
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     """series = brand; one row per active day."""
     return tables.orders_daily(spark, sf, F.col("p_brand"))
@@ -33,7 +37,7 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def daily_lumpy(spark: SparkSession, sf: str) -> DataFrame:
     """series = brand and type; most days have no row."""
-    return tables.orders_daily(spark, sf, F.concat_ws("|", "p_brand", "p_type"))
+    return tables.orders_daily(spark, sf, lumpy_key())
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +53,12 @@ def filled_lumpy(spark: SparkSession, sf: str) -> DataFrame:
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     """Brand panel by month on the complete calendar."""
-    rolled = tables.monthly_rollup(daily(spark, sf))
+    rolled = tables.orders_monthly(spark, sf, F.col("p_brand"))
+    return align.gap_fill(rolled, MONTHLY, MEASURES, START, "2001-07-01", step="month")
+
+
+def monthly_lumpy(spark: SparkSession, sf: str) -> DataFrame:
+    rolled = tables.orders_monthly(spark, sf, lumpy_key())
     return align.gap_fill(rolled, MONTHLY, MEASURES, START, "2001-07-01", step="month")
 
 
@@ -67,8 +76,7 @@ def external_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def parts_monthly(spark: SparkSession, sf: str) -> DataFrame:
     """series = part; months with activity since 1998 only, joined with the indicators."""
-    days = tables.orders_daily(spark, sf, F.col("p_partkey").cast("string"), F.col("p_name"))
-    rows = tables.monthly_rollup(split.since(days, "date", "1998-01-01"), ["series", "series_name"])
+    rows = tables.orders_monthly(spark, sf, F.col("p_partkey").cast("string"), F.col("p_name"), "1998-01-01")
     return align.join_month(rows, external(spark, sf))
 
 
@@ -97,10 +105,9 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
     return label_by_level(profile_table(spark, sf))
 
 
-def naive_daily(spark: SparkSession, sf: str, lumpy_key: bool = True) -> DataFrame:
+def naive_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Previous-row forecast on the active days of the test slice."""
-    rows = daily_lumpy(spark, sf) if lumpy_key else daily(spark, sf)
-    test = split.since(rows, "date", TEST)
+    test = split.since(daily_lumpy(spark, sf), "date", TEST)
     return test.select(
         "series", "date", F.col("dispatched").alias("actual"), win.naive(F.col("dispatched"), SPEC).alias("predicted")
     )
@@ -131,10 +138,7 @@ def naive_score_table(spark: SparkSession, sf: str) -> DataFrame:
 def scores_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Monthly scores per series with its zero share and demand class as cluster."""
     monthly_scores = naive_scores(spark, sf).where(F.col("grain") == "monthly")
-    rows = align.gap_fill(
-        tables.monthly_rollup(daily_lumpy(spark, sf)), MONTHLY, MEASURES, START, "2001-07-01", step="month"
-    )
-    stats = rows.groupBy("series").agg(
+    stats = monthly_lumpy(spark, sf).groupBy("series").agg(
         F.try_divide(F.stddev_samp("ordered"), F.avg("ordered")).alias("cv"),
         F.avg((F.col("ordered") == 0).cast("double")).alias("sparsity"),
     )

@@ -13,6 +13,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A shuffled panel row fans out into calendar days and frames of up to a year of
+    # rows, so little shuffled data is already much work for a task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -62,3 +66,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows for an iterative fit, in at least as many partitions as there are cores.
+
+    Adaptive execution merges small shuffle partitions; that is right for one pass
+    and leaves cores idle over the many passes of a fit. Larger inputs keep theirs.
+    """
+    kept = cut_lineage(df)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cut_lineage(kept.repartition(cores)) if kept.rdd.getNumPartitions() < cores else kept

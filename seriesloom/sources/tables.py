@@ -1,8 +1,10 @@
 """Panels and indicator tables built from the star-schema tables.
 
-A hot part, order or series may hold a large share of the rows. Quantities are
-therefore summed per (key, day) before every shuffle that follows, so that what
-reaches one task is bounded by the number of days and not by the number of lines.
+A hot part, order or series may hold a large share of the rows. The joins are plain
+equi-joins on a unique dimension key: Spark broadcasts the dimension when its size
+allows and otherwise splits a skewed partition at run time. Sums are combined on the
+map side, so what reaches one task after the joins is bounded by the number of days
+and not by the number of lines.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ def daily_totals(rows: DataFrame, keys: list[str], time: str, measures: list[str
     return rows.groupBy(*keys, time).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def part_day_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part, date, dispatched (by ship day) and ordered (by order day).
+def part_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, date, dispatched (by ship day) and ordered (by order day): two rows per line.
 
-    One scan of each fact table: a joined line is expanded into its ship-day and
-    its order-day row, and both are summed in one aggregation.
+    One scan of each fact table. Nothing is aggregated yet: lines are nearly unique per
+    part and day, so a sum before the part is known would shuffle them all for nothing.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -36,26 +38,41 @@ def part_day_quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("order_day")
     )
     zero = F.lit(0.0)
-    movement = F.explode(
+    movement = F.inline(
         F.array(
             F.struct(F.col("ship_day").alias("date"), F.col("qty").alias("dispatched"), zero.alias("ordered")),
             F.struct(F.col("order_day").alias("date"), zero.alias("dispatched"), F.col("qty").alias("ordered")),
         )
     )
-    moves = lines.join(orders, "l_orderkey").select("l_partkey", movement.alias("m")).select("l_partkey", "m.*")
-    return daily_totals(moves, ["l_partkey"], "date", ["dispatched", "ordered"])
+    return lines.join(orders, "l_orderkey").select("l_partkey", movement)
 
 
-def orders_daily(spark: SparkSession, sf_dir: str, key: Column, name: Column | None = None) -> DataFrame:
-    """series, [series_name,] date, dispatched, ordered: one row per active series-day."""
+def _by_series(spark: SparkSession, sf_dir: str, key: Column, name: Column | None, since: str | None):
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"),
         key.alias("series"),
         *([name.alias("series_name")] if name is not None else []),
     )
-    keys = ["series"] + (["series_name"] if name is not None else [])
-    joined = part_day_quantities(spark, sf_dir).join(part, "l_partkey")
-    return daily_totals(joined, keys, "date", ["dispatched", "ordered"])
+    rows = part_movements(spark, sf_dir)
+    if since is not None:
+        rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
+    return rows.join(part, "l_partkey"), ["series"] + (["series_name"] if name is not None else [])
+
+
+def orders_daily(
+    spark: SparkSession, sf_dir: str, key: Column, name: Column | None = None, since: str | None = None
+) -> DataFrame:
+    """series, [series_name,] date, dispatched, ordered: one row per active series-day."""
+    rows, keys = _by_series(spark, sf_dir, key, name, since)
+    return daily_totals(rows, keys, "date", ["dispatched", "ordered"])
+
+
+def orders_monthly(
+    spark: SparkSession, sf_dir: str, key: Column, name: Column | None = None, since: str | None = None
+) -> DataFrame:
+    """The same by month, summed in one step where days are not needed."""
+    rows, keys = _by_series(spark, sf_dir, key, name, since)
+    return daily_totals(rows.withColumn("month", F.trunc("date", "month")), keys, "month", ["dispatched", "ordered"])
 
 
 def _exact(c: Column, scale: int) -> Column:

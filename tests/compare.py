@@ -47,8 +47,8 @@ def _unequal(x: pd.Series, y: pd.Series) -> np.ndarray:
 
 def difference(spark_df, con, sql: str) -> str | None:
     """None when both sides agree exactly, otherwise what differs first."""
-    rel = con.execute(sql)
-    kinds = {c[0]: _KIND.get(str(c[1]), str(c[1])) for c in rel.description}
+    rel = con.sql(sql)
+    kinds = {n: _KIND.get(str(t), str(t)) for n, t in zip(rel.columns, rel.types)}
     theirs = rel.to_arrow_table().to_pandas()
     ours = spark_df.toArrow().to_pandas()
     if sorted(ours.columns) != sorted(theirs.columns):
