@@ -16,6 +16,8 @@ ACCURACY = 10000
 
 def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]) -> DataFrame:
     """(by..., p, quantile): linear interpolation between the two nearest ranks, nulls dropped."""
+    if not by:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
     rows = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(
         F.count(F.lit(1)).alias("_c")
     )
@@ -39,7 +41,7 @@ def exact_quantiles(df: DataFrame, by: list[str], value: str, probs: list[float]
     )
     brackets = sketch.select(*by, "_n", F.inline(wanted))
     # A wanted rank can lie one past either end of the bracket: its neighbours are kept.
-    joined = rows.join(brackets, by) if by else rows.join(F.broadcast(brackets))
+    joined = rows.join(brackets, by)
     below = F.col("lo").isNotNull() & (F.col("_v") < F.col("lo"))
     above = F.col("hi").isNotNull() & (F.col("_v") > F.col("hi"))
     outside = joined.groupBy(*by, "p").agg(

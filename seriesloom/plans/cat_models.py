@@ -201,7 +201,7 @@ def importance_cluster(spark, sf):
 
 @query("top_feature_freq")
 def top_feature_freq(spark, sf):
-    """How many series have a feature among the five most correlated with their demand.
+    """How many series have a feature among their five most important.
 
     With one model per cluster the importance of a series is that of its cluster.
     """

@@ -22,11 +22,14 @@ def daily_totals(rows: DataFrame, keys: list[str], time: str, measures: list[str
     return rows.groupBy(*keys, time).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def part_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part, date, dispatched (by ship day) and ordered (by order day): two rows per line.
-
-    One scan of each fact table. Nothing is aggregated yet: lines are nearly unique per
-    part and day, so a sum before the part is known would shuffle them all for nothing.
+def _movements(
+    spark: SparkSession, sf_dir: str, key: Column, name: Column | None, since: str | None
+) -> tuple[DataFrame, list[str]]:
+    """series, [series_name,] date, dispatched (ship day), ordered (order day): two rows per line.
+
+    One scan of each fact table. Lines are joined as they are and expanded last, so the
+    joins move each line once; nothing is summed before the series is known, because
+    lines are nearly unique per part and day.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -37,6 +40,12 @@ def part_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("order_day")
     )
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        key.alias("series"),
+        *([name.alias("series_name")] if name is not None else []),
+    )
+    keys = ["series"] + (["series_name"] if name is not None else [])
     zero = F.lit(0.0)
     movement = F.inline(
         F.array(
@@ -44,26 +53,17 @@ def part_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.col("order_day").alias("date"), zero.alias("dispatched"), F.col("qty").alias("ordered")),
         )
     )
-    return lines.join(orders, "l_orderkey").select("l_partkey", movement)
-
-
-def _by_series(spark: SparkSession, sf_dir: str, key: Column, name: Column | None, since: str | None):
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        key.alias("series"),
-        *([name.alias("series_name")] if name is not None else []),
-    )
-    rows = part_movements(spark, sf_dir)
+    rows = lines.join(orders, "l_orderkey").join(part, "l_partkey").select(*keys, movement)
     if since is not None:
         rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
-    return rows.join(part, "l_partkey"), ["series"] + (["series_name"] if name is not None else [])
+    return rows, keys
 
 
 def orders_daily(
     spark: SparkSession, sf_dir: str, key: Column, name: Column | None = None, since: str | None = None
 ) -> DataFrame:
     """series, [series_name,] date, dispatched, ordered: one row per active series-day."""
-    rows, keys = _by_series(spark, sf_dir, key, name, since)
+    rows, keys = _movements(spark, sf_dir, key, name, since)
     return daily_totals(rows, keys, "date", ["dispatched", "ordered"])
 
 
@@ -71,7 +71,7 @@ def orders_monthly(
     spark: SparkSession, sf_dir: str, key: Column, name: Column | None = None, since: str | None = None
 ) -> DataFrame:
     """The same by month, summed in one step where days are not needed."""
-    rows, keys = _by_series(spark, sf_dir, key, name, since)
+    rows, keys = _movements(spark, sf_dir, key, name, since)
     return daily_totals(rows.withColumn("month", F.trunc("date", "month")), keys, "month", ["dispatched", "ordered"])
 
 
