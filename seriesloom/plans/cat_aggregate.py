@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
-from seriesloom.operators import cleanse, lumpy, report, resample, score
+from seriesloom.operators import align, cleanse, lumpy, models, report, resample, score
 from seriesloom.operators import profile as prof
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.registry import cols, cte, query, r
@@ -68,8 +68,6 @@ def fulfil_mean_ratio(spark, sf):
     + " FROM monthly m LEFT JOIN ext e ON m.month = e.month GROUP BY 1",
 )
 def sensitivity(spark, sf):
-    from seriesloom.operators import align
-
     table = prof.profile(align.join_month(inp.monthly(spark, sf), inp.external(spark, sf)))
     return rnd(table, ["series"], [f"sens_{c}" for c in prof.SENSITIVITIES])
 
@@ -275,14 +273,17 @@ def success_rate(spark, sf):
     return each.unionByName(report.success_rate(scores, []).withColumn("cluster", F.lit("all")))
 
 
+cte(
+    "cluster_r2",
+    "SELECT cluster, avg(r2) AS m, stddev_samp(r2) AS s FROM scores_labelled GROUP BY 1 HAVING avg(r2) IS NOT NULL",
+)
+
+
 @query(
     "best_cluster",
-    """SELECT (SELECT cluster FROM c ORDER BY m DESC, cluster LIMIT 1) AS best_cluster,
-  (SELECT cluster FROM c ORDER BY m, cluster LIMIT 1) AS worst_cluster,
-  (SELECT cluster FROM c WHERE s IS NOT NULL ORDER BY s, cluster LIMIT 1) AS most_consistent
-FROM (SELECT 1) one""".replace(
-        " c ", " (SELECT cluster, avg(r2) AS m, stddev_samp(r2) AS s FROM scores_labelled GROUP BY 1 HAVING avg(r2) IS NOT NULL) c "
-    ),
+    """SELECT (SELECT cluster FROM cluster_r2 ORDER BY m DESC, cluster LIMIT 1) AS best_cluster,
+  (SELECT cluster FROM cluster_r2 ORDER BY m, cluster LIMIT 1) AS worst_cluster,
+  (SELECT cluster FROM cluster_r2 WHERE s IS NOT NULL ORDER BY s, cluster LIMIT 1) AS most_consistent""",
 )
 def best_cluster(spark, sf):
     return report.best_cluster(inp.scores_labelled(spark, sf))
@@ -387,8 +388,6 @@ def is_smooth(spark, sf):
 FROM ({_SMOOTH})""",
 )
 def route_smooth(spark, sf):
-    from seriesloom.operators import models
-
     flags = lumpy.smooth_flags(inp.monthly_lumpy(spark, sf), ["series"], "ordered")
     return models.route_smooth(flags).select("series", "route")
 

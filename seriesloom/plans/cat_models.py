@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
-from seriesloom.operators import align, indicators, models, recursive, report, score, split
+from seriesloom.operators import align, indicators, models, recursive, report, score
 from seriesloom.operators import window as win
 from seriesloom.plans import clustered
 from seriesloom.plans import inputs as inp
@@ -113,14 +113,13 @@ def simple_vs_full(spark, sf):
 @query("sparse_params")
 def sparse_params(spark, sf):
     """Series with many zero days train on the regularised settings, the others on the larger ones."""
-    rows = align.gap_fill(inp.daily_lumpy(spark, sf), inp.SPEC, inp.MEASURES, "2000-07-01", inp.END)
-    rows = rows.withColumn("split", split.cutoff_split(F.col("date"), inp.TEST))
+    rows = inp.filled_lumpy(spark, sf)
     config = models.sparse_config(F.col("sparsity"))
     keyed = rows.join(report.sparsity(rows, ["series"]).select("series", config.alias("config")), "series")
     target = F.col("ordered")
     wide = win.add(keyed, win.lags(target, inp.SPLIT, (1, 2, 3, 7), "Order"), win.roll_past(target, inp.SPLIT, (7, 14), "Order"))
     names = [c for c in wide.columns if c.startswith("Order_")]
-    ready = cut_lineage(models.vectors(wide, names))
+    ready = spread(models.vectors(wide, names).select(*KEYS, "split", "config", "ordered", "features"))
     out = []
     for name, settings in (("sparse", models.SPARSE), ("dense", models.DENSE)):
         mine = ready.where(F.col("config") == name)

@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from seriesloom.functions import calendar as cal
 from seriesloom.functions import text
-from seriesloom.operators import models, report, shape, split
+from seriesloom.operators import align, models, report, score, shape
+from seriesloom.operators import window as win
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.registry import cols, query, r
 from seriesloom.session import scratch_path
@@ -148,8 +149,6 @@ MERGED = "SELECT m.series, m.month, dispatched, ordered, " + ", ".join(f"{r('e.'
 
 @query("sink_merged", MERGED + " FROM monthly m LEFT JOIN ext e ON m.month = e.month")
 def sink_merged(spark, sf):
-    from seriesloom.operators import align
-
     merged = align.join_month(inp.monthly(spark, sf), inp.external(spark, sf))
     path = sinks.write_merged(merged, scratch_path(spark, "merged"))
     return spark.read.parquet(path).select(
@@ -171,8 +170,6 @@ def sink_multi(spark, sf):
         },
         scratch_path(spark, "multi"),
     )
-    from seriesloom.operators import align
-
     return align.stack(
         [
             spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
@@ -300,9 +297,6 @@ SELECT m.series, m.month, e.ECG_DESP, lag(dispatched) OVER w AS Demand_lag_1,
 FROM monthly m LEFT JOIN ext e ON m.month = e.month WINDOW w AS (PARTITION BY m.series ORDER BY m.month))""",
 )
 def select_features(spark, sf):
-    from seriesloom.operators import align
-    from seriesloom.operators import window as win
-
     joined = align.join_month(inp.monthly(spark, sf), inp.external(spark, sf))
     d = F.col("dispatched")
     wide = win.add(joined, win.lags(d, inp.MONTHLY, (1,), "Demand"), win.roll_past(d, inp.MONTHLY, (3,), "Demand"))
@@ -384,8 +378,6 @@ SELECT *, substr(log, instr(log, '{text.LOG_START}'), instr(log, '{text.LOG_END}
 SELECT series, {_sql_log()} AS log FROM (SELECT series, {_WIDE} FROM naive_scores GROUP BY series)))""",
 )
 def scrape_metrics(spark, sf):
-    from seriesloom.operators import score
-
     logs = score.to_wide(inp.naive_scores(spark, sf)).select("series", _log_text().alias("log"))
     log = F.col("log")
     marked = {f"marked_{n}": c for n, c in text.scraped_marked_r2(log).items()}

@@ -10,6 +10,7 @@ from seriesloom.operators import align, indicators, lumpy, recursive
 from seriesloom.operators import window as win
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.registry import cols, cte, query, r
+from seriesloom.spec import SeriesSpec
 
 P = "PARTITION BY series, split ORDER BY date"
 C = "PARTITION BY series ORDER BY date"
@@ -295,33 +296,28 @@ daily_query(
 # --- recursions ----------------------------------------------------------------------------------------
 
 
-def _ema_sql(spans, adjust: bool, name: str, value: str, fill: str = "") -> str:
-    """Weights written out: each row is joined with the rows before it."""
+def _ema_sql(spans, adjust: bool, name: str, value: str, fill: bool = False) -> str:
+    """Weights written out: each row is joined with the rows before it, the newest of which weighs most."""
     parts = []
     for s in spans:
         a = 2.0 / (s + 1)
-        w = f"pow({1 - a!r}, b.k - x.k)"
-        weight = w if adjust else f"(CASE WHEN x.k = 1 THEN 1.0 ELSE {a!r} END) * {w}"
-        total = f"sum({weight} * x.v)" + (f" / sum({w})" if adjust else "")
+        decay = f"pow({1 - a!r}, b.k - 1 - x.k)"
+        weight = decay if adjust else f"(CASE WHEN x.k = 1 THEN 1.0 ELSE {a!r} END) * {decay}"
+        total = f"sum({weight} * x.v)" + (f" / sum({decay})" if adjust else "")
         parts.append(f'{r(f"coalesce({total}, 0)" if fill else total)} AS "{name}_{s}"')
     rows = f"""(SELECT series, split, date, {value} AS v, row_number() OVER ({P}) AS k FROM filled)"""
     return f"""SELECT b.series, b.date, b.split, {', '.join(parts)} FROM {rows} b LEFT JOIN {rows} x
 ON x.series = b.series AND x.split = b.split AND x.k < b.k GROUP BY 1, 2, 3"""
 
 
-def _fix_lag(sql: str) -> str:
-    """The averaged value is the one a row earlier, so the newest weight belongs to k - 1."""
-    return sql.replace("b.k - x.k)", "b.k - 1 - x.k)")
-
-
-@query("ema_recursive", _fix_lag(_ema_sql((7, 14, 30, 60), False, "Demand_ema", "dispatched")))
+@query("ema_recursive", _ema_sql((7, 14, 30, 60), False, "Demand_ema", "dispatched"))
 def ema_recursive(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "dispatched")
     out = recursive.ema(panel, inp.SPLIT, "dispatched", (7, 14, 30, 60), "Demand_ema")
     return out.select("series", "date", "split", *[F.round(f"Demand_ema_{s}", 6).alias(f"Demand_ema_{s}") for s in (7, 14, 30, 60)])
 
 
-@query("ema_weighted", _fix_lag(_ema_sql((7, 14, 30, 60, 90), True, "EMA", "ordered", "0")))
+@query("ema_weighted", _ema_sql((7, 14, 30, 60, 90), True, "EMA", "ordered", fill=True))
 def ema_weighted(spark, sf):
     panel = inp.filled(spark, sf).select("series", "date", "split", "ordered")
     out = recursive.ema(panel, inp.SPLIT, "ordered", (7, 14, 30, 60, 90), "EMA", adjust=True, fill=0.0)
@@ -400,23 +396,15 @@ def _momentum_sql(c: str, n: int) -> dict[str, str]:
     }
 
 
-class _Months:
-    """Spec of the indicator table: no key, month order."""
-
-    @staticmethod
-    def window():
-        return indicators.month_window()
-
-    @staticmethod
-    def frame(a, b):
-        return indicators.month_window().rowsBetween(a, b)
+# The indicator table has no series key.
+MONTHS = SeriesSpec(keys=(), time="month")
 
 
 @query("momentum", "SELECT month, " + cols({k: v for c in ("TUAV", "ECG_DESP", "ISE_CO") for n in (3, 6) for k, v in _momentum_sql(c, n).items()}) + " FROM ext")
 def momentum(spark, sf):
     columns = {}
     for c in ("TUAV", "ECG_DESP", "ISE_CO"):
-        columns.update(win.momentum(F.col(c), _Months, (3, 6), c))
+        columns.update(win.momentum(F.col(c), MONTHS, (3, 6), c))
     return inp.external(spark, sf).select("month", *num.rounded(columns))
 
 
@@ -437,7 +425,7 @@ def momentum(spark, sf):
     + " AS market_correlation FROM ext",
 )
 def roll_corr(spark, sf):
-    c = win.roll_corr(F.col("TUAV"), F.col("ECG_DESP"), _Months, 6)
+    c = win.roll_corr(F.col("TUAV"), F.col("ECG_DESP"), MONTHS, 6)
     return inp.external(spark, sf).select("month", F.round(c, 6).alias("market_correlation"))
 
 

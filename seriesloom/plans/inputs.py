@@ -13,6 +13,7 @@ from seriesloom.functions.text import INDICATORS
 from seriesloom.operators import align, indicators, lumpy, resample, score, split
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
+from seriesloom.plans import naive
 from seriesloom.session import cut_lineage
 from seriesloom.sources import tables
 from seriesloom.spec import SeriesSpec
@@ -115,13 +116,11 @@ def naive_daily(spark: SparkSession, sf: str) -> DataFrame:
 
 def by_grain(pairs: DataFrame) -> DataFrame:
     """Daily pairs with their weekly and monthly sums, stacked with a grain column."""
-    grains = {"daily": None, "weekly": "week_sun", "monthly": "month_end"}
-    stacked = resample.stack_grains(pairs, SPEC, ["actual", "predicted"], grains)
-    return stacked.select("series", "grain", "date", "actual", "predicted")
+    return resample.stack_grains(pairs, SPEC, ["actual", "predicted"], naive.GRAINS)
 
 
 def naive_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return by_grain(naive_daily(spark, sf))
+    return naive.forecasts(daily_lumpy(spark, sf), SPEC, TEST)
 
 
 def naive_scores(spark: SparkSession, sf: str) -> DataFrame:
