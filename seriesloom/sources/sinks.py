@@ -4,7 +4,6 @@ that stopped half-way can be repeated for the series that are missing."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def _overwrite(df: DataFrame, path: str, by: tuple[str, ...], fmt: str = "parquet") -> str:
