@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .mixing import OP4_SQL, op4_mixing
+from .fingerprint import op1_fingerprints
+from .pii import op3_pii
 from .sharding import op8_sharding
+from .urlgraph import op2_url_filter
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op7_exact_dedup, op8_sharding)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_url_filter, op3_pii, op4_mixing, op7_exact_dedup, op8_sharding)}
 SQL = {"op4_mixing": OP4_SQL, "op7_exact_dedup": OP7_SQL}
