@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from .exact_dedup import OP7_SQL, op7_exact_dedup
-from .mixing import OP4_SQL, op4_mixing
 from .fingerprint import op1_fingerprints
+from .linededup import OP9_SQL, op9_line_dedup
+from .mixing import OP4_SQL, op4_mixing
+from .packing import op6_packing
 from .pii import op3_pii
 from .sharding import op8_sharding
+from .toxicity import op10_toxicity
 from .urlgraph import op2_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_url_filter, op3_pii, op4_mixing, op7_exact_dedup, op8_sharding)}
-SQL = {"op4_mixing": OP4_SQL, "op7_exact_dedup": OP7_SQL}
+_ALL = (
+    op1_fingerprints,
+    op2_url_filter,
+    op3_pii,
+    op4_mixing,
+    op6_packing,
+    op7_exact_dedup,
+    op8_sharding,
+    op9_line_dedup,
+    op10_toxicity,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+SQL = {"op4_mixing": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
