@@ -5,6 +5,7 @@ from __future__ import annotations
 from .exact_dedup import OP7_SQL, op7_exact_dedup
 from .fingerprint import op1_fingerprints
 from .linededup import OP9_SQL, op9_line_dedup
+from .minhash import op5_minhash
 from .mixing import OP4_SQL, op4_mixing
 from .packing import op6_packing
 from .pii import op3_pii
@@ -17,6 +18,7 @@ _ALL = (
     op2_url_filter,
     op3_pii,
     op4_mixing,
+    op5_minhash,
     op6_packing,
     op7_exact_dedup,
     op8_sharding,

@@ -138,6 +138,13 @@ def apply(df: DataFrame, maps: DataFrame, id_col: str = "doc_id", text_col: str
     )
 
 
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows of df with their texts cut down to the lines that stay; a null text without dropped lines stays null."""
+    done = apply(df, bitmaps(df, id_col, text_col, **settings), id_col, text_col)
+    text = F.when(F.col("n_dropped") > 0, F.col("kept")).otherwise(F.col("record")[text_col])
+    return done.select(*(text.alias(c) if c == text_col else F.col("record")[c].alias(c) for c in df.columns))
+
+
 def op9_line_dedup(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = apply(docs, bitmaps(docs))

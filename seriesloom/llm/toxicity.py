@@ -25,6 +25,7 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +108,11 @@ class Model:
             out[i] = c
         return out
 
+    def scores(self, summaries: np.ndarray) -> np.ndarray:
+        w = np.array(self.logistic)
+        z = w[0] + ((summaries - np.array(self.center)) / np.array(self.scale)) @ w[1:]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
 
 N_CLASSES = len(CLASSES) + 2
 
@@ -339,22 +345,37 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, cache = Model.from_json(sent.value), {}
-        w, center, scale = np.array(own.logistic), np.array(own.center), np.array(own.scale)
         for batch in batches:
             obs, lengths = _sequences(batch["text"], own, cache)
             probs = _marginals(obs, lengths, own)
-            z = w[0] + ((summary(probs, lengths) - center) / scale) @ w[1:]
+            scores = own.scores(summary(probs, lengths))
             ends = np.cumsum(lengths)
             spans = [""] * len(batch)
             for i in np.unique(np.searchsorted(ends, np.flatnonzero(probs >= 0.5), side="right")):
                 p = probs[ends[i] - lengths[i] : ends[i]]
                 spans[i] = _offsets(batch["text"].iloc[i], p)
-            yield pd.DataFrame({"id": batch["id"], "score": 1 / (1 + np.exp(-np.clip(z, -30, 30))), "spans": spans})
+            yield pd.DataFrame({"id": batch["id"], "score": scores, "spans": spans})
 
     rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
     return rows.mapInPandas(run, f"id {rows.schema['id'].dataType.simpleString()}, score double, spans string")
 
 
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", cut_at: float = CUT_AT) -> DataFrame:
+    """The rows of docs whose score is below cut_at, with all their columns as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(model.to_json())  # bounded by LEXICON
+    schema, at = docs.schema, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cache = Model.from_json(sent.value), {}
+        for batch in batches:
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            obs, lengths = _sequences(texts, own, cache)
+            scores = own.scores(summary(_marginals(obs, lengths, own), lengths))
+            yield batch.filter(pa.array(scores < cut_at))
+
+    return docs.mapInArrow(run, schema)
+
+
 def _offsets(text: str, probs: np.ndarray) -> str:
     """Runs of toxic tokens as start:end in code points of the text."""
     low = text.lower()
