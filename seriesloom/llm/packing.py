@@ -106,18 +106,22 @@ def combinations(bins: int, depth: int = 3) -> list[tuple[int, ...]]:
     return [c for d in range(1, depth + 1) for c in grow(bins, 1, d)]
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 2000) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|, by the active-set method."""
+def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """x >= 0 that minimises |a x - b|, by the active-set method; ends when a round no longer lowers the misfit."""
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
-    close = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0.0)))
-    for _ in range(rounds):
-        gain = np.where(active, -np.inf, a.T @ (b - a @ x))
-        if active.all() or gain.max() <= close:
+    close, before = 1e-9 * float(b @ b), np.inf
+    while True:
+        rest = b - a @ x
+        gain = np.where(active, -np.inf, a.T @ rest)
+        if active.all() or gain.max() <= 0 or before - rest @ rest <= close:
             break
+        before = rest @ rest
         active[int(gain.argmax())] = True
         while True:
             trial = np.zeros_like(x)
-            trial[active] = np.linalg.lstsq(a[:, active], b, rcond=None)[0]
+            # The least squares of the active columns; the small ridge keeps dependent columns solvable.
+            on = np.flatnonzero(active)
+            trial[on] = np.linalg.solve(gram[np.ix_(on, on)] + 1e-10 * np.eye(len(on)), onto[on])
             bad = active & (trial <= 0)
             if not bad.any():
                 x = trial
