@@ -109,6 +109,7 @@ def combinations(bins: int, depth: int = 3) -> list[tuple[int, ...]]:
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """x >= 0 that minimises |a x - b|, by the active-set method; ends when a round no longer lowers the misfit."""
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], dtype=bool)
+    gram, onto = a.T @ a, a.T @ b
     close, before = 1e-9 * float(b @ b), np.inf
     while True:
         rest = b - a @ x
