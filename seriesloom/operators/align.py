@@ -18,8 +18,8 @@ def gap_fill(
     df: DataFrame,
     spec: SeriesSpec,
     measures: list[str],
-    start: str | None = None,
-    end: str | None = None,
+    start: str | Column | None = None,
+    end: str | Column | None = None,
     step: str = "day",
 ) -> DataFrame:
     """Complete calendar per series; measures are 0 on the added rows.
@@ -27,26 +27,35 @@ def gap_fill(
     Each row looks at the next one and emits the days up to it, so there is no
     calendar join: the single shuffle is by series key, which the window features
     that follow reuse. Rows must be unique per series and time. Without ``start``
-    / ``end`` a series is filled between its own first and last row.
+    / ``end`` a series is filled between its own first and last row. Rows outside the
+    range go; a series that has no other rows gets the whole range with zeros.
     """
     step_by = F.expr(STEPS[step])
-    rows = df
-    if start is not None:
-        rows = rows.where(spec.t() >= F.lit(start).cast("date"))
-    if end is not None:
-        rows = rows.where(spec.t() <= F.lit(end).cast("date"))
-    w = spec.window()
-    following = F.lead(spec.time).over(w)
-    first = F.lit(start).cast("date") if start is not None else spec.t()
-    last = F.lit(end).cast("date") if end is not None else spec.t()
-    begin = F.when(F.lag(spec.time).over(w).isNull(), first).otherwise(spec.t())
-    until = F.coalesce(F.date_sub(following, 1), last)
+    w, day = spec.window(), spec.t()
+    first = F.lit(start).cast("date") if start is not None else day
+    last = F.lit(end).cast("date") if end is not None else day
+    after_start = day >= first if start is not None else F.lit(True)
+    inside = after_start & (day <= last if end is not None else F.lit(True))
+    before, following = F.lag(spec.time).over(w), F.lead(spec.time).over(w)
+    opens = before.isNull() | (before < first if start is not None else F.lit(False))
+    closes = following.isNull() | (following > last if end is not None else F.lit(False))
+    begin = F.when(opens, first).otherwise(day)
+    until = F.when(closes, last).otherwise(F.date_sub(following, 1))
+    rows = df.withColumns({"_begin": begin, "_until": until})
+    if start is not None and end is not None:
+        # A series without rows in the range keeps its first row, to be replaced by the whole calendar.
+        alone = ~F.max(inside).over(spec.whole()) & before.isNull()
+        rows = df.withColumns({"_alone": alone, "_begin": begin, "_until": until}).where(inside | F.col("_alone"))
+        rows = rows.withColumns(
+            {"_begin": F.when(F.col("_alone"), first).otherwise(F.col("_begin")), "_until": F.when(F.col("_alone"), last).otherwise(F.col("_until"))}
+        )
+    else:
+        rows = rows.where(inside)
     days = F.explode(F.sequence(F.col("_begin"), F.col("_until"), step_by))
     others = [c for c in df.columns if c != spec.time and c not in measures]
-    here = F.col("_day") == spec.t()
+    here = F.col("_day") == day
     return (
-        rows.withColumns({"_begin": begin, "_until": until})
-        .withColumn("_day", days)
+        rows.withColumn("_day", days)
         .select(
             *others,
             *[F.when(here, F.coalesce(F.col(m), F.lit(0.0))).otherwise(F.lit(0.0)).alias(m) for m in measures],
@@ -88,7 +97,7 @@ def join_days(panel: DataFrame, by_day: DataFrame, keys: tuple[str, ...] = (), d
     return panel.join(F.broadcast(right), [*keys, date], "left")
 
 
-def carry_months(external: DataFrame, columns: list[str], until: str) -> DataFrame:
+def carry_months(external: DataFrame, columns: list[str], until: str | Column) -> DataFrame:
     """Every calendar month to ``until``, values carried forward without limit.
 
     The unpartitioned window runs over the monthly table only.
@@ -101,7 +110,7 @@ def carry_months(external: DataFrame, columns: list[str], until: str) -> DataFra
     return full.select("month", *[F.last(c, ignorenulls=True).over(w).alias(c) for c in columns])
 
 
-def asof_month(panel: DataFrame, external: DataFrame, columns: list[str], until: str, date: str = "date") -> DataFrame:
+def asof_month(panel: DataFrame, external: DataFrame, columns: list[str], until: str | Column, date: str = "date") -> DataFrame:
     """Each day takes the latest monthly value at or before it."""
     months = carry_months(external, columns, until)
     keyed = panel.withColumn("month", F.trunc(date, "month"))
@@ -109,7 +118,7 @@ def asof_month(panel: DataFrame, external: DataFrame, columns: list[str], until:
 
 
 def asof_mean_fill(
-    panel: DataFrame, external: DataFrame, columns: list[str], until: str, spec: SeriesSpec
+    panel: DataFrame, external: DataFrame, columns: list[str], until: str | Column, spec: SeriesSpec
 ) -> DataFrame:
     """``asof_month``, then days before the first value take the mean of the series' carried values."""
     carried = asof_month(panel, external, columns, until, spec.time)

@@ -262,7 +262,7 @@ def smoothing_routed(spark, sf):
 def seasonal_regression(spark, sf):
     """Trend, waves and indicators; the indicators are carried to days, gaps take the mean."""
     panel = inp.filled(spark, sf)
-    rows = align.asof_mean_fill(panel, inp.external(spark, sf), list(text.INDICATORS), inp.END, inp.SPEC)
+    rows = align.asof_mean_fill(panel, inp.external(spark, sf), list(text.INDICATORS), inp.last_day(spark, sf), inp.SPEC)
     out = models.seasonal_regression(rows, inp.SPEC, list(text.INDICATORS))
     return out.where("split = 'test'")
 
@@ -282,7 +282,7 @@ def clustered_batch(spark, sf):
     orders, external = inp.daily(spark, sf), inp.external(spark, sf)
     assignments = cut_lineage(clustered.clusters(orders, external, "1998-01-01", n_init=1, k=3))
     out = scratch_path(spark, "batch")
-    clustered.run(orders, external, inp.START, inp.END, inp.TEST, assignments, trees=TREES, out=out)
+    clustered.run(orders, external, inp.START, inp.last_day(spark, sf), inp.TEST, assignments, trees=TREES, out=out)
     return spark.read.parquet(f"{out}/scores")
 
 
@@ -299,5 +299,5 @@ def horizon_long(spark, sf):
 def _horizon(spark, sf, horizon):
     """Scores of a horizon's feature lists, one model per given cluster."""
     return clustered.run(
-        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.END, inp.TEST, brand_labelled(spark, sf), horizon, TREES
+        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.last_day(spark, sf), inp.TEST, brand_labelled(spark, sf), horizon, TREES
     )["scores"]

@@ -217,7 +217,7 @@ ASOF LEFT JOIN (SELECT month, ECG_DESP FROM ext_sparse WHERE ECG_DESP IS NOT NUL
 ASOF LEFT JOIN (SELECT month, ICI FROM ext_sparse WHERE ICI IS NOT NULL) b ON f.date >= b.month""",
 )
 def asof_month(spark, sf):
-    joined = align.asof_month(inp.filled(spark, sf), ext_sparse(spark, sf), ["ECG_DESP", "ICI"], inp.END)
+    joined = align.asof_month(inp.filled(spark, sf), ext_sparse(spark, sf), ["ECG_DESP", "ICI"], inp.last_day(spark, sf))
     return joined.select("series", "date", "dispatched", *[F.round(c, 6).alias(c) for c in ("ECG_DESP", "ICI")])
 
 
@@ -233,7 +233,7 @@ FROM (SELECT f.series, f.date, e.ECG_DESP, e.ICI FROM filled f ASOF LEFT JOIN ex
 def asof_mean_fill(spark, sf):
     late = inp.external(spark, sf).where("month >= DATE '1995-06-01'")
     full = align.asof_mean_fill(
-        inp.filled(spark, sf).drop("split"), late, ["ECG_DESP", "ICI"], inp.END, inp.SPEC
+        inp.filled(spark, sf).drop("split"), late, ["ECG_DESP", "ICI"], inp.last_day(spark, sf), inp.SPEC
     )
     return full.select("series", "date", *[F.round(c, 6).alias(c) for c in ("ECG_DESP", "ICI")])
 

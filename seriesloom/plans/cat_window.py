@@ -625,7 +625,7 @@ cte("ext_daily", "SELECT f.series, f.date, e.TUAV FROM filled f ASOF LEFT JOIN e
     "SELECT series, date, " + cols({f"TUAV_{m}M": full("avg", "TUAV", m * 30, 1 - m * 30, 0, C) for m in (3, 6)}, 2) + " FROM ext_daily",
 )
 def ext_roll_daily(spark, sf):
-    daily = align.asof_month(inp.filled(spark, sf), inp.external(spark, sf), ["TUAV"], inp.END)
+    daily = align.asof_month(inp.filled(spark, sf), inp.external(spark, sf), ["TUAV"], inp.last_day(spark, sf))
     columns = {
         f"TUAV_{m}M": win.roll_full(F.col("TUAV"), inp.SPEC, (m * 30,), "TUAV", ("mean",))[f"TUAV_full_mean_{m * 30}"]
         for m in (3, 6)

@@ -1,7 +1,7 @@
 """Common table expressions: the panels of ``inputs`` in SQL."""
 
 
-from seriesloom.plans.inputs import END, START, TEST, VAL
+from seriesloom.plans.inputs import START, TEST, VAL
 from seriesloom.plans.registry import cte
 
 cte(
@@ -23,20 +23,25 @@ FROM moves m JOIN part p ON m.partkey = p.p_partkey GROUP BY 1, 2
 """,
     )
 cte(
-    "cal_days",
-    f"SELECT CAST(d AS DATE) AS date FROM range(DATE '{START}', DATE '{END}' + INTERVAL 1 DAY, INTERVAL 1 DAY) t(d)",
-)
-cte(
-    "cal_months",
-    f"SELECT CAST(d AS DATE) AS month FROM range(DATE '{START}', DATE '{END}' + INTERVAL 1 DAY, INTERVAL 1 MONTH) t(d)",
+    "cal_end",
+    """
+SELECT greatest((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS day
+""",
 )
+for name, column, step in (("cal_days", "date", "DAY"), ("cal_months", "month", "MONTH")):
+    cte(
+        name,
+        f"""
+SELECT CAST(unnest(range(TIMESTAMP '{START}', CAST(day AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 {step})) AS DATE) AS {column} FROM cal_end
+""",
+    )
 for name, base in (("filled", "daily"), ("filled_lumpy", "daily_lumpy")):
     cte(
         name,
         f"""
 SELECT s.series, c.date, coalesce(d.dispatched, 0.0) AS dispatched, coalesce(d.ordered, 0.0) AS ordered,
   CASE WHEN c.date < DATE '{VAL}' THEN 'train' WHEN c.date < DATE '{TEST}' THEN 'val' ELSE 'test' END AS split
-FROM (SELECT DISTINCT series FROM {base} WHERE date BETWEEN DATE '{START}' AND DATE '{END}') s
+FROM (SELECT DISTINCT series FROM {base}) s
 CROSS JOIN cal_days c LEFT JOIN {base} d ON d.series = s.series AND d.date = c.date
 """,
     )
@@ -45,7 +50,7 @@ for name, base in (("monthly", "daily"), ("monthly_lumpy", "daily_lumpy")):
         name,
         f"""
 SELECT s.series, c.month, coalesce(d.dispatched, 0.0) AS dispatched, coalesce(d.ordered, 0.0) AS ordered
-FROM (SELECT DISTINCT series FROM {base} WHERE date_trunc('month', date) BETWEEN DATE '{START}' AND DATE '2001-07-01') s
+FROM (SELECT DISTINCT series FROM {base}) s
 CROSS JOIN cal_months c LEFT JOIN (
   SELECT series, CAST(date_trunc('month', date) AS DATE) AS month, sum(dispatched) AS dispatched, sum(ordered) AS ordered
   FROM {base} GROUP BY 1, 2) d ON d.series = s.series AND d.month = c.month

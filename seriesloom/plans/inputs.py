@@ -6,7 +6,7 @@ of the test tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.text import INDICATORS
@@ -18,7 +18,7 @@ from seriesloom.session import cut_lineage
 from seriesloom.sources import tables
 from seriesloom.spec import SeriesSpec
 
-START, END = "1995-01-01", "2001-07-31"
+START = "1995-01-01"
 VAL, TEST = "2000-12-01", "2001-01-01"
 SPEC = SeriesSpec()
 SPLIT = SPEC.with_history("split")
@@ -27,6 +27,16 @@ MONTHLY_SPLIT = MONTHLY.with_history("split")
 MEASURES = ["dispatched", "ordered"]
 
 
+def last_day(spark: SparkSession, sf: str) -> Column:
+    """The last day of the data: the end of every calendar here."""
+    end = lambda name, c: tables.table(spark, sf, name).agg(F.max(F.col(c).cast("date"))).scalar()
+    return F.greatest(end("lineitem", "l_shipdate"), end("orders", "o_orderdate"))
+
+
+def last_month(spark: SparkSession, sf: str) -> Column:
+    return F.trunc(last_day(spark, sf), "month")
+
+
 def lumpy_key():
     return F.concat_ws("|", "p_brand", "p_type")
 
@@ -36,31 +46,31 @@ def daily(spark: SparkSession, sf: str) -> DataFrame:
     return tables.orders_daily(spark, sf, F.col("p_brand"))
 
 
-def daily_lumpy(spark: SparkSession, sf: str) -> DataFrame:
+def daily_lumpy(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
     """series = brand and type; most days have no row."""
-    return tables.orders_daily(spark, sf, lumpy_key())
+    return tables.orders_daily(spark, sf, lumpy_key(), since=since)
 
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
     """Brand panel on the complete calendar with its split."""
-    panel = align.gap_fill(daily(spark, sf), SPEC, MEASURES, START, END)
+    panel = align.gap_fill(daily(spark, sf), SPEC, MEASURES, START, last_day(spark, sf))
     return panel.withColumn("split", split.cutoff_split(F.col("date"), TEST))
 
 
 def filled_lumpy(spark: SparkSession, sf: str) -> DataFrame:
-    panel = align.gap_fill(daily_lumpy(spark, sf), SPEC, MEASURES, START, END)
+    panel = align.gap_fill(daily_lumpy(spark, sf), SPEC, MEASURES, START, last_day(spark, sf))
     return panel.withColumn("split", split.cutoff_split(F.col("date"), TEST))
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     """Brand panel by month on the complete calendar."""
     rolled = tables.orders_monthly(spark, sf, F.col("p_brand"))
-    return align.gap_fill(rolled, MONTHLY, MEASURES, START, "2001-07-01", step="month")
+    return align.gap_fill(rolled, MONTHLY, MEASURES, START, last_month(spark, sf), step="month")
 
 
 def monthly_lumpy(spark: SparkSession, sf: str) -> DataFrame:
     rolled = tables.orders_monthly(spark, sf, lumpy_key())
-    return align.gap_fill(rolled, MONTHLY, MEASURES, START, "2001-07-01", step="month")
+    return align.gap_fill(rolled, MONTHLY, MEASURES, START, last_month(spark, sf), step="month")
 
 
 def monthly_with_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,8 +118,7 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def naive_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Previous-row forecast on the active days of the test slice."""
-    test = split.since(daily_lumpy(spark, sf), "date", TEST)
-    return test.select(
+    return daily_lumpy(spark, sf, TEST).select(
         "series", "date", F.col("dispatched").alias("actual"), win.naive(F.col("dispatched"), SPEC).alias("predicted")
     )
 
@@ -120,7 +129,7 @@ def by_grain(pairs: DataFrame) -> DataFrame:
 
 
 def naive_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return naive.forecasts(daily_lumpy(spark, sf), SPEC, TEST)
+    return naive.forecasts(daily_lumpy(spark, sf, TEST), SPEC, TEST)
 
 
 def naive_scores(spark: SparkSession, sf: str) -> DataFrame:

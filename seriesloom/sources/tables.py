@@ -29,7 +29,8 @@ def _movements(
 
     One scan of each fact table. Lines are joined as they are and expanded last, so the
     joins move each line once; nothing is summed before the series is known, because
-    lines are nearly unique per part and day.
+    lines are nearly unique per part and day. With ``since`` the ship days and the order
+    days are two branches, each with its date filter at its own scan; ship days need no orders.
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -47,16 +48,24 @@ def _movements(
     )
     keys = ["series"] + (["series_name"] if name is not None else [])
     zero = F.lit(0.0)
+    if since is not None:
+        from_day = F.lit(since).cast("timestamp_ntz")
+        fact = table(spark, sf_dir, "lineitem")
+        shipped = fact.where(F.col("l_shipdate") >= from_day).select(
+            "l_partkey", F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("dispatched"), zero.alias("ordered")
+        )
+        recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= from_day)
+        recent = recent.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("date"))
+        ordered = fact.select("l_orderkey", "l_partkey", "l_quantity").join(recent, "l_orderkey")
+        ordered = ordered.select("l_partkey", "date", zero.alias("dispatched"), F.col("l_quantity").alias("ordered"))
+        return shipped.union(ordered).join(part, "l_partkey").select(*keys, "date", "dispatched", "ordered"), keys
     movement = F.inline(
         F.array(
             F.struct(F.col("ship_day").alias("date"), F.col("qty").alias("dispatched"), zero.alias("ordered")),
             F.struct(F.col("order_day").alias("date"), zero.alias("dispatched"), F.col("qty").alias("ordered")),
         )
     )
-    rows = lines.join(orders, "l_orderkey").join(part, "l_partkey").select(*keys, movement)
-    if since is not None:
-        rows = rows.where(F.col("date") >= F.lit(since).cast("date"))
-    return rows, keys
+    return lines.join(orders, "l_orderkey").join(part, "l_partkey").select(*keys, movement), keys
 
 
 def orders_daily(
