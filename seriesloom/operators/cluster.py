@@ -26,7 +26,7 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) ->
     """Rows without missing values as vectors, materialised once for the repeated fits."""
     complete = df.na.drop(subset=columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(complete)
-    return spread(vectors.select(*keep, *columns, "features"))
+    return spread(vectors.select(*keep, *columns, "features"), *keep)
 
 
 def kmeans(vectors: DataFrame, k: int, n_init: int, max_iter: int, tol: float, seed: int = SEED) -> KMeansModel:

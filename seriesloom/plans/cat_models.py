@@ -30,7 +30,7 @@ def daily_rows(spark, sf):
     joined = features.join(stats, "series").join(brand_labelled(spark, sf), "series")
     names = [c for c in joined.columns if c not in (*KEYS, "split", "dispatched", "ordered", "cluster")]
     rows = models.vectors(joined, names).select(*KEYS, "split", "cluster", "dispatched", "features")
-    return spread(rows), names
+    return spread(rows, *KEYS), names
 
 
 def monthly_rows(spark, sf):
@@ -45,7 +45,7 @@ def monthly_rows(spark, sf):
     )
     labelled = wide.join(brand_labelled(spark, sf), "series")
     names = [c for c in labelled.columns if c not in (*MONTH_KEYS, "split", "dispatched", "ordered", "cluster")]
-    return cut_lineage(models.vectors(labelled, names)), names
+    return spread(models.vectors(labelled, names), *MONTH_KEYS), names
 
 
 def clusters_of(rows) -> list[int]:
@@ -119,7 +119,7 @@ def sparse_params(spark, sf):
     target = F.col("ordered")
     wide = win.add(keyed, win.lags(target, inp.SPLIT, (1, 2, 3, 7), "Order"), win.roll_past(target, inp.SPLIT, (7, 14), "Order"))
     names = [c for c in wide.columns if c.startswith("Order_")]
-    ready = spread(models.vectors(wide, names).select(*KEYS, "split", "config", "ordered", "features"))
+    ready = spread(models.vectors(wide, names).select(*KEYS, "split", "config", "ordered", "features"), *KEYS)
     out = []
     for name, settings in (("sparse", models.SPARSE), ("dense", models.DENSE)):
         mine = ready.where(F.col("config") == name)
@@ -188,7 +188,7 @@ def importance_cluster(spark, sf):
     ext = indicators.recipe_table(inp.external(spark, sf))
     panel = inp.monthly(spark, sf).join(brand_labelled(spark, sf), "series")
     wide = align.join_month(panel, ext).withColumns({"MonthNo": F.month("month"), "Quarter": F.quarter("month")})
-    complete = cut_lineage(wide.na.drop().withColumn("split", F.lit("train")))
+    complete = spread(wide.na.drop().withColumn("split", F.lit("train")), *MONTH_KEYS)
     out = []
     for c in clusters_of(complete):
         names = ["MonthNo" if n == "Month" else n for n in indicators.recipe_columns(c)]
@@ -227,7 +227,7 @@ def select_by_importance(spark, sf):
 def baseline_ext(spark, sf):
     """Monthly orders from the raw indicators alone."""
     joined = align.join_month(inp.monthly_with_split(spark, sf), inp.external(spark, sf))
-    ready = cut_lineage(models.vectors(joined, list(text.INDICATORS)))
+    ready = spread(models.vectors(joined, list(text.INDICATORS)), *MONTH_KEYS)
     model = models.fit_boosted(ready, models.SIMPLE.capped(TREES), "ordered")
     pairs = models.predict(model, ready.where("split = 'test'"), "ordered", MONTH_KEYS)
     return score.score_main(pairs, ["series"])
@@ -250,7 +250,7 @@ def smoothing_routed(spark, sf):
         routed.where("route = 'smoothing'").select("series", "month", "split", "ordered"), inp.MONTHLY, "ordered"
     )
     frames = [smooth.where("split = 'test'").select("series", "month", "actual", "predicted", F.lit("smoothing").alias("route"))]
-    boosted = cut_lineage(routed.where("route = 'boosted'"))
+    boosted = spread(routed.where("route = 'boosted'"), *MONTH_KEYS)
     if not boosted.isEmpty():
         model = models.fit_boosted(boosted, models.SIMPLE.capped(TREES), "ordered")
         pairs = models.predict(model, boosted.where("split = 'test'"), "ordered", MONTH_KEYS)

@@ -11,7 +11,7 @@ from seriesloom.operators import align, models, report, score, shape
 from seriesloom.operators import window as win
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.registry import cols, query, r
-from seriesloom.session import scratch_path
+from seriesloom.session import cut_lineage, scratch_path
 from seriesloom.sources import files, sinks, tables
 
 EXT = ", ".join(f"{r(c)} AS {c}" for c in text.INDICATORS)
@@ -122,26 +122,32 @@ def src_results(spark, sf):
     return rounded_scores(files.read_results(spark, sinks.write_merged(scores, path, "csv"), SCORE_SCHEMA))
 
 
+def in_batches(df, write):
+    """Two batches of series with the same grains; the first one is written twice, as after a stop."""
+    half = F.pmod(F.xxhash64("series"), F.lit(2))
+    for name in (0, 1, 0):
+        write(df.where(half == name), f"half-{name}")
+
+
 @query("sink_forecast", "SELECT series, grain, date, actual, predicted FROM naive_pairs")
 def sink_forecast(spark, sf):
-    path = sinks.write_forecast(inp.naive_pairs(spark, sf), scratch_path(spark, "forecast"))
-    return spark.read.parquet(path)
+    path = scratch_path(spark, "forecast")
+    in_batches(inp.naive_pairs(spark, sf), lambda rows, name: sinks.write_forecast(rows, path, name))
+    return sinks.read_batches(spark, path)
 
 
 @query("sink_scores", f"SELECT series, grain, n, {cols(SCORES)} FROM naive_scores")
 def sink_scores(spark, sf):
-    """Written grain by grain, as a run that is repeated for what is missing would."""
     path = scratch_path(spark, "scores")
-    scores = inp.naive_scores(spark, sf)
-    sinks.write_scores(scores.where("grain <> 'daily'"), path)
-    sinks.write_scores(scores.where("grain = 'daily'"), path)
-    return rounded_scores(spark.read.parquet(path))
+    in_batches(inp.naive_score_table(spark, sf), lambda rows, name: sinks.write_scores(rows, path, name))
+    return rounded_scores(sinks.read_batches(spark, path))
 
 
 @query("sink_clusters", "SELECT series, cluster FROM labelled")
 def sink_clusters(spark, sf):
-    path = sinks.write_clusters(inp.labelled(spark, sf).select("series", "cluster"), scratch_path(spark, "clusters"))
-    return spark.read.csv(path, header=True, schema="series string, cluster int")
+    path = scratch_path(spark, "clusters")
+    in_batches(inp.labelled(spark, sf).select("series", "cluster"), lambda rows, name: sinks.write_clusters(rows, path, name))
+    return sinks.read_batches(spark, path, "csv", "series string, cluster int")
 
 
 MERGED = "SELECT m.series, m.month, dispatched, ordered, " + ", ".join(f"{r('e.' + c)} AS {c}" for c in text.INDICATORS)
@@ -158,8 +164,8 @@ def sink_merged(spark, sf):
 
 @query(
     "sink_multi",
-    """SELECT 'scores' AS part, count(*) AS n FROM naive_scores UNION ALL
-SELECT 'pairs', count(*) FROM naive_pairs UNION ALL SELECT 'clusters', count(*) FROM labelled""",
+    f"""SELECT 'scores' AS part, series, grain AS label, {r('rmse')} AS value FROM naive_scores UNION ALL
+SELECT 'pairs', series, grain || ' ' || date, {r('actual')} FROM naive_pairs UNION ALL SELECT 'clusters', series, CAST(cluster AS VARCHAR), NULL FROM labelled""",
 )
 def sink_multi(spark, sf):
     made = sinks.write_multi(
@@ -170,9 +176,14 @@ def sink_multi(spark, sf):
         },
         scratch_path(spark, "multi"),
     )
+    shown = {
+        "scores": (F.col("grain"), F.round("rmse", 6)),
+        "pairs": (F.concat_ws(" ", "grain", "date"), F.round("actual", 6)),
+        "clusters": (F.col("cluster").cast("string"), F.lit(None).cast("double")),
+    }
     return align.stack(
         [
-            spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n")
+            spark.read.parquet(path).select(F.lit(name).alias("part"), "series", shown[name][0].alias("label"), shown[name][1].alias("value"))
             for name, path in made.items()
         ]
     )
@@ -190,8 +201,9 @@ def sink_params(spark, sf):
     params = report.sparsity(inp.filled_lumpy(spark, sf), ["series"]).select(
         "series", F.create_map(F.lit("config"), config, F.lit("trees"), trees).alias("params")
     )
-    path = sinks.write_params(params, scratch_path(spark, "params"))
-    back = spark.read.json(path, schema="series string, params map<string,string>")
+    path = scratch_path(spark, "params")
+    in_batches(params, lambda rows, name: sinks.write_params(rows, path, name))
+    back = sinks.read_batches(spark, path, "json", "series string, params map<string,string>")
     return back.select("series", F.col("params")["config"].alias("config"), F.col("params")["trees"].alias("trees"))
 
 
@@ -201,9 +213,10 @@ def sink_params(spark, sf):
 LEFT JOIN scores_labelled l ON s.series = l.series""",
 )
 def sink_summary(spark, sf):
-    scores = inp.naive_scores(spark, sf).drop("n")
-    path = sinks.write_summary(scores, inp.scores_labelled(spark, sf), scratch_path(spark, "summary"))
-    rows = spark.read.parquet(path)
+    labels, path = cut_lineage(inp.scores_labelled(spark, sf)), scratch_path(spark, "summary")
+    scores = inp.naive_score_table(spark, sf).drop("n")
+    in_batches(scores, lambda rows, name: sinks.write_summary(rows, labels, path, name))
+    rows = sinks.read_batches(spark, path)
     return rows.select("series", "cluster", "grain", "metric", F.round("value", 6).alias("value"))
 
 

@@ -99,7 +99,7 @@ def run(
     features, names = feature_matrix(panel, external, spec, test_from, horizon)
     joined = features.join(assignments, "series", "left").fillna({"cluster": 3})
     vectors = models.vectors(joined, names)
-    rows = spread(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"))
+    rows = spread(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"), "series", spec.time)
     labels = sorted(r["cluster"] for r in rows.select("cluster").distinct().collect())
     predicted = models.panel_by_cluster(rows, models.FINISHED, spec.target, ["series", spec.time], labels, trees)
     forecasts = cut_lineage(resample.stack_grains(predicted, spec, ["actual", "predicted"], GRAINS))

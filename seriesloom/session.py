@@ -42,38 +42,53 @@ def local_session(app: str = "seriesloom", cores: str = "*", **conf: str) -> Spa
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` when the cluster names one.
+    """The folder all executors can reach: ``spark.checkpoint.dir`` or the context's checkpoint folder.
 
-    Only where it is unset, as in local tests, a new temporary folder is used.
+    Only on a local master, as in tests, a new temporary folder is used where neither is set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not root:
-        root = getattr(spark, "_seriesloom_root", None)
-        if root is None:
-            root = tempfile.mkdtemp(prefix="seriesloom-")
-            spark._seriesloom_root = root
-    return root
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="seriesloom-"))
+        root = context.getCheckpointDir()
+    return root.rstrip("/")
+
+
+_MADE: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else has used."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing else has used; ``release`` removes it."""
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Removes what this process has written to scratch paths; results that still read them are lost."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _MADE:
+        at = hadoop.Path(_MADE.pop())
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, for plans reused by iterative fits."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """The rows written as Parquet in the shared folder and read back, so later steps read only the columns they use."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows for an iterative fit, in at least as many partitions as there are cores.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows for an iterative fit, checkpointed in a fixed order and in ``spark.sql.shuffle.partitions`` partitions by key.
 
-    Adaptive execution merges small shuffle partitions; that is right for one pass
-    and leaves cores idle over the many passes of a fit. Larger inputs keep theirs.
+    Learners draw their samples per partition, so the partitioning must depend on the data and the
+    settings only, not on the number of cores.
     """
-    kept = cut_lineage(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return cut_lineage(kept.repartition(cores)) if kept.rdd.getNumPartitions() < cores else kept
+    spark = df.sparkSession
+    shared_root(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)

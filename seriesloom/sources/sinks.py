@@ -1,9 +1,16 @@
-"""Writers. Every sink overwrites only the partitions it has rows for, so a run
-that stopped half-way can be repeated for the series that are missing."""
+"""Writers that can be repeated.
+
+Results that are written in batches of series carry the name of their batch as the first partition
+column. A batch overwrites only itself: batches of other series stay, whatever grains they share, and a run
+that stopped half-way repeats its batch under the same name. ``read_batches`` returns all of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+BATCH = "run_batch"
 
 
 def _overwrite(df: DataFrame, path: str, by: tuple[str, ...], fmt: str = "parquet") -> str:
@@ -16,23 +23,35 @@ def _overwrite(df: DataFrame, path: str, by: tuple[str, ...], fmt: str = "parque
     return path
 
 
-def write_forecast(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+def _batch(df: DataFrame, path: str, batch: str, by: tuple[str, ...], fmt: str) -> str:
+    return _overwrite(df.withColumn(BATCH, F.lit(batch)), path, (BATCH, *by), fmt)
+
+
+def read_batches(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """The rows of every batch under path."""
+    reader = spark.read.format(fmt).option("header", True)
+    if schema is not None:
+        reader = reader.schema(f"{schema}, {BATCH} string")
+    return reader.load(path).drop(BATCH)
+
+
+def write_forecast(df: DataFrame, path: str, batch: str = "all", fmt: str = "parquet") -> str:
     """Forecast rows under grain folders.
 
     Series stays a data column: one folder per series would mean as many small
     files as there are series.
     """
-    return _overwrite(df.repartitionByRange("grain", "series", "date"), path, ("grain",), fmt)
+    return _batch(df.repartitionByRange("grain", "series", "date"), path, batch, ("grain",), fmt)
 
 
-def write_scores(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Score rows by grain; may be called after every batch of series."""
-    return _overwrite(df, path, ("grain",), fmt)
+def write_scores(df: DataFrame, path: str, batch: str = "all", fmt: str = "parquet") -> str:
+    """Score rows by grain; called once for every batch of series."""
+    return _batch(df, path, batch, ("grain",), fmt)
 
 
-def write_clusters(df: DataFrame, path: str, fmt: str = "csv") -> str:
+def write_clusters(df: DataFrame, path: str, batch: str = "all", fmt: str = "csv") -> str:
     """Cluster assignments, one folder per cluster."""
-    return _overwrite(df, path, ("cluster",), fmt)
+    return _batch(df, path, batch, ("cluster",), fmt)
 
 
 def write_merged(df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -45,10 +64,9 @@ def write_multi(tables: dict[str, DataFrame], path: str, fmt: str = "parquet") -
     return {name: _overwrite(df, f"{path}/{name}", (), fmt) for name, df in tables.items()}
 
 
-def write_params(df: DataFrame, path: str) -> str:
+def write_params(df: DataFrame, path: str, batch: str = "all") -> str:
     """(series, params map) as JSON lines."""
-    df.select("series", "params").write.mode("overwrite").json(path)
-    return path
+    return _batch(df.select("series", "params"), path, batch, (), "json")
 
 
 def summary_rows(scores: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -60,11 +78,15 @@ def summary_rows(scores: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
-def write_summary(scores: DataFrame, clusters: DataFrame, path: str) -> str:
-    return _overwrite(summary_rows(scores, clusters), path, ("grain",))
+def write_summary(scores: DataFrame, clusters: DataFrame, path: str, batch: str = "all") -> str:
+    return _batch(summary_rows(scores, clusters), path, batch, ("grain",), "parquet")
 
 
 def write_series_dir(df: DataFrame, path: str, stem: str = "stem") -> str:
-    """One folder of CSV per series file name, for exchange with per-file tools."""
-    df.repartition(stem).write.mode("overwrite").partitionBy(stem).csv(path, header=True)
+    """One folder of CSV per series file name, for exchange with per-file tools.
+
+    Rows are dealt by ranges of all columns, so a stem that holds many rows is written by many tasks, a file each.
+    """
+    rest = [c for c in df.columns if c != stem]
+    df.repartitionByRange(stem, *rest).write.mode("overwrite").partitionBy(stem).csv(path, header=True)
     return path

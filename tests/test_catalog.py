@@ -60,6 +60,17 @@ def test_predicate_reaches_the_scan(spark):
     assert "l_comment" not in plan and "l_extendedprice" not in plan
 
 
+def test_dates_reach_the_scans(spark):
+    for name in ("naive_daily", "naive_pairs", "parts_monthly"):
+        plan = _plan(getattr(inputs, name)(spark, SF))
+        assert "GreaterThanOrEqual(l_shipdate" in plan and "GreaterThanOrEqual(o_orderdate" in plan, name
+
+
+def test_panels_reach_the_end_of_the_data(spark, con):
+    want = con.execute("SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem").fetchone()[0]
+    assert inputs.filled(spark, SF).agg({"date": "max"}).first()[0] == want
+
+
 def test_window_features_share_the_gap_fill_shuffle(spark):
     """The panel is shuffled by series once; gap filling, features and grains reuse it."""
     base = _plan(inputs.daily(spark, SF)).count("Exchange hashpartitioning")

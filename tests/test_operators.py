@@ -260,9 +260,20 @@ def test_metric_scraping_falls_through(spark):
 def test_score_sink_can_be_repeated(spark):
     path = scratch_path(spark, "scores")
     rows = lambda *r: spark.createDataFrame(list(r), "series string, grain string, r2 double")
-    sinks.write_scores(rows(("a", "daily", 0.1), ("a", "weekly", 0.2)), path)
-    sinks.write_scores(rows(("a", "daily", 0.5)), path)
-    assert {(r["grain"], r["r2"]) for r in spark.read.parquet(path).collect()} == {("daily", 0.5), ("weekly", 0.2)}
+    sinks.write_scores(rows(("a", "daily", 0.1), ("a", "weekly", 0.2)), path, "first")
+    sinks.write_scores(rows(("b", "daily", 0.3)), path, "second")
+    sinks.write_scores(rows(("a", "daily", 0.5), ("a", "weekly", 0.2)), path, "first")
+    got = {tuple(r) for r in sinks.read_batches(spark, path).select("series", "grain", "r2").collect()}
+    assert got == {("a", "daily", 0.5), ("a", "weekly", 0.2), ("b", "daily", 0.3)}
+
+
+def test_gap_fill_keeps_series_without_rows_in_the_range(spark):
+    day = lambda d: dt.date(2020, 1, d)
+    rows = [("in", day(3), 1.0), ("in", day(9), 2.0), ("before", day(1), 5.0), ("after", day(9), 7.0), ("around", day(1), 1.0), ("around", day(9), 1.0)]
+    df = spark.createDataFrame(rows, "series string, date date, v double")
+    got = align.gap_fill(df, SeriesSpec(), ["v"], "2020-01-02", "2020-01-04").collect()
+    filled = sorted((r["series"], r["date"].day, r["v"]) for r in got)
+    assert filled == sorted((s, d, 1.0 if (s, d) == ("in", 3) else 0.0) for s in ("in", "before", "after", "around") for d in (2, 3, 4))
 
 
 def test_series_directory_skips_the_combined_file(spark):
