@@ -6,6 +6,8 @@ driver over a handful of fits; only costs and scores come back.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +22,8 @@ SEED = 42
 CLOSE_SCORES = 0.1
 MAX_K = 3
 FIXED_K = 4
+#: Fits that run at the same time.
+PARALLEL = 4
 
 
 def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) -> DataFrame:
@@ -31,13 +35,13 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) ->
 
 def kmeans(vectors: DataFrame, k: int, n_init: int, max_iter: int, tol: float, seed: int = SEED) -> KMeansModel:
     """The fit with the lowest cost over ``n_init`` seeds."""
-    best, best_cost = None, float("inf")
-    for i in range(n_init):
-        model = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + i).fit(vectors)
-        cost = model.summary.trainingCost
-        if cost < best_cost:
-            best, best_cost = model, cost
-    return best
+
+    def fit(i: int) -> KMeansModel:
+        return KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + i).fit(vectors)
+
+    # A few distributed fits at a time; the first of equal costs wins, as in a loop.
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return min(pool.map(fit, range(n_init)), key=lambda m: m.summary.trainingCost)
 
 
 def label(vectors: DataFrame, model: KMeansModel, level: Column) -> DataFrame:

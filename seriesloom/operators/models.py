@@ -7,14 +7,17 @@ series. Loops run over clusters, configurations and folds, each a handful.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import product
 
+from pyspark import SparkContext
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +40,6 @@ class Boosting:
     cols: float = 1.0
     stop_after: int | None = None
 
-    def capped(self, trees: int | None) -> "Boosting":
-        return self if trees is None else replace(self, trees=min(self.trees, trees))
-
 
 # Configurations by cluster.
 FINISHED = {
@@ -88,9 +88,18 @@ def vectors(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(filled)
 
 
-def boosted(config: Boosting, label: str, validation: str | None = None) -> GBTRegressor:
-    """A boosted-tree learner; with a validation flag column it stops when the gain dries up."""
-    learner = GBTRegressor(
+#: Fits that are submitted to the cluster at the same time. Each is a distributed job of its own.
+PARALLEL = 4
+
+
+def in_parallel(fit: Callable, items: list) -> list:
+    """fit of every item, a few at a time; results in the order of the items."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(fit, items))
+
+
+def boosted(config: Boosting, label: str) -> GBTRegressor:
+    return GBTRegressor(
         featuresCol="features",
         labelCol=label,
         predictionCol="predicted",
@@ -102,7 +111,6 @@ def boosted(config: Boosting, label: str, validation: str | None = None) -> GBTR
         featureSubsetStrategy="all" if config.cols >= 1 else str(config.cols),
         seed=SEED,
     )
-    return learner.setValidationIndicatorCol(validation) if validation else learner
 
 
 def forest(config: Boosting, label: str) -> RandomForestRegressor:
@@ -119,12 +127,42 @@ def forest(config: Boosting, label: str) -> RandomForestRegressor:
     )
 
 
+def best_prefix(losses: list[float], patience: int) -> int:
+    """Trees to keep: up to the lowest loss that is seen before ``patience`` trees bring no new lowest one.
+
+    >>> best_prefix([5.0, 3.0, 4.0, 2.0], 1), best_prefix([5.0, 3.0, 4.0, 2.0], 2)
+    (2, 4)
+    """
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first n trees of a boosted model."""
+    context = SparkContext.getOrCreate()
+    java, jvm, gateway = model._java_obj, context._jvm, context._gateway
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    own, shares = java.trees(), java.treeWeights()
+    for i in range(n):
+        trees[i], weights[i] = own[i], shares[i]
+    short = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    return GBTRegressionModel(java.copyValues(short, jvm.org.apache.spark.ml.param.ParamMap.empty()))
+
+
 def fit_boosted(rows: DataFrame, config: Boosting, label: str, validate: bool = False) -> Model:
-    """Fit on train rows. With ``validate`` the validation rows decide when to stop."""
-    if validate:
-        pool = rows.where(F.col("split").isin("train", "val")).withColumn("_val", F.col("split") == "val")
-        return boosted(config, label, "_val").fit(pool)
-    return boosted(config, label).fit(rows.where(F.col("split") == "train"))
+    """Fit on train rows. With ``validate`` and a patience in the configuration, the validation rows say where to stop."""
+    model = boosted(config, label).fit(rows.where(F.col("split") == "train"))
+    held = rows.where(F.col("split") == "val")
+    if not validate or config.stop_after is None or held.isEmpty():
+        return model
+    losses = model.evaluateEachIteration(held, "squared")
+    return first_trees(model, best_prefix(list(losses), config.stop_after))
 
 
 def predict(model: Model, rows: DataFrame, label: str, keep: list[str]) -> DataFrame:
@@ -140,24 +178,24 @@ def panel_by_cluster(
     label: str,
     keep: list[str],
     clusters: list[int],
-    trees: int | None = None,
-    validate: bool = False,
     learner: str = "boosted",
 ) -> DataFrame:
     """Test predictions of one model per cluster; an unknown cluster uses configuration 3.
 
-    ``rows`` has features, label, split and cluster and is materialised once.
+    ``rows`` has features, label, split and cluster and is materialised once. Models of different clusters are
+    fitted at the same time. Configurations with a patience stop on the validation rows.
     """
-    out = []
-    for c in clusters:
-        config = configs.get(c, configs[3]).capped(trees)
+
+    def fitted(c: int) -> DataFrame:
+        config = configs.get(c, configs[3])
         mine = rows.where(F.col("cluster") == c)
         if learner == "forest":
             model = forest(config, label).fit(mine.where(F.col("split") == "train"))
         else:
-            model = fit_boosted(mine, config, label, validate or config.stop_after is not None)
-        out.append(predict(model, mine.where(F.col("split") == "test"), label, keep))
-    return reduce(DataFrame.unionByName, out)
+            model = fit_boosted(mine, config, label, config.stop_after is not None)
+        return predict(model, mine.where(F.col("split") == "test"), label, keep)
+
+    return reduce(DataFrame.unionByName, in_parallel(fitted, clusters))
 
 
 def importances(model: Model, features: list[str], spark) -> DataFrame:
@@ -232,12 +270,14 @@ def cross_validate(rows: DataFrame, config: Boosting, label: str, folds: list[in
     ``older`` says whether smaller ('below', expanding) or larger ('above', backward)
     fold numbers are older; fold 0 is always oldest.
     """
-    scores = []
     r2 = RegressionEvaluator(labelCol=label, predictionCol="predicted", metricName="r2")
-    for fold in folds:
+
+    def score(fold: int) -> tuple[int, float]:
         past = F.col("fold") < fold if older == "below" else (F.col("fold") > fold) | (F.col("fold") == 0)
         model = boosted(config, label).fit(rows.where(past))
-        scores.append((fold, float(r2.evaluate(model.transform(rows.where(F.col("fold") == fold))))))
+        return fold, float(r2.evaluate(model.transform(rows.where(F.col("fold") == fold))))
+
+    scores = in_parallel(score, folds)
     return rows.sparkSession.createDataFrame(scores, "fold int, r2 double")
 
 
@@ -245,32 +285,34 @@ def fold_summary(folds: DataFrame) -> DataFrame:
     return folds.agg(F.avg("r2").alias("cv_r2_mean"), F.stddev_pop("r2").alias("cv_r2_std"))
 
 
-def grid_search(rows: DataFrame, grid: dict[str, tuple], label: str, folds: int = 3):
-    """Cross-validated R2 over a parameter grid; the best configuration is refitted."""
-    learner = boosted(Boosting(20, 0.1, 3), label)
-    names = {
-        "trees": learner.maxIter,
-        "rate": learner.stepSize,
-        "depth": learner.maxDepth,
-        "min_child": learner.minInstancesPerNode,
-        "rows": learner.subsamplingRate,
-        "cols": learner.featureSubsetStrategy,
-    }
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(names[name], [str(v) for v in values] if name == "cols" else list(values))
-    points = builder.build()
+def grid_search(rows: DataFrame, grid: dict[str, tuple], label: str, base: Boosting, folds: int = 3):
+    """Cross-validated R2 over a parameter grid on top of ``base``; the best configuration is refitted.
+
+    The numbers of trees of a point come from one fit with the most trees, cut to its first trees, so that axis costs
+    no fits. Points and folds are fitted a few at a time. ``rows`` has a fold column 0 .. folds - 1.
+    """
+    spark = rows.sparkSession
+    stages = sorted(grid.get("trees", (base.trees,)))
+    axes = [a for a in grid if a != "trees"]
+    points = [dict(zip(axes, values, strict=True)) for values in product(*(grid[a] for a in axes))]
     r2 = RegressionEvaluator(labelCol=label, predictionCol="predicted", metricName="r2")
-    cv = CrossValidator(
-        estimator=learner, estimatorParamMaps=points, evaluator=r2, foldCol="fold", numFolds=folds, parallelism=2
-    )
-    fitted = cv.fit(rows)
-    short = {p.name: n for n, p in names.items()}
-    table = [
-        ({short[p.name]: str(v) for p, v in point.items()}, float(m)) for point, m in zip(points, fitted.avgMetrics)
-    ]
-    scored = rows.sparkSession.createDataFrame(table, "params map<string,string>, r2 double")
-    return fitted.bestModel, scored
+
+    def score(job):
+        point, fold = job
+        model = boosted(replace(base, trees=stages[-1], **point), label).fit(rows.where(F.col("fold") != fold))
+        held = rows.where(F.col("fold") == fold)
+        return [float(r2.evaluate(first_trees(model, min(n, len(model.trees))).transform(held))) for n in stages]
+
+    jobs = [(p, f) for p in points for f in range(folds)]
+    scores = in_parallel(score, jobs)
+    table = []
+    for k, point in enumerate(points):
+        mine = scores[k * folds : (k + 1) * folds]
+        for i, n in enumerate(stages):
+            table.append((point | {"trees": n}, sum(s[i] for s in mine) / folds))
+    best = max(table, key=lambda t: t[1])[0]
+    shown = [({a: str(v) for a, v in point.items()}, mean) for point, mean in table]
+    return boosted(replace(base, **best), label).fit(rows), spark.createDataFrame(shown, "params map<string,string>, r2 double")
 
 
 def categories(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,17 +1,18 @@
 """Recursions over a series: moving averages with exponential weights, Croston, smoothing.
 
-No window frame expresses these, so each (series[, split]) group goes through one
-Arrow batch. Rows are summed per series and period before, hence a group is at
-most as long as the calendar.
+No window frame expresses these. Averages and Croston are folds of column functions over the
+sorted rows of a (series[, split]) group; smoothing goes through one Arrow batch per series.
+Rows are summed per series and period before, hence a group is at most as long as the calendar.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,25 +23,52 @@ def _append(df: DataFrame, fields: list[tuple[str, T.DataType]]) -> T.StructType
     return T.StructType(df.schema.fields + [T.StructField(n, t) for n, t in fields])
 
 
+def _fold(df: DataFrame, spec: SeriesSpec, value: str, state: dict[str, str], step: Callable, out: dict[str, str]) -> DataFrame:
+    """A recursion over the rows of each group in order of time, as one fold of column functions.
+
+    ``state`` names the fields that are carried (all null at the start) and their types. ``step(state, v)`` gives the next
+    state and the fields that a row gets; ``out`` has their types. The result has the keys, time, value and those fields.
+    Only these columns are moved.
+    """
+    row = f"struct<t:{df.schema[spec.time].dataType.simpleString()},v:double," + ",".join(f"{n}:{t}" for n, t in out.items()) + ">"
+    start = F.struct(*[F.lit(None).cast(t).alias(n) for n, t in state.items()], F.array().cast(f"array<{row}>").alias("rows"))
+
+    def take(acc: Column, r: Column) -> Column:
+        following, given = step(acc, r["v"])
+        made = F.struct(r["t"].alias("t"), r["v"].alias("v"), *[given[n].cast(t).alias(n) for n, t in out.items()])
+        carried = [following[n].cast(t).alias(n) for n, t in state.items()]
+        return F.struct(*carried, F.array_append(acc["rows"], made).alias("rows"))
+
+    pairs = F.collect_list(F.struct(F.col(spec.time).alias("t"), F.col(value).cast("double").alias("v")))
+    rows = df.groupBy(*spec.partition).agg(F.sort_array(pairs).alias("_rows"))
+    folded = F.aggregate("_rows", start, take, lambda acc: acc["rows"])
+    return rows.select(*spec.partition, F.inline(folded)).withColumnsRenamed({"t": spec.time, "v": value})
+
+
 def ema(df: DataFrame, spec: SeriesSpec, value: str, spans: tuple[int, ...], name: str, adjust: bool = False, fill: float | None = None) -> DataFrame:
     """Exponential moving average of the value one row back, alpha = 2 / (span + 1).
 
     ``adjust=False`` is the plain recursion, ``adjust=True`` divides by the sum of
-    the weights seen so far.
+    the weights seen so far. A missing value leaves the average and lowers the weight of what came before.
     """
-    names = [f"{name}_{s}" for s in spans]
-    time = spec.time
-
-    def smooth(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(time)
-        previous = group[value].shift(1)
-        for column, span in zip(names, spans):
-            mean = previous.ewm(span=span, adjust=adjust).mean()
-            group[column] = mean if fill is None else mean.fillna(fill)
-        return group
-
-    schema = _append(df, [(n, T.DoubleType()) for n in names])
-    return df.groupBy(*spec.partition).applyInPandas(smooth, schema)
+    state = {"before": "double"} | {f"{k}_{s}": "double" for s in spans for k in ("mean", "weight")}
+
+    def step(acc: Column, v: Column):
+        x = acc["before"]
+        following, given = {"before": v}, {}
+        for s in spans:
+            alpha = 2.0 / (s + 1)
+            new = 1.0 if adjust else alpha
+            mean, old = acc[f"mean_{s}"], acc[f"weight_{s}"] * F.lit(1.0 - alpha)
+            moved = F.when(x == mean, mean).otherwise((old * mean + F.lit(new) * x) / (old + F.lit(new)))
+            following[f"mean_{s}"] = F.when(mean.isNull(), x).when(x.isNull(), mean).otherwise(moved)
+            kept = old + F.lit(new) if adjust else F.lit(1.0)
+            following[f"weight_{s}"] = F.when(mean.isNull(), F.lit(1.0)).when(x.isNull(), old).otherwise(kept)
+            shown = following[f"mean_{s}"]
+            given[f"{name}_{s}"] = shown if fill is None else F.coalesce(shown, F.lit(fill))
+        return following, given
+
+    return _fold(df, spec, value, state, step, {f"{name}_{s}": "double" for s in spans})
 
 
 def croston(df: DataFrame, spec: SeriesSpec, value: str, alpha: float = 0.4) -> DataFrame:
@@ -50,19 +78,35 @@ def croston(df: DataFrame, spec: SeriesSpec, value: str, alpha: float = 0.4) ->
     interval starts at 1 and grows by one on every later row without an order; it
     is never reset. The forecast of the first row is 0.
     """
-    time = spec.time
 
-    def forecast(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(time)
-        demand = group[value].to_numpy(dtype=float)
-        first = np.arange(len(demand)) == 0
-        sizes = pd.Series(np.where((demand > 0) | first, demand, np.nan))
-        size = sizes.ewm(alpha=alpha, adjust=False, ignore_na=True).mean().to_numpy()
-        interval = 1.0 + np.cumsum(~((demand > 0) | first))
-        group["croston"] = np.where(first, 0.0, size / interval)
-        return group
-
-    return df.groupBy(*spec.partition).applyInPandas(forecast, _append(df, [("croston", T.DoubleType())]))
+    def step(acc: Column, v: Column):
+        first, hit = acc["interval"].isNull(), v > 0
+        smoothed = acc["size"] * F.lit(1.0 - alpha) + v * F.lit(alpha)
+        size = F.when(first, v).when(hit, F.when(acc["size"].isNull(), v).otherwise(smoothed)).otherwise(acc["size"])
+        interval = F.when(first, F.lit(1.0)).when(hit, acc["interval"]).otherwise(acc["interval"] + 1)
+        return {"size": size, "interval": interval}, {"croston": F.when(first, F.lit(0.0)).otherwise(size / interval)}
+
+    return _fold(df, spec, value, {"size": "double", "interval": "double"}, step, {"croston": "double"})
+
+
+def croston_textbook(df: DataFrame, spec: SeriesSpec, value: str, alpha: float = 0.4) -> DataFrame:
+    """Croston's method: size and interval are both smoothed at each order, and the interval count starts anew.
+
+    The forecast of a row knows only the rows before it: 0 until there was an order, then size over interval.
+    """
+
+    def step(acc: Column, v: Column):
+        gap = F.coalesce(acc["gap"], F.lit(1.0))
+        hit, first = v > 0, acc["size"].isNull()
+        blend = lambda old, new: F.when(first, new).otherwise(old * F.lit(1.0 - alpha) + new * F.lit(alpha))
+        following = {
+            "size": F.when(hit, blend(acc["size"], v)).otherwise(acc["size"]),
+            "interval": F.when(hit, blend(acc["interval"], gap)).otherwise(acc["interval"]),
+            "gap": F.when(hit, F.lit(1.0)).otherwise(gap + 1),
+        }
+        return following, {"croston": F.coalesce(acc["size"] / acc["interval"], F.lit(0.0))}
+
+    return _fold(df, spec, value, {"size": "double", "interval": "double", "gap": "double"}, step, {"croston": "double"})
 
 
 def croston_aligned(train: DataFrame, test: DataFrame, spec: SeriesSpec, value: str) -> DataFrame:

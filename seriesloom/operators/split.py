@@ -29,7 +29,7 @@ def two_window_split(date: Column, train_to: str, test_to: str) -> Column:
     return F.when(date <= a, "train").when(date <= b, "test")
 
 
-def gap_split(date: Column, cutoff: str) -> Column:
+def gap_split(date: Column, cutoff: str | Column) -> Column:
     """Long horizon: validation is the month before the cut-off, the month after it is unused."""
     t = F.lit(cutoff).cast("date")
     return (

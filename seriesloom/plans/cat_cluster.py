@@ -211,20 +211,16 @@ def weighted_vectors(spark, sf):
     return cluster.assemble(cleanse.weight_groups(inp.profile_table(spark, sf)), WEIGHTED)
 
 
-# Seeds tried by the registered fits; the library default is that of the full run.
-REGISTERED_SEEDS = 2
-
-
 @query("kmeans_fit")
 def kmeans_fit(spark, sf):
     rows = weighted_vectors(spark, sf)
-    model = cluster.kmeans(rows, cluster.MAX_K, REGISTERED_SEEDS, cluster.FINAL["max_iter"], cluster.FINAL["tol"])
+    model = cluster.kmeans(rows, cluster.MAX_K, cluster.FINAL["n_init"], cluster.FINAL["max_iter"], cluster.FINAL["tol"])
     return cluster.label(rows, model, F.col("avg_monthly_demand")).select("series", "cluster")
 
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    return cluster.sweep(weighted_vectors(spark, sf), WEIGHTED, n_init=1)
+    return cluster.sweep(weighted_vectors(spark, sf), WEIGHTED)
 
 
 @query("fixed_k")
@@ -233,5 +229,5 @@ def fixed_k(spark, sf):
     table = inp.profile_table(spark, sf)
     scaled = table.select("series", *[c.alias(n) for n, c in cleanse.scale_standard(table, list(PROFILE)).items()])
     rows = cluster.assemble(scaled, list(PROFILE))
-    model = cluster.kmeans(rows, cluster.FIXED_K, REGISTERED_SEEDS, cluster.SWEEP["max_iter"], cluster.SWEEP["tol"])
+    model = cluster.kmeans(rows, cluster.FIXED_K, cluster.SWEEP["n_init"], cluster.SWEEP["max_iter"], cluster.SWEEP["tol"])
     return cluster.label(rows, model, F.col("avg_monthly_demand")).select("series", "cluster")

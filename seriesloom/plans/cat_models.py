@@ -1,11 +1,13 @@
 """Registered queries: model panels.
 
-Results depend on the learner, so there is no SQL counterpart. The registered runs
-cap the number of trees; the configurations in ``operators.models`` are complete.
+Results depend on the learner, so there is no SQL counterpart. Every run uses its whole configuration
+from ``operators.models``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
@@ -14,10 +16,9 @@ from seriesloom.operators import window as win
 from seriesloom.plans import clustered
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.cat_window import brand_labelled
-from seriesloom.plans.registry import query
+from seriesloom.plans.registry import cols, query
 from seriesloom.session import cut_lineage, scratch_path, spread
 
-TREES = 5
 KEYS = ["series", "date"]
 MONTH_KEYS = ["series", "month"]
 
@@ -55,7 +56,7 @@ def clusters_of(rows) -> list[int]:
 
 def daily_panel(spark, sf, configs, **options):
     rows, _ = daily_rows(spark, sf)
-    return models.panel_by_cluster(rows, configs, "dispatched", KEYS, clusters_of(rows), trees=TREES, **options)
+    return models.panel_by_cluster(rows, configs, "dispatched", KEYS, clusters_of(rows), **options)
 
 
 @query("fit_boosted")
@@ -73,7 +74,7 @@ def fit_second(spark, sf):
 @query("fit_lgbm")
 def fit_lgbm(spark, sf):
     """The leaf-wise learner's settings, stopping on the validation month."""
-    return daily_panel(spark, sf, {c: models.LEAFWISE for c in range(4)}, validate=True)
+    return daily_panel(spark, sf, {c: models.LEAFWISE for c in range(4)})
 
 
 @query("early_stop")
@@ -82,7 +83,7 @@ def early_stop(spark, sf):
     rows, _ = daily_rows(spark, sf)
     kept = []
     for c in clusters_of(rows):
-        model = models.fit_boosted(rows.where(F.col("cluster") == c), models.SIMPLE.capped(TREES), "dispatched", validate=True)
+        model = models.fit_boosted(rows.where(F.col("cluster") == c), models.LEAFWISE, "dispatched", validate=True)
         kept.append((c, model.getNumTrees))
     return spark.createDataFrame(kept, "cluster int, trees int")
 
@@ -93,7 +94,7 @@ def ensemble_models(spark, sf):
     rows, _ = daily_rows(spark, sf)
     labels = clusters_of(rows)
     one, two = (
-        models.panel_by_cluster(rows, models.ENSEMBLE, "dispatched", KEYS, labels, trees=TREES, learner=kind)
+        models.panel_by_cluster(rows, models.ENSEMBLE, "dispatched", KEYS, labels, learner=kind)
         for kind in ("boosted", "forest")
     )
     return models.ensemble_mean(one, two, KEYS)
@@ -104,7 +105,7 @@ def simple_vs_full(spark, sf):
     rows, _ = monthly_rows(spark, sf)
     frames = []
     for name, config in (("full", models.IMPORTANCE_STUDY), ("simple", models.SIMPLE)):
-        model = models.fit_boosted(rows, config.capped(TREES), "dispatched")
+        model = models.fit_boosted(rows, config, "dispatched")
         pairs = models.predict(model, rows.where("split = 'test'"), "dispatched", MONTH_KEYS)
         frames.append(score.score_main(pairs, ["series"]).withColumn("model", F.lit(name)))
     return align.stack(frames)
@@ -125,7 +126,7 @@ def sparse_params(spark, sf):
         mine = ready.where(F.col("config") == name)
         if mine.where("split = 'train'").isEmpty():
             continue
-        model = models.fit_boosted(mine, settings.capped(TREES), "ordered")
+        model = models.fit_boosted(mine, settings, "ordered")
         test = mine.where("split = 'test'")
         out.append(models.predict(model, test, "ordered", KEYS).withColumn("config", F.lit(name)))
     return align.stack(out)
@@ -135,7 +136,7 @@ def sparse_params(spark, sf):
 def cv_expanding(spark, sf):
     rows, _ = monthly_rows(spark, sf)
     folded = models.expanding_folds(rows.where("split = 'train'"), inp.MONTHLY, 5)
-    folds = models.cross_validate(folded, models.SIMPLE.capped(TREES), "dispatched", [1, 2, 3, 4, 5])
+    folds = models.cross_validate(folded, models.SIMPLE, "dispatched", [1, 2, 3, 4, 5])
     return models.fold_summary(folds)
 
 
@@ -143,22 +144,25 @@ def cv_expanding(spark, sf):
 def cv_backward(spark, sf):
     rows, _ = monthly_rows(spark, sf)
     folded = models.backward_folds(rows.where("split = 'train'"), inp.MONTHLY, 12, 5)
-    return models.cross_validate(folded, models.SIMPLE.capped(TREES), "dispatched", [1, 2, 3, 4, 5], older="above")
+    return models.cross_validate(folded, models.SIMPLE, "dispatched", [1, 2, 3, 4, 5], older="above")
 
 
 @query("grid_search")
 def grid_search(spark, sf):
-    """Depth and rate of one cluster's grid, cross-validated; parameters as rows."""
+    """Trees, depth and rate of each cluster's grid, cross-validated; the other axes stay at the cluster's configuration."""
     rows, _ = monthly_rows(spark, sf)
-    train = models.expanding_folds(rows.where("split = 'train'"), inp.MONTHLY, 2)
-    grid = {"trees": (TREES,), "rate": models.GRIDS[0]["rate"][:2], "depth": models.GRIDS[0]["depth"][:2]}
-    _, table = models.grid_search(train, grid, "dispatched", folds=3)
-    return table.select(F.to_json("params").alias("params"), "r2")
+    folded = models.expanding_folds(rows.where("split = 'train'"), inp.MONTHLY, 2)
+    out = []
+    for c in clusters_of(rows):
+        grid = {axis: models.GRIDS[c][axis] for axis in ("trees", "depth", "rate")}
+        _, table = models.grid_search(folded.where(F.col("cluster") == c), grid, "dispatched", models.MONTHLY[c])
+        out.append(table.select(F.lit(c).alias("cluster"), F.to_json("params").alias("params"), "r2"))
+    return align.stack(out)
 
 
 def importance_table(spark, sf):
     rows, names = monthly_rows(spark, sf)
-    model = models.fit_boosted(rows, models.IMPORTANCE_STUDY.capped(TREES), "dispatched")
+    model = models.fit_boosted(rows, models.IMPORTANCE_STUDY, "dispatched")
     return models.importances(model, names, spark), rows, names
 
 
@@ -193,7 +197,7 @@ def importance_cluster(spark, sf):
     for c in clusters_of(complete):
         names = ["MonthNo" if n == "Month" else n for n in indicators.recipe_columns(c)]
         mine = models.vectors(complete.where(F.col("cluster") == c), names)
-        model = models.fit_boosted(mine, models.IMPORTANCE_STUDY.capped(TREES), "ordered")
+        model = models.fit_boosted(mine, models.IMPORTANCE[c], "ordered")
         out.append(models.importances(model, names, spark).withColumn("cluster", F.lit(c)))
     return align.stack(out)
 
@@ -212,11 +216,11 @@ def top_feature_freq(spark, sf):
 def select_by_importance(spark, sf):
     """Refit on features at or above the mean (or median) importance."""
     out = []
+    table, rows, names = importance_table(spark, sf)
     for rule, config in models.SELECTION.items():
-        table, rows, names = importance_table(spark, sf)
         chosen = models.selected(table, rule)
         narrow = models.vectors(rows.drop("features"), chosen)
-        model = models.fit_boosted(narrow, config.capped(TREES), "dispatched")
+        model = models.fit_boosted(narrow, config, "dispatched")
         pairs = models.predict(model, narrow.where("split = 'test'"), "dispatched", MONTH_KEYS)
         scored = score.score_main(pairs, ["series"])
         out.append(scored.withColumns({"rule": F.lit(rule), "n_features": F.lit(len(chosen))}))
@@ -228,7 +232,7 @@ def baseline_ext(spark, sf):
     """Monthly orders from the raw indicators alone."""
     joined = align.join_month(inp.monthly_with_split(spark, sf), inp.external(spark, sf))
     ready = spread(models.vectors(joined, list(text.INDICATORS)), *MONTH_KEYS)
-    model = models.fit_boosted(ready, models.SIMPLE.capped(TREES), "ordered")
+    model = models.fit_boosted(ready, models.SIMPLE, "ordered")
     pairs = models.predict(model, ready.where("split = 'test'"), "ordered", MONTH_KEYS)
     return score.score_main(pairs, ["series"])
 
@@ -252,7 +256,7 @@ def smoothing_routed(spark, sf):
     frames = [smooth.where("split = 'test'").select("series", "month", "actual", "predicted", F.lit("smoothing").alias("route"))]
     boosted = spread(routed.where("route = 'boosted'"), *MONTH_KEYS)
     if not boosted.isEmpty():
-        model = models.fit_boosted(boosted, models.SIMPLE.capped(TREES), "ordered")
+        model = models.fit_boosted(boosted, models.SIMPLE, "ordered")
         pairs = models.predict(model, boosted.where("split = 'test'"), "ordered", MONTH_KEYS)
         frames.append(pairs.withColumn("route", F.lit("boosted")))
     return align.stack(frames)
@@ -271,7 +275,7 @@ def seasonal_regression(spark, sf):
 def score_learners(spark, sf):
     """Train and test scores of a learner side by side."""
     rows, _ = monthly_rows(spark, sf)
-    model = models.fit_boosted(rows, models.MONTHLY[1].capped(TREES), "dispatched")
+    model = models.fit_boosted(rows, models.MONTHLY[1], "dispatched")
     pairs = models.predict(model, rows, "dispatched", [*MONTH_KEYS, "split"])
     return score.score_train_test(pairs, ["series"])
 
@@ -280,12 +284,49 @@ def score_learners(spark, sf):
 def clustered_batch(spark, sf):
     """The whole clustered run: clusters, features, models, results written and read back."""
     orders, external = inp.daily(spark, sf), inp.external(spark, sf)
-    assignments = cut_lineage(clustered.clusters(orders, external, "1998-01-01", n_init=1, k=3))
+    assignments = cut_lineage(clustered.clusters(orders, external, "1998-01-01"))
     out = scratch_path(spark, "batch")
-    clustered.run(orders, external, inp.START, inp.last_day(spark, sf), inp.TEST, assignments, trees=TREES, out=out)
+    clustered.run(orders, external, inp.START, inp.last_day(spark, sf), inp.TEST, assignments, out=out)
     return spark.read.parquet(f"{out}/scores")
 
 
+def _horizon_sql(horizon):
+    """Demand and order features of a horizon, moved down outside train, in SQL."""
+    w = "PARTITION BY series, split ORDER BY date"
+    raw = {f"Demand_lag_{k}": f"lag(dispatched, {k}) OVER ({w})" for k in horizon.lags}
+    for n in horizon.rolls:
+        frame = f"OVER ({w} ROWS BETWEEN {n - 1 + horizon.roll_shift} PRECEDING AND {horizon.roll_shift} PRECEDING)"
+        raw |= {f"Demand_mean_{n}": f"avg(dispatched) {frame}", f"Demand_std_{n}": f"stddev_samp(dispatched) {frame}"}
+    raw |= {f"Order_lag_{k}": f"lag(ordered, {k}) OVER ({w})" for k in horizon.order_lags}
+    raw |= {f"Order_ratio_{k}": f"lag(ordered, {k}) OVER ({w}) / nullif(lag(dispatched, {k}) OVER ({w}), 0)" for k in horizon.ratio_lags}
+    end = "2000-12-01" if horizon.gap else "2001-01-01"
+    rows = f"""SELECT series, date, dispatched, ordered, CASE WHEN date < DATE '{end}' - INTERVAL 1 MONTH THEN 'train'
+  WHEN date < DATE '{end}' THEN 'val' WHEN date >= DATE '2001-01-01' THEN 'test' END AS split FROM filled"""
+    moved = {
+        n: f"coalesce(CASE split WHEN 'train' THEN {n} WHEN 'val' THEN lag({n}, 1) OVER ({w}) ELSE lag({n}, {1 + horizon.test_rows}) OVER ({w}) END, 0)"
+        for n in raw
+    }
+    inner = ", ".join(f"{e} AS {n}" for n, e in raw.items())
+    return f"SELECT series, date, split, {cols(moved)} FROM (SELECT series, date, split, {inner} FROM ({rows}) WHERE split IS NOT NULL)"
+
+
+def _horizon_features(spark, sf, horizon):
+    panel = inp.filled(spark, sf).withColumn("split", horizon.split(F.col("date"), inp.TEST)).where("split IS NOT NULL")
+    wide, names = clustered.feature_matrix(panel, inp.external(spark, sf), inp.SPEC, inp.TEST, horizon)
+    shown = {n: re.sub(r"_shift\d+|_roll", "", n).replace("ratio_lag", "ratio") for n in names if n.startswith(("Demand_", "Order_"))}
+    return wide.select("series", "date", "split", *[F.round(F.col(n), 6).alias(s) for n, s in shown.items()])
+
+
+@query("horizon_short_features", _horizon_sql(clustered.SHORT))
+def horizon_short_features(spark, sf):
+    return _horizon_features(spark, sf, clustered.SHORT)
+
+
+@query("horizon_long_features", _horizon_sql(clustered.LONG))
+def horizon_long_features(spark, sf):
+    return _horizon_features(spark, sf, clustered.LONG)
+
+
 @query("horizon_short")
 def horizon_short(spark, sf):
     return _horizon(spark, sf, clustered.SHORT)
@@ -299,5 +340,5 @@ def horizon_long(spark, sf):
 def _horizon(spark, sf, horizon):
     """Scores of a horizon's feature lists, one model per given cluster."""
     return clustered.run(
-        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.last_day(spark, sf), inp.TEST, brand_labelled(spark, sf), horizon, TREES
+        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.last_day(spark, sf), inp.TEST, brand_labelled(spark, sf), horizon
     )["scores"]

@@ -345,6 +345,30 @@ def croston(spark, sf):
     return out.select("series", "date", "split", F.round("croston", 6).alias("croston"))
 
 
+cte(
+    "croston_hits",
+    f"""SELECT series, split, k, ordered, row_number() OVER ({P.replace('date', 'k')}) - 1 AS j, k - coalesce(lag(k) OVER ({P.replace('date', 'k')}), 0) AS gap
+FROM croston_rows WHERE ordered > 0""",
+)
+cte(
+    "croston_text",
+    """SELECT b.series, b.split, b.k, sum((CASE WHEN x.j = 0 THEN 1.0 ELSE 0.4 END) * pow(0.6, b.j - x.j) * x.ordered) AS size,
+  sum((CASE WHEN x.j = 0 THEN 1.0 ELSE 0.4 END) * pow(0.6, b.j - x.j) * x.gap) AS gap
+FROM croston_hits b JOIN croston_hits x ON x.series = b.series AND x.split = b.split AND x.j <= b.j GROUP BY 1, 2, 3""",
+)
+
+
+@query(
+    "croston_textbook",
+    f"""SELECT r.series, r.date, r.split, {r('coalesce(t.size / t.gap, 0)')} AS croston
+FROM croston_rows r ASOF LEFT JOIN croston_text t ON r.series = t.series AND r.split = t.split AND r.k > t.k""",
+)
+def croston_textbook(spark, sf):
+    panel = inp.filled(spark, sf).select("series", "date", "split", "ordered")
+    out = recursive.croston_textbook(panel, inp.SPLIT, "ordered")
+    return out.select("series", "date", "split", F.round("croston", 6).alias("croston"))
+
+
 @query(
     "croston_align",
     f"""SELECT t.series, t.date, t.ordered AS actual, {r('f.f')} AS predicted FROM

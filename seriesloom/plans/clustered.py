@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesloom.functions import calendar as cal
@@ -25,7 +25,7 @@ from seriesloom.spec import SeriesSpec
 
 @dataclass(frozen=True)
 class Horizon:
-    """Feature lists of a forecast horizon."""
+    """What a forecast horizon changes: features, how far test rows are moved, the split, labels and learner."""
 
     lags: tuple[int, ...] = win.LAGS["main"]
     rolls: tuple[int, ...] = win.ROLLS["main"]
@@ -34,11 +34,54 @@ class Horizon:
     ratio_lags: tuple[int, ...] = (1, 2, 3, 7)
     indicator_lags: tuple[int, ...] = (1, 2, 3)
     infer_rows: int = 1
+    #: Rows that the features of the test slice are moved further down.
+    test_rows: int = 0
+    #: The month before the test slice stays unused.
+    gap: bool = False
+    #: Rows by which the actual values of a roll-up are moved down.
+    actual_shift: tuple[tuple[str, int], ...] = ()
+    month_label: str = "month_end"
+    learner: str = "finished"
+
+    def split(self, day: Column, test_from: str) -> Column:
+        return split.gap_split(day, F.add_months(F.lit(test_from).cast("date"), -1)) if self.gap else split.cutoff_split(day, test_from)
 
 
 MAIN = Horizon()
-SHORT = Horizon(lags=win.LAGS["short"], rolls=win.ROLLS["short"])
-LONG = Horizon(lags=win.LAGS["long"], rolls=(30, 60, 90), roll_shift=30, infer_rows=1)
+# The lists of the two other horizons.
+SHORT = Horizon(
+    lags=win.LAGS["short"],
+    rolls=win.ROLLS["short"],
+    order_lags=(5, 7, 14, 30, 60),
+    ratio_lags=(5, 7),
+    indicator_lags=tuple(range(1, 12)),
+    month_label="month_start",
+    learner="second",
+)
+LONG = Horizon(
+    lags=win.LAGS["long"],
+    rolls=(30, 60, 90),
+    roll_shift=30,
+    order_lags=(30, 60, 90),
+    ratio_lags=(),
+    test_rows=30,
+    gap=True,
+    actual_shift=(("weekly", 7), ("monthly", 1)),
+    month_label="month_start",
+    learner="second",
+)
+
+
+def rolled_up(pairs: DataFrame, spec: SeriesSpec, horizon: Horizon) -> DataFrame:
+    """Daily pairs with their weekly and monthly sums; roll-ups sum actual values that are moved down first."""
+    moves = dict(horizon.actual_shift)
+    out = []
+    for grain, rule in {**GRAINS, "monthly": horizon.month_label}.items():
+        rows = pairs
+        if grain in moves:
+            rows = pairs.withColumn("actual", F.lag("actual", moves[grain]).over(spec.window()))
+        out.append(resample.stack_grains(rows, spec, ["actual", "predicted"], {grain: rule}))
+    return align.stack(out)
 
 
 def clusters(orders: DataFrame, external: DataFrame, since: str, n_init: int = cluster.FINAL["n_init"], k: int | None = None) -> DataFrame:
@@ -70,7 +113,7 @@ def feature_matrix(panel: DataFrame, external: DataFrame, spec: SeriesSpec, test
         **win.lags(order, local, horizon.order_lags, "Order"),
         **win.order_ratio_lags(order, target, local, horizon.ratio_lags, "Order"),
     }
-    months = external.withColumn("split", split.cutoff_split(F.col("month"), test_from))
+    months = external.withColumn("split", horizon.split(F.col("month"), test_from)).where("split IS NOT NULL")
     lagged = indicators.ext_lags(INDICATORS, horizon.indicator_lags, ("split",), F.col("split") != "train")
     by_day = align.month_to_days(
         months.select("split", "month", *[c.alias(n) for n, c in lagged.items()]), list(lagged), ("split",)
@@ -78,9 +121,21 @@ def feature_matrix(panel: DataFrame, external: DataFrame, spec: SeriesSpec, test
     names = [*own, *lagged]
     wide = align.join_days(win.add(panel, own), by_day, ("split",), spec.time)
     moved = win.infer_shift(wide, local, names, horizon.infer_rows)
+    if horizon.test_rows:
+        moved = win.infer_shift(moved, local, names, horizon.test_rows, F.col("split") == "test")
     return moved.select(*panel.columns, *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names]), names
 
 
+def learned(rows: DataFrame, spec: SeriesSpec, labels: list[int], learner: str) -> DataFrame:
+    """Test predictions of the finished boosted models, of the second learner, or of the mean of two learners."""
+    keys = ["series", spec.time]
+    if learner == "ensemble":
+        one, two = (models.panel_by_cluster(rows, models.ENSEMBLE, spec.target, keys, labels, kind) for kind in ("boosted", "forest"))
+        return models.ensemble_mean(one, two, keys)
+    configs, kind = {"finished": (models.FINISHED, "boosted"), "second": (models.SECOND, "forest")}[learner]
+    return models.panel_by_cluster(rows, configs, spec.target, keys, labels, kind)
+
+
 def run(
     orders: DataFrame,
     external: DataFrame,
@@ -89,20 +144,20 @@ def run(
     test_from: str,
     assignments: DataFrame,
     horizon: Horizon = MAIN,
-    trees: int | None = None,
     out: str | None = None,
+    learner: str | None = None,
 ) -> dict[str, DataFrame]:
     """Forecasts and scores of all series, written under ``out`` when it is given."""
     spec = SeriesSpec()
     panel = align.gap_fill(orders, spec, [spec.target, spec.order], start, end)
-    panel = panel.withColumn("split", split.cutoff_split(spec.t(), test_from))
+    panel = panel.withColumn("split", horizon.split(spec.t(), test_from)).where("split IS NOT NULL")
     features, names = feature_matrix(panel, external, spec, test_from, horizon)
     joined = features.join(assignments, "series", "left").fillna({"cluster": 3})
     vectors = models.vectors(joined, names)
     rows = spread(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"), "series", spec.time)
     labels = sorted(r["cluster"] for r in rows.select("cluster").distinct().collect())
-    predicted = models.panel_by_cluster(rows, models.FINISHED, spec.target, ["series", spec.time], labels, trees)
-    forecasts = cut_lineage(resample.stack_grains(predicted, spec, ["actual", "predicted"], GRAINS))
+    predicted = learned(rows, spec, labels, learner or horizon.learner)
+    forecasts = cut_lineage(rolled_up(cut_lineage(predicted), spec, horizon))
     scores = score.score_main(forecasts, ["series", "grain"])
     if out is not None:
         sinks.write_forecast(forecasts, f"{out}/forecasts")
