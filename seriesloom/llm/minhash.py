@@ -8,7 +8,7 @@ Within a bucket every member is compared with one centre only, so candidates gro
 with their square. The centre is the member that meets most others over all its buckets: edited copies
 share more buckets with their original than with each other. Links are confirmed on the full sets. Buckets
 whose members are still in different components go into another round with the next centre, until no bucket
-is left or a round confirms no new link.
+is left or a round joins no two components.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ class Shingler:
         if not found:
             return _NONE
         known = self.words
-        for w in set(found) - known.keys():
+        for w in set(found).difference(known):
             known[w] = xxhash.xxh64_intdigest(w, seed=1)
         h = np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
         if len(known) > REMEMBERED:
@@ -161,35 +161,43 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
     wanted = ranked.select("m.node").distinct().join(one, "node")
     sets = cut(sets_of(df, wanted, id_col, text_col, width), "sets")
 
-    centre = ranked.groupBy("key").agg(F.max("m").alias("c"))
-    open_, tested, found, roots, known = ranked, None, None, None, 0
+    # Members carry the root of their component so far; pairs within one component need no test.
+    open_ = ranked.withColumn("root", F.col("m.node"))
+    centre = open_.groupBy("key").agg(F.max("m").alias("c"))
+    merged = None
     while True:
+        led = open_.join(centre, "key")
         # n of two sets that share enough can't differ by more than the similarity itself.
         near = (100 * F.least("c.n", "m.n") >= similar * F.greatest("c.n", "m.n")) & (F.col("c.node") != F.col("m.node"))
-        pairs = open_.join(centre, "key").filter(near).select(F.least("c.node", "m.node").alias("a"), F.greatest("c.node", "m.node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "pairs")
+        tests = led if merged is None else led.join(merged.select(F.col("node").alias("_n"), F.col("root").alias("c_root")), F.col("c.node") == F.col("_n"), "left")
+        apart = F.lit(True) if merged is None else F.coalesce("c_root", F.col("c.node")) != F.col("root")
+        pairs = tests.filter(near & apart).select(F.least("c.node", "m.node").alias("a"), F.greatest("c.node", "m.node").alias("b")).distinct()
         fresh = cut(confirmed(pairs, sets, similar), "links")
-        n = fresh.count()
-        if n:
-            found = fresh if found is None else found.union(fresh)
-            roots = cut(components(found), "roots")
-        if not n or roots is None:
+        if fresh.isEmpty():
             break
-        tested = pairs if tested is None else tested.union(pairs)
-        # Buckets with members in different components, and their next centre.
-        rooted = open_.join(roots.withColumnRenamed("node", "_node"), F.col("m.node") == F.col("_node"), "left")
-        rooted = rooted.select("key", "m", F.coalesce("root", F.col("m.node")).alias("root"))
+        # Links between components so far; unlinked nodes are components of their own.
+        if merged is None:
+            merged = cut(components(fresh), "roots")
+        else:
+            known = merged.select(F.col("node").alias("_n"), "root")
+            ends = fresh.join(known, F.col("a") == F.col("_n"), "left").select(F.coalesce("root", "a").alias("a"), "b")
+            ends = ends.join(known, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("root", "b").alias("b"))
+            above = cut(components(ends), "above").select(F.col("node").alias("_r"), F.col("root").alias("top"))
+            moved = merged.join(above, F.col("root") == F.col("_r"), "left").select("node", F.coalesce("top", "root").alias("root"))
+            new = above.join(merged, F.col("_r") == F.col("node"), "left_anti").select(F.col("_r").alias("node"), F.col("top").alias("root"))
+            merged = cut(moved.union(new), "roots")
+        # Buckets with members in different components, and the next centre of each.
+        known = merged.select(F.col("node").alias("_n"), F.col("root").alias("_root"))
+        rooted = open_.select("key", "m").join(known, F.col("m.node") == F.col("_n"), "left").select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
+        open_ = cut(rooted.join(mixed, "key"), "open")
         last = centre.withColumnRenamed("c", "before")
-        open_ = cut(open_.join(mixed, "key"), "open")
         centre = cut(open_.join(last, "key").filter(F.col("m") < F.col("before")).groupBy("key").agg(F.max("m").alias("c")), "centres")
         if centre.isEmpty():
             break
-    if roots is None:
+    if merged is None:
         return base.select("node", F.col("node").alias("root")).limit(0)
-    return roots
+    return merged
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similar: int = SIMILAR) -> DataFrame:
