@@ -39,11 +39,15 @@ PREFIXES = (3, 4, 5)
 LEAST_DOCS, PRIOR, LEAST_ODDS, LEXICON = 4, 10, 2.0, 50_000
 #: Bounds of the fitting sample: documents of each label, tokens of each window.
 SAMPLE_DOCS, WINDOW = 1500, 400
+#: Counts that a task holds before it passes them on.
+MOST_COUNTS = 300_000
 SEED = 5
 CUT_AT = 0.3
 #: Upper ends of the log-odds classes that are the observations of a token.
 CLASSES = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0)
 BLOCK = 128
+#: Tokens, and characters of texts, that are worked on at once.
+SLAB, AT_ONCE = 1 << 17, 2_000_000
 
 
 def held_out(id_col: Column) -> Column:
@@ -63,15 +67,23 @@ def features(token: str) -> list[str]:
 def feature_counts(labelled: DataFrame) -> DataFrame:
     """(`feature`, `toxic`, `clean`): documents with the feature, from rows (`text`, `toxic`)."""
 
+    def rows(counts):
+        for label, own in enumerate(counts):
+            if own:
+                n = pd.Series(list(own.values()), dtype="int64")
+                yield pd.DataFrame({"feature": list(own), "clean": n * (1 - label), "toxic": n * label})
+                own.clear()
+
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            counts: dict[str, list[int]] = {}
+            counts: tuple[dict[str, int], dict[str, int]] = ({}, {})
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
+                own = counts[label]
                 for f in {f for t in set(tokens(text)) for f in features(t)}:
-                    counts.setdefault(f, [0, 0])[label] += 1
-            yield pd.DataFrame(
-                {"feature": list(counts), "clean": [c[0] for c in counts.values()], "toxic": [c[1] for c in counts.values()]}
-            )
+                    own[f] = own.get(f, 0) + 1
+                if len(own) > MOST_COUNTS:
+                    yield from rows(counts)
+            yield from rows(counts)
 
     counted = labelled.mapInPandas(per_batch, "feature string, clean long, toxic long")
     return counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -103,7 +115,7 @@ class Model:
             if c is None:
                 odds = max((self.lexicon.get(f, -9.0) for f in features(t)), default=-9.0)
                 c = 0 if odds == -9.0 else 1 + int(np.searchsorted(CLASSES, odds))
-                if len(cache) < 1_000_000:
+                if len(cache) < 200_000:
                     cache[t] = c
             out[i] = c
         return out
@@ -149,24 +161,38 @@ def _scan(m: np.ndarray) -> np.ndarray:
 
 
 def marginals(obs: np.ndarray, lengths: np.ndarray, state: np.ndarray, move: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Probability of state 1 for every token of the concatenated sequences obs."""
-    if not len(obs):
-        return np.zeros(0)
-    emit = np.exp(state - state.max(axis=1, keepdims=True))[obs]
-    trans = np.exp(move)
-    m = trans[None] * emit[:, None, :]
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    # At the start of a sequence the row before doesn't matter.
-    m[first] = (np.exp(start)[None] * emit[first])[:, None, :]
-    alpha = _scan(m)[:, 0, :]
-    # Backwards: beta[i] = trans @ (emit[i+1] * beta[i+1]), 1 at the end of a sequence.
-    back = np.empty_like(m)
-    back[:-1] = trans[None] * emit[1:, None, :]
-    last = np.cumsum(lengths) - 1
-    back[last] = 1.0
-    beta = _scan(back[::-1].transpose(0, 2, 1))[::-1].transpose(0, 2, 1).sum(axis=2)
-    p = alpha * beta
-    return p[:, 1] / p.sum(axis=1)
+    """Probability of state 1 for every token of the concatenated sequences obs.
+
+    Goes through the tokens in slabs, forwards and back, and carries one vector from slab to slab.
+    """
+    n = len(obs)
+    emit_of, trans, begin = np.exp(state - state.max(axis=1, keepdims=True)), np.exp(move), np.exp(start)
+    opens, closes = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+    closes[np.cumsum(lengths) - 1] = True
+    opens[np.cumsum(lengths) - lengths] = True
+    alpha, out = np.empty((n, 2)), np.empty(n)
+    carry = np.ones(2)
+    for low in range(0, n, SLAB):
+        emit = emit_of[obs[low : low + SLAB]]
+        m = trans[None] * emit[:, None, :]
+        # At the start of a sequence what comes before doesn't matter.
+        first = opens[low : low + SLAB]
+        m[first] = (begin[None] * emit[first])[:, None, :]
+        m[0] = (carry @ m[0])[None, :]
+        alpha[low : low + SLAB] = _scan(m)[:, 0, :]
+        carry = alpha[min(low + SLAB, n) - 1]
+    carry = np.ones(2)
+    for low in reversed(range(0, n, SLAB)):
+        high = min(low + SLAB, n)
+        # beta[i] = back[i] @ beta[i + 1] with back[i] = trans * emit[i + 1], and all ones at the end of a sequence.
+        back = np.ones((high - low, 2, 2))
+        inner = np.flatnonzero(~closes[low:high])
+        back[inner] = trans[None] * emit_of[obs[low + inner + 1]][:, None, :]
+        beta = _scan(back[::-1].transpose(0, 2, 1))[::-1].transpose(0, 2, 1) @ carry
+        carry = beta[0] / beta[0].max()
+        p = alpha[low:high] * beta
+        out[low:high] = p[:, 1] / p.sum(axis=1)
+    return out
 
 
 def fit_chain(obs: list[np.ndarray], labels: list[np.ndarray], rounds: int = 60, l2: float = 1e-2):
@@ -236,6 +262,18 @@ def summary(probs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parts(batch):
+    """The batch in slices of about AT_ONCE characters; a longer text is one slice."""
+    low, held = 0, 0
+    for i, n in enumerate(map(len, batch["text"])):
+        held += n
+        if held >= AT_ONCE:
+            yield batch.iloc[low : i + 1]
+            low, held = i + 1, 0
+    if low < len(batch):
+        yield batch.iloc[low:]
+
+
 def _sequences(texts, model: Model, cache: dict[str, int]):
     obs = [model.classes(tokens(t), cache) for t in texts]
     lengths = np.array([len(o) for o in obs], dtype=np.int64)
@@ -327,7 +365,7 @@ def _window_udf(model: Model):
 def _summaries(model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, int] = {}
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in _parts(whole_batch)):
             obs, lengths = _sequences(batch["text"], model, cache)
             s = summary(_marginals(obs, lengths, model), lengths)
             yield pd.DataFrame({"a": s[:, 0], "b": s[:, 1], "c": s[:, 2], "toxic": batch["toxic"].to_numpy(dtype="int32")})
@@ -345,7 +383,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, cache = Model.from_json(sent.value), {}
-        for batch in batches:
+        for batch in (part for whole_batch in batches for part in _parts(whole_batch)):
             obs, lengths = _sequences(batch["text"], own, cache)
             probs = _marginals(obs, lengths, own)
             scores = own.scores(summary(probs, lengths))
@@ -368,10 +406,13 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", cut_at: fl
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, cache = Model.from_json(sent.value), {}
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            obs, lengths = _sequences(texts, own, cache)
-            scores = own.scores(summary(_marginals(obs, lengths, own), lengths))
-            yield batch.filter(pa.array(scores < cut_at))
+            texts = pd.DataFrame({"text": [t or "" for t in batch.column(at).to_pylist()]})
+            scores = []
+            for part in _parts(texts):
+                obs, lengths = _sequences(part["text"], own, cache)
+                scores.append(own.scores(summary(_marginals(obs, lengths, own), lengths)))
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < cut_at))
 
     return docs.mapInArrow(run, schema)
 
