@@ -162,16 +162,15 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
     sets = cut(sets_of(df, wanted, id_col, text_col, width), "sets")
 
     # Members carry the root of their component so far; pairs within one component need no test.
-    open_ = ranked.withColumn("root", F.col("m.node"))
-    centre = open_.groupBy("key").agg(F.max("m").alias("c"))
-    merged = None
+    open_, merged = ranked.withColumn("root", F.col("m.node")), None
     while True:
-        led = open_.join(centre, "key")
+        centre = open_.groupBy("key").agg(F.max(F.struct("m", "root")).alias("c"))
+        # A centre meets all others of its bucket now, so the bucket goes on without it.
+        led = open_.join(centre, "key").filter(F.col("c.m.node") != F.col("m.node"))
         # n of two sets that share enough can't differ by more than the similarity itself.
-        near = (100 * F.least("c.n", "m.n") >= similar * F.greatest("c.n", "m.n")) & (F.col("c.node") != F.col("m.node"))
-        tests = led if merged is None else led.join(merged.select(F.col("node").alias("_n"), F.col("root").alias("c_root")), F.col("c.node") == F.col("_n"), "left")
-        apart = F.lit(True) if merged is None else F.coalesce("c_root", F.col("c.node")) != F.col("root")
-        pairs = tests.filter(near & apart).select(F.least("c.node", "m.node").alias("a"), F.greatest("c.node", "m.node").alias("b")).distinct()
+        near = 100 * F.least("c.m.n", "m.n") >= similar * F.greatest("c.m.n", "m.n")
+        tests = led.filter(near & (F.col("root") != F.col("c.root")))
+        pairs = tests.select(F.least("c.m.node", "m.node").alias("a"), F.greatest("c.m.node", "m.node").alias("b")).distinct()
         fresh = cut(confirmed(pairs, sets, similar), "links")
         if fresh.isEmpty():
             break
@@ -186,14 +185,12 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
             moved = merged.join(above, F.col("root") == F.col("_r"), "left").select("node", F.coalesce("top", "root").alias("root"))
             new = above.join(merged, F.col("_r") == F.col("node"), "left_anti").select(F.col("_r").alias("node"), F.col("top").alias("root"))
             merged = cut(moved.union(new), "roots")
-        # Buckets with members in different components, and the next centre of each.
+        # Buckets whose other members are in different components.
         known = merged.select(F.col("node").alias("_n"), F.col("root").alias("_root"))
-        rooted = open_.select("key", "m").join(known, F.col("m.node") == F.col("_n"), "left").select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
+        rooted = led.select("key", "m").join(known, F.col("m.node") == F.col("_n"), "left").select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
         open_ = cut(rooted.join(mixed, "key"), "open")
-        last = centre.withColumnRenamed("c", "before")
-        centre = cut(open_.join(last, "key").filter(F.col("m") < F.col("before")).groupBy("key").agg(F.max("m").alias("c")), "centres")
-        if centre.isEmpty():
+        if open_.isEmpty():
             break
     if merged is None:
         return base.select("node", F.col("node").alias("root")).limit(0)
