@@ -1,15 +1,17 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-1. Statistics (Spark, all training documents): for every word and every word beginning of 3 to 5 letters the
+Training reads a bounded, seeded sample of the labelled rows: at most `SAMPLE_LABELS` of each label, weighted
+by how many there are. Scores read whole texts of all documents.
+
+1. Statistics (Spark): for every word and every word beginning of 4 or 5 letters the
    number of toxic and of clean documents it occurs in, and from these a smoothed log-odds ratio. The
    features most strongly tied to the label form a lexicon of bounded size.
 2. Token labels: in toxic documents the tokens whose strongest feature passes a threshold are toxic, all other
    tokens of training documents are not.
 3. The chain (states 0 and 1) is fitted by gradient ascent on a bounded, seeded sample of
    windows of labelled tokens: `SAMPLE_DOCS` documents, at most `WINDOW` tokens around evidence or the start.
-   Only this fit uses a sample; statistics, calibration and scores read whole texts.
 4. Scores: forward-backward marginals of whole texts. The document score is a logistic function of the log of
-   the expected number of toxic tokens, of its share and of the highest marginal, fitted on the sums of
+   the expected number of toxic tokens, the log of their share and the highest marginal, fitted on the sums of
    training documents. Offsets are the runs of tokens with a marginal of at least one half.
 
 Forward and backward products are 2x2 matrices; they are scanned over blocks of tokens, so a very long
@@ -20,8 +22,10 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -34,13 +38,17 @@ from .common import cut, table, whole
 TOKEN = re.compile(r"[^\W_]+")
 #: Rows whose crc32(id as text) has this remainder are held out from all learning.
 FOLDS, HELD_OUT = 4, 2
-PREFIXES = (3, 4, 5)
+PREFIXES = (4, 5)
 #: Documents a feature must occur in, documents of the prior, log-odds of toxic tokens, and features kept.
 LEAST_DOCS, PRIOR, LEAST_ODDS, LEXICON = 4, 10, 2.0, 50_000
+#: Labelled rows of each label that training reads: those with the least hash of their id.
+SAMPLE_LABELS = 10_000
 #: Bounds of the fitting sample: documents of each label, tokens of each window.
 SAMPLE_DOCS, WINDOW = 1500, 400
 #: Counts that a task holds before it passes them on.
 MOST_COUNTS = 300_000
+#: Words whose class a task remembers.
+REMEMBERED = 400_000
 SEED = 5
 CUT_AT = 0.3
 #: Upper ends of the log-odds classes that are the observations of a token.
@@ -109,16 +117,15 @@ class Model:
         return Model(**json.loads(text))
 
     def classes(self, toks: list[str], cache: dict[str, int]) -> np.ndarray:
-        out = np.empty(len(toks), dtype=np.int64)
-        for i, t in enumerate(toks):
-            c = cache.get(t)
-            if c is None:
-                odds = max((self.lexicon.get(f, -9.0) for f in features(t)), default=-9.0)
-                c = 0 if odds == -9.0 else 1 + int(np.searchsorted(CLASSES, odds))
-                if len(cache) < 200_000:
-                    cache[t] = c
-            out[i] = c
-        return out
+        codes = list(map(cache.get, toks))
+        for t in set(compress(toks, [c is None for c in codes])):
+            odds = max(self.lexicon.get(f, -9.0) for f in features(t))
+            cache[t] = 0 if odds == -9.0 else 1 + bisect_left(CLASSES, odds)
+        if None in codes:
+            codes = list(map(cache.__getitem__, toks))
+        if len(cache) > REMEMBERED:
+            cache.clear()
+        return np.array(codes, dtype=np.int64)
 
     def scores(self, summaries: np.ndarray) -> np.ndarray:
         w = np.array(self.logistic)
@@ -251,14 +258,14 @@ def fit_chain(obs: list[np.ndarray], labels: list[np.ndarray], rounds: int = 60,
 
 
 def summary(probs: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Per sequence: log of 0.01 + expected toxic tokens, their share, and the highest marginal."""
+    """Per sequence: log of 0.01 + expected toxic tokens, log of 0.001 + their share, and the highest marginal."""
     out = np.zeros((len(lengths), 3))
-    out[:, 0] = np.log(0.01)
+    out[:, 0], out[:, 1] = np.log(0.01), np.log(0.001)
     full = np.flatnonzero(lengths)
     if len(full):
         first = np.concatenate([[0], np.cumsum(lengths[full])[:-1]])
         total = np.add.reduceat(probs, first)
-        out[full] = np.stack([np.log(0.01 + total), total / lengths[full], np.maximum.reduceat(probs, first)], axis=1)
+        out[full] = np.stack([np.log(0.01 + total), np.log(0.001 + total / lengths[full]), np.maximum.reduceat(probs, first)], axis=1)
     return out
 
 
@@ -292,16 +299,24 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     own = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("toxic")).filter("toxic IN (0, 1) AND id IS NOT NULL")
-    own = own.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = cut(docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(own, "id"), "labelled")
-    totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    clean, toxic = totals.get(0, 0), totals.get(1, 0)
-    share = (toxic + 0.5) / (clean + toxic + 1)
+    own = cut(own.filter(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").cast("int").alias("toxic")), "labels")
+    totals = {r.toxic: r["count"] for r in own.groupBy("toxic").count().collect()}
+    place = F.xxhash64(F.lit(SEED), "id")
+    sample = [own.filter(F.col("toxic") == label).orderBy(place, "id").limit(SAMPLE_LABELS) for label in (0, 1)]
+    # At most 2 * SAMPLE_LABELS rows of two numbers: the texts stay where they are.
+    chosen = F.broadcast(sample[0].union(sample[1]))
+    rows = cut(docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).join(chosen, "id"), "labelled")
+    held = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    clean, toxic = held.get(0, 0), held.get(1, 0)
+    # What a sampled row of each label stands for.
+    stands = {label: max(1.0, totals[label] / held[label]) if held.get(label) else 1.0 for label in (0, 1)}
+    share = (toxic * stands[1] + 0.5) / (clean * stands[0] + toxic * stands[1] + 1)
     blank = Model({}, [[0.0, 0.0]] * N_CLASSES, [[0.0, 0.0]] * 2, [0.0, 0.0], [float(np.log(share / (1 - share))), 0.0, 0.0, 0.0], [0.0] * 3, [1.0] * 3)
     if not clean or not toxic:
         return blank
     # Log-odds against the share of toxic documents, drawn towards 0 as if PRIOR more documents had that share.
-    odds = F.log((F.col("toxic") + PRIOR * share) / (F.col("clean") + PRIOR * (1 - share))) - float(np.log(share / (1 - share)))
+    weighed = (F.col("toxic") * stands[1] + PRIOR * share) / (F.col("clean") * stands[0] + PRIOR * (1 - share))
+    odds = F.log(weighed) - float(np.log(share / (1 - share)))
     strong = feature_counts(rows.select("text", "toxic")).filter(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds)
     kept = strong.filter(F.col("odds") >= 1.0).orderBy(F.desc("odds"), F.desc("toxic"), "feature").limit(LEXICON).collect()
     model = blank
@@ -325,9 +340,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sums = rows.select("text", "toxic").mapInPandas(_summaries(model), "a double, b double, c double, toxic int")
     # Equal summaries are one weighted row of rounded values: their number is bounded by the grid, not by the rows.
-    grid = sums.groupBy(*(F.round(c, 1).alias(c) if c == "a" else F.round(c, 2).alias(c) for c in "abc"), "toxic").count().collect()
+    grid = sums.groupBy(*(F.round(c, 2 if c == "c" else 1).alias(c) for c in "abc"), "toxic").count().collect()
     x = np.array([[r.a, r.b, r.c] for r in grid])
-    y, n = np.array([r.toxic for r in grid], dtype=float), np.array([r["count"] for r in grid], dtype=float)
+    y, n = np.array([r.toxic for r in grid], dtype=float), np.array([r["count"] * stands[r.toxic] for r in grid], dtype=float)
     w, center, scale = _weighted_logistic(x, y, n)
     model.logistic, model.center, model.scale = w.tolist(), center.tolist(), scale.tolist()
     return model
