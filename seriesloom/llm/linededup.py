@@ -27,7 +27,7 @@ KEYS = "h1 long, h2 long, docs long, doc long, pos int"
 
 def line_key(line: Column) -> Column:
     """What two equal lines share: white space stripped at both ends, A-Z lower-cased."""
-    return ascii_lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", ""))
+    return ascii_lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def row_key(id_col: str, text_col: str) -> Column:
