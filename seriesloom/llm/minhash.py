@@ -7,8 +7,9 @@ random sequence meets first (optimal densification). The minima of a band make a
 Within a bucket every member is compared with one centre only, so candidates grow with the members, not
 with their square. The centre is the member that meets most others over all its buckets: edited copies
 share more buckets with their original than with each other. Links are confirmed on the full sets. Buckets
-whose members are still in different components go into another round with the next centre, until no bucket
-is left or a round joins no two components.
+whose members are still in different components go into another round with the next centre. What is open after
+CENTRES rounds is compared by an exact prefix-filter join, so every pair that shares a bucket is either tested or in
+one component, whatever else is in the corpus.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table, whole
@@ -28,6 +29,8 @@ from .components import components
 BANDS, ROWS = 40, 6
 #: Per cent of the union that two documents must share.
 SIMILAR = 80
+#: Rounds of centres before the members of open buckets are compared exactly.
+CENTRES = 2
 REMEMBERED = 500_000
 _TRIES = 400
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -147,6 +150,42 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> Data
     return both.filter(100 * F.col("common") >= similar * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
+def joined(merged: DataFrame | None, fresh: DataFrame) -> DataFrame | None:
+    """The components (`node`, `root`) so far with the links (`a`, `b`) added; None while there is no link."""
+    if fresh.isEmpty():
+        return merged
+    if merged is None:
+        return cut(components(fresh), "roots")
+    # Links between components so far; unlinked nodes are components of their own.
+    known = merged.select(F.col("node").alias("_n"), "root")
+    ends = fresh.join(known, F.col("a") == F.col("_n"), "left").select(F.coalesce("root", "a").alias("a"), "b")
+    ends = ends.join(known, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("root", "b").alias("b"))
+    above = cut(components(ends), "above").select(F.col("node").alias("_r"), F.col("root").alias("top"))
+    moved = merged.join(above, F.col("root") == F.col("_r"), "left").select("node", F.coalesce("top", "root").alias("root"))
+    new = above.join(merged, F.col("_r") == F.col("node"), "left_anti").select(F.col("_r").alias("node"), F.col("top").alias("root"))
+    return cut(moved.union(new), "roots")
+
+
+def candidates(rest: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
+    """All pairs (`a`, `b`) of rest (`node`, `n`, `root`) that may be similar and are in different components.
+
+    Two sets that share enough have a hash in common among the rarest n - ceil(similar * n) + 1 of each, in any one order of
+    all hashes; rare ones first keeps the pairs few. Pairs within the largest component of a hash are never formed.
+    """
+    each = rest.join(sets, "node").select("node", "n", "root", F.explode("hashes").alias("hash"))
+    count = each.groupBy("hash").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("node").orderBy("often", "hash")
+    first = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
+    heads = each.join(count, "hash").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= first).filter("often > 1")
+    heads = cut(heads.select("hash", "node", "n", "root"), "heads")
+    most = heads.groupBy("hash", "root").agg(F.count(F.lit(1)).alias("members")).groupBy("hash")
+    most = most.agg(F.max_by("root", F.struct("members", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    left = heads.join(most, "hash").filter("root != most").select("hash", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "root")])
+    met = left.join(heads.join(most.select("hash"), "hash", "left_semi"), "hash")
+    near = (100 * F.least("n", "_n") >= similar * F.greatest("n", "_n")) & (F.col("root") != F.col("_root"))
+    return met.filter(near).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
 def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int, similar: int = SIMILAR) -> DataFrame:
     """(`node`, `root`) for every node that a confirmed link touches."""
     nodes = base.filter("n > 0")
@@ -163,7 +202,7 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
 
     # Members carry the root of their component so far; pairs within one component need no test.
     open_, merged = ranked.withColumn("root", F.col("m.node")), None
-    while True:
+    for _ in range(CENTRES):
         centre = open_.groupBy("key").agg(F.max(F.struct("m", "root")).alias("c"))
         # A centre meets all others of its bucket now, so the bucket goes on without it.
         led = open_.join(centre, "key").filter(F.col("c.m.node") != F.col("m.node"))
@@ -171,27 +210,21 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
         near = 100 * F.least("c.m.n", "m.n") >= similar * F.greatest("c.m.n", "m.n")
         tests = led.filter(near & (F.col("root") != F.col("c.root")))
         pairs = tests.select(F.least("c.m.node", "m.node").alias("a"), F.greatest("c.m.node", "m.node").alias("b")).distinct()
-        fresh = cut(confirmed(pairs, sets, similar), "links")
-        if fresh.isEmpty():
-            break
-        # Links between components so far; unlinked nodes are components of their own.
-        if merged is None:
-            merged = cut(components(fresh), "roots")
-        else:
-            known = merged.select(F.col("node").alias("_n"), "root")
-            ends = fresh.join(known, F.col("a") == F.col("_n"), "left").select(F.coalesce("root", "a").alias("a"), "b")
-            ends = ends.join(known, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("root", "b").alias("b"))
-            above = cut(components(ends), "above").select(F.col("node").alias("_r"), F.col("root").alias("top"))
-            moved = merged.join(above, F.col("root") == F.col("_r"), "left").select("node", F.coalesce("top", "root").alias("root"))
-            new = above.join(merged, F.col("_r") == F.col("node"), "left_anti").select(F.col("_r").alias("node"), F.col("top").alias("root"))
-            merged = cut(moved.union(new), "roots")
-        # Buckets whose other members are in different components.
-        known = merged.select(F.col("node").alias("_n"), F.col("root").alias("_root"))
-        rooted = led.select("key", "m").join(known, F.col("m.node") == F.col("_n"), "left").select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
+        merged = joined(merged, cut(confirmed(pairs, sets, similar), "links"))
+        # Buckets whose other members are in different components, whether or not this round has linked anything.
+        rooted = led.select("key", "m", F.col("m.node").alias("root"))
+        if merged is not None:
+            known = merged.select(F.col("node").alias("_n"), F.col("root").alias("_root"))
+            rooted = rooted.drop("root").join(known, F.col("m.node") == F.col("_n"), "left")
+            rooted = rooted.select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
         open_ = cut(rooted.join(mixed, "key"), "open")
         if open_.isEmpty():
             break
+    else:
+        rest = cut(open_.select(F.col("m.node").alias("node"), F.col("m.n").alias("n"), "root").distinct(), "rest")
+        pairs = cut(candidates(rest, sets, similar), "candidates")
+        merged = joined(merged, cut(confirmed(pairs, sets, similar), "links"))
     if merged is None:
         return base.select("node", F.col("node").alias("root")).limit(0)
     return merged
@@ -212,9 +245,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     linked = F.struct(F.coalesce("root", "node").alias("node"), F.lit(0).cast("long").alias("row"))
     placed = rows.select("id", "row", "n", F.when(F.col("n") == 0, alone).otherwise(linked).alias("group"))
     least = placed.groupBy("group").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    joined = placed.join(least, "group", "left")
+    sized = placed.join(least, "group", "left")
     component = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return joined.select("id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return sized.select("id", "row", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

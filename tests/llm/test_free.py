@@ -132,6 +132,17 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows):
     assert minhash.groups(odd([])).collect() == []
 
 
+def test_twins_behind_a_family_without_links(odd):
+    """Two late edits at 0.8018 in a family of copies that are all at 0.786 of each other: no round of centres links anything."""
+    core = [f"core2w{i}" for i in range(440)]
+    rows = [(i, [*core, *(f"own2w{i}x{k}" for k in range(60))], "a") for i in range(60)]
+    rows += [(i, [*core, *(f"late2w{k}" for k in range(5)), *(f"own2w{i}x{k}" for k in range(55))], "a") for i in (100, 101)]
+    rows = [(i, " ".join(words), s) for i, words, s in rows]
+    want, _ = brute_groups(rows, 1)
+    assert want[101] == 100 and sum(i != c for i, c in want.items()) == 1
+    assert {r.id: r.component_id for r in minhash.groups(odd(rows), width=1).collect()} == want
+
+
 def test_densified_minima_follow_likeness():
     bands, rng = minhash.Bands(), np.random.default_rng(1)
     for size in (30, 300, 3000):
