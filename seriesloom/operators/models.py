@@ -289,7 +289,8 @@ def grid_search(rows: DataFrame, grid: dict[str, tuple], label: str, base: Boost
     """Cross-validated R2 over a parameter grid on top of ``base``; the best configuration is refitted.
 
     The numbers of trees of a point come from one fit with the most trees, cut to its first trees, so that axis costs
-    no fits. Points and folds are fitted a few at a time. ``rows`` has a fold column 0 .. folds - 1.
+    no fits. Points and folds are fitted a few at a time. ``rows`` has a fold column 0 .. folds - 1. Returns the refitted
+    model and (`params`, `r2`, `best`); best marks the point of the model, the first of several with the same score.
     """
     spark = rows.sparkSession
     stages = sorted(grid.get("trees", (base.trees,)))
@@ -311,8 +312,9 @@ def grid_search(rows: DataFrame, grid: dict[str, tuple], label: str, base: Boost
         for i, n in enumerate(stages):
             table.append((point | {"trees": n}, sum(s[i] for s in mine) / folds))
     best = max(table, key=lambda t: t[1])[0]
-    shown = [({a: str(v) for a, v in point.items()}, mean) for point, mean in table]
-    return boosted(replace(base, **best), label).fit(rows), spark.createDataFrame(shown, "params map<string,string>, r2 double")
+    shown = [({a: str(v) for a, v in point.items()}, mean, point is best) for point, mean in table]
+    schema = "params map<string,string>, r2 double, best boolean"
+    return boosted(replace(base, **best), label).fit(rows), spark.createDataFrame(shown, schema)
 
 
 def categories(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -149,14 +149,13 @@ def cv_backward(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    """Trees, depth and rate of each cluster's grid, cross-validated; the other axes stay at the cluster's configuration."""
+    """All axes of each cluster's grid, cross-validated; best marks the chosen parameters of a cluster."""
     rows, _ = monthly_rows(spark, sf)
     folded = models.expanding_folds(rows.where("split = 'train'"), inp.MONTHLY, 2)
     out = []
     for c in clusters_of(rows):
-        grid = {axis: models.GRIDS[c][axis] for axis in ("trees", "depth", "rate")}
-        _, table = models.grid_search(folded.where(F.col("cluster") == c), grid, "dispatched", models.MONTHLY[c])
-        out.append(table.select(F.lit(c).alias("cluster"), F.to_json("params").alias("params"), "r2"))
+        _, table = models.grid_search(folded.where(F.col("cluster") == c), models.GRIDS[c], "dispatched", models.MONTHLY[c])
+        out.append(table.select(F.lit(c).alias("cluster"), F.to_json("params").alias("params"), "r2", "best"))
     return align.stack(out)
 
 

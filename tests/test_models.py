@@ -82,3 +82,22 @@ def test_model_query_gives_rows(spark, name):
     from seriesloom.plans import catalog
 
     assert catalog.QUERIES[name](spark, SF).count() > 0
+
+
+def test_grid_search_takes_every_axis_and_marks_the_best(spark, monkeypatch):
+    import json
+
+    from seriesloom.plans import cat_models
+
+    rng = np.random.default_rng(5)
+    rows = [(i % 3, Vectors.dense(float(x)), float(3 * x), "train", 0) for i, x in enumerate(rng.normal(size=60))]
+    frame = spark.createDataFrame(rows, ["fold", "features", "dispatched", "split", "cluster"]).cache()
+    grid = {"trees": (1, 2), "rate": (0.1,), "depth": (2,), "min_child": (1, 5), "rows": (0.7,), "cols": (0.7, 1.0)}
+    assert all(set(g) == set(grid) for g in models.GRIDS.values())
+    monkeypatch.setattr(models, "GRIDS", {0: grid})
+    monkeypatch.setattr(models, "expanding_folds", lambda df, spec, n: df)
+    monkeypatch.setattr(cat_models, "monthly_rows", lambda spark, sf: (frame, None))
+    monkeypatch.setattr(cat_models, "clusters_of", lambda rows: [0])
+    got = cat_models.grid_search(spark, None).collect()
+    assert len({r.params for r in got}) == len(got) == 8 and all(set(json.loads(r.params)) == set(grid) for r in got)
+    assert [r.r2 for r in got if r.best] == [max(r.r2 for r in got)]
