@@ -4,11 +4,13 @@ Pages that an allow rule fits make their host a trusted seed, pages that a block
 each by its number of pages. Trust flows from trusted seeds along the edges (personalised PageRank),
 distrust from blocked seeds against them (who leads to blocked hosts is suspect). Edges are hyperlinks
 between hosts, and both ways between a host and its parent domain. A page without a rule is
-blocked when its host's distrust exceeds its trust.
+blocked when its host's distrust exceeds its trust. Rounds go on until the mass has settled (TOLERANCE) and
+no host is reached for the first time, however far it is from the seeds.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +19,10 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, cut, discard, store, table
 
 DAMPING = 0.85
-ROUNDS = 12
+#: Summed change of the mass of either kind in a last round.
+TOLERANCE = 1e-6
+#: Rounds after which the change is below TOLERANCE on any graph: it is at most 2 * DAMPING ** n in round n.
+ROUNDS = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING))
 #: Rounds between two cuts of the lineage.
 CUT_EVERY = 4
 #: A host is blocked when distrust > RATIO * trust.
@@ -86,6 +91,7 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     """(`host`, `trust`, `distrust`) of all hosts that mass reaches.
 
     seeds: `host`, `trusted`, `blocked` (weights, each scaled to sum 1). A host without way out keeps its mass.
+    rounds is the least number; more follow while they reach new hosts.
     Hosts with very many edges are summed before each shuffle; the join on the source of an
     edge is a plain equi-join whose large sides Spark splits.
     """
@@ -103,7 +109,9 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     graph = cut(both.join(degree, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (damping / F.col("degree")).alias("w")), "graph")
     restart = start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("mass"))
     rank, last = start.select("kind", "host", F.col("seed").alias("mass")), None
-    for i in range(1, rounds + 1):
+    reached, i = None, 0
+    while True:
+        i += 1
         moved = rank.join(graph, ["kind", "host"]).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("w")).alias("mass"))
         rank = moved.union(restart).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if i % CUT_EVERY == 0 or i == rounds:
@@ -111,6 +119,10 @@ def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
             if last:
                 discard(spark, last)
             last = path
+            # Seeds give mass in every round, so a host that has some keeps some: equal counts mean no new host.
+            before, reached = reached, rank.count()
+            if reached == 0 or i >= rounds and reached == before:
+                break
     part = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("mass"))), F.lit(0.0)).alias(kind)
     return rank.groupBy("host").agg(part("trust"), part("distrust"))
 

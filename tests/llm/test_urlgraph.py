@@ -89,3 +89,12 @@ def test_pages_of_the_test_tables(spark, sf):
     pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").collect()]
     got = by_page(tuple(r) for r in U.op2_url_filter(spark, sf).collect())
     assert got == by_page(brute(pages)) and {r[4] for r in got} == {"allow", "block"}
+
+
+def test_hosts_far_from_a_blocked_seed(spark):
+    """A chain of 100 hosts that ends at a blocked one, longer than the rounds that the tolerance asks for."""
+    pages = [(i, f"http://h{i}.io/", f'<a href="http://h{i + 1}.io/">') for i in range(99)]
+    pages += [(99, "http://h99.io/", '<a href="http://bad.net/">'), (100, "http://bad.net/", ""), (101, "http://alone.io/", "")]
+    got = {r.id: r for r in U.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert U.ROUNDS < 100 and all(got[i].verdict == "block" and got[i].distrust > 0 for i in range(101))
+    assert got[101].verdict == "allow" and got[101].distrust == 0
