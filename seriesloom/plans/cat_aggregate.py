@@ -368,6 +368,15 @@ def demand_pattern(spark, sf):
     return stats.select("series", lumpy.demand_pattern(F.col("cv")).alias("pattern"))
 
 
+@query("demand_pattern_train")
+def demand_pattern_train(spark, sf):
+    """Classes of all parts from their train months, without the cut at 1998 that ``demand_pattern`` shares with its SQL."""
+    rows = tables.orders_monthly(spark, sf, F.col("p_partkey").cast("string"))
+    part = F.when(F.col("month") < F.lit(inp.TEST).cast("date"), "train").otherwise("test")
+    stats = score.series_stats(rows.withColumn("split", part), ["series"], "ordered")
+    return stats.select("series", lumpy.demand_pattern(F.col("demand_cv")).alias("pattern"))
+
+
 _SMOOTH = """SELECT series, count(*) AS n, stddev_pop(CASE WHEN ordered > 0 THEN ordered END) / nullif(avg(CASE WHEN ordered > 0 THEN ordered END), 0) AS cv,
   avg(CASE WHEN ordered > 0 THEN 1.0 ELSE 0.0 END) AS share FROM monthly_lumpy GROUP BY 1"""
 

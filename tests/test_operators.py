@@ -306,3 +306,25 @@ def test_best_cluster_and_success_rate(spark):
     assert report.best_cluster(df).first()[:] == (0, 1, 1)
     rates = {r["cluster"]: r["success_rate"] for r in report.success_rate(df, ["cluster"]).collect()}
     assert rates == {0: 50.0, 1: None, 2: None}
+
+
+def test_demand_classes_of_all_train_months(spark):
+    from statistics import mean, stdev
+
+    from seriesloom.plans import cat_aggregate, inputs
+    from seriesloom.sources import tables
+
+    sf = "/root/testdata/sf0.001"
+    train = {}
+    for r in tables.orders_monthly(spark, sf, F.col("p_partkey").cast("string")).collect():
+        months = train.setdefault(r.series, [])
+        if str(r.month) < str(inputs.TEST):
+            months.append(r.ordered)
+    want = {}
+    for k, v in train.items():
+        cv = stdev(v) / mean(v) if len(v) > 1 and mean(v) > 0 else None
+        want[k] = None if cv is None else "Smooth" if cv <= 0.5 else "Erratic" if cv <= 1 else "Lumpy"
+    got = {r.series: r.pattern for r in cat_aggregate.demand_pattern_train(spark, sf).collect()}
+    assert got == want
+    cut = {r.series: r.pattern for r in cat_aggregate.demand_pattern(spark, sf).collect()}
+    print("parts", len(got), "with the cut", len(cut), "other class", sum(cut.get(k) != v for k, v in got.items()))
