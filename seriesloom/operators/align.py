@@ -69,12 +69,12 @@ def join_year_month(fact: DataFrame, external: DataFrame, date: str = "date") ->
     """Fact left-joined with the indicators on (year, month)."""
     ext = external.withColumns({"year": F.year("month"), "month_no": F.month("month")}).drop("month")
     keyed = fact.withColumns({"year": F.year(date), "month_no": F.month(date)})
-    return keyed.join(F.broadcast(ext), ["year", "month_no"], "left")
+    return keyed.join(ext, ["year", "month_no"], "left")
 
 
 def join_month(monthly: DataFrame, external: DataFrame) -> DataFrame:
     """Monthly fact left-joined with the indicators of its month."""
-    return monthly.join(F.broadcast(external), "month", "left")
+    return monthly.join(external, "month", "left")
 
 
 def month_to_days(monthly: DataFrame, columns: list[str], keys: tuple[str, ...] = (), limit: int = 30) -> DataFrame:
@@ -94,7 +94,7 @@ def month_to_days(monthly: DataFrame, columns: list[str], keys: tuple[str, ...]
 def join_days(panel: DataFrame, by_day: DataFrame, keys: tuple[str, ...] = (), date: str = "date") -> DataFrame:
     """Panel left-joined with a table that has one row per calendar day."""
     right = by_day if date == "date" else by_day.withColumnRenamed("date", date)
-    return panel.join(F.broadcast(right), [*keys, date], "left")
+    return panel.join(right, [*keys, date], "left")
 
 
 def carry_months(external: DataFrame, columns: list[str], until: str | Column) -> DataFrame:

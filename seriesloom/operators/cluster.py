@@ -1,15 +1,19 @@
 """K-means on scaled profiles and the choice of k.
 
-Fits use Spark ML. The sweep over k and the repeats over seeds are loops on the
-driver over a handful of fits; only costs and scores come back.
+All runs of a call (every k, every seed) share one loop: a step is one aggregate over the rows keyed by (run, centre), so a
+sweep takes as many jobs as its longest run has steps. Only sums by centre come back.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +26,28 @@ SEED = 42
 CLOSE_SCORES = 0.1
 MAX_K = 3
 FIXED_K = 4
-#: Fits that run at the same time.
-PARALLEL = 4
+#: Distances that a task holds at a time.
+CELLS = 1 << 21
+
+
+@dataclass(frozen=True)
+class Centres:
+    """A finished run."""
+
+    k: int
+    seed: int
+    points: np.ndarray
+    cost: float
+    iterations: int
+
+    def transform(self, vectors: DataFrame) -> DataFrame:
+        """vectors with a column `prediction`: the nearest centre, the first of several."""
+        x = vector_to_array("features")
+        square = lambda point: F.aggregate(
+            F.zip_with(x, F.array(*[F.lit(float(v)) for v in point]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
+        )
+        far = F.array(*[square(p) for p in self.points])
+        return vectors.withColumn("prediction", F.array_position(far, F.array_min(far)).cast("int") - 1)
 
 
 def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) -> DataFrame:
@@ -33,18 +57,130 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) ->
     return spread(vectors.select(*keep, *columns, "features"), *keep)
 
 
-def kmeans(vectors: DataFrame, k: int, n_init: int, max_iter: int, tol: float, seed: int = SEED) -> KMeansModel:
-    """The fit with the lowest cost over ``n_init`` seeds."""
+def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances of rows to points."""
+    return np.maximum((x * x).sum(1)[:, None] - 2.0 * x @ points.T + (points * points).sum(1), 0.0)
+
+
+def _matrices(batches: Iterator[pd.DataFrame], points: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows as (hashes, matrix), few enough that their distances to all points fit."""
+    size = max(1, CELLS // max(1, points))
+    for batch in batches:
+        for at in range(0, len(batch), size):
+            part = batch.iloc[at : at + size]
+            yield part["h"].to_numpy(dtype="int64"), np.stack(part["x"].to_list())
+
+
+def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from the hash of a row, the seed of a run and a step."""
+    salt = (seed * 1_000_003 + step + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    z = h.view(np.uint64) ^ np.uint64(salt)
+    for factor in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB):
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(factor)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+
+
+def _drawn(centres: list[list[np.ndarray]], seeds: list[int], runs: list[int], step: int):
+    """Per run the row that a race with rates of its squared distance to the centres so far lets win."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, tuple[float, list[float]]] = {}
+        for h, x in _matrices(batches, max(1, step)):
+            for run in runs:
+                rate = _distances(x, np.stack(centres[run])).min(1) if step else np.ones(len(x))
+                with np.errstate(divide="ignore"):
+                    time = np.where(rate > 0, -np.log(_uniform(h, seeds[run], step)) / rate, np.inf)
+                i = int(time.argmin())
+                if run not in best or time[i] < best[run][0]:
+                    best[run] = float(time[i]), x[i].tolist()
+        if best:
+            yield pd.DataFrame({"run": list(best), "time": [t for t, _ in best.values()], "x": [x for _, x in best.values()]})
+
+    return scan
+
+
+def _assigned(points: np.ndarray, owner: np.ndarray, runs: list[int]):
+    """Per run and centre the rows that it is nearest to: number, squared distances, sums. Centres of a run lie side by side."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n, cost, sums = np.zeros(len(points)), np.zeros(len(points)), np.zeros(points.shape)
+        for _, x in _matrices(batches, len(points)):
+            far = _distances(x, points)
+            for run in runs:
+                low = int(np.searchsorted(owner, run))
+                mine = far[:, low : np.searchsorted(owner, run, side="right")]
+                nearest = mine.argmin(1)
+                k = mine.shape[1]
+                n[low : low + k] += np.bincount(nearest, minlength=k)
+                cost[low : low + k] += np.bincount(nearest, mine[np.arange(len(x)), nearest], k)
+                for d in range(x.shape[1]):
+                    sums[low : low + k, d] += np.bincount(nearest, x[:, d], k)
+        used = np.flatnonzero(n)
+        if len(used):
+            yield pd.DataFrame({"centre": used, "n": n[used], "cost": cost[used], "sums": sums[used].tolist()})
+
+    return scan
+
+
+def kmeans_runs(vectors: DataFrame, ks: tuple[int, ...], n_init: int, max_iter: int, tol: float, seed: int = SEED) -> list[Centres]:
+    """Runs of every k and seed from k-means++ starts, all in the same steps.
+
+    A run ends when no centre moves by more than ``tol`` or after ``max_iter`` steps. A centre that loses its rows stays where it is.
+    With fewer distinct rows than k some centres coincide. Runs are ordered by k and seed. No rows: no runs.
+    """
+    rows = vectors.select(F.xxhash64(vector_to_array("features")).alias("h"), vector_to_array("features").alias("x"))
+    runs = [(k, seed + i) for k in ks for i in range(n_init)]
+    seeds, centres = [s for _, s in runs], [[] for _ in runs]
+    for step in range(max(ks, default=0)):
+        open_ = [r for r, (k, _) in enumerate(runs) if k > step]
+        raced = rows.mapInPandas(_drawn(centres, seeds, open_, step), "run long, time double, x array<double>")
+        won = {r["run"]: r["x"] for r in raced.groupBy("run").agg(F.min_by("x", F.struct("time", "x")).alias("x")).collect()}
+        if not won:
+            return []
+        for r in open_:
+            centres[r].append(np.array(won[r]))
+    points = [np.stack(c) for c in centres]
+    found: dict[int, Centres] = {}
+    going, step = list(range(len(runs))), 0
+    while going:
+        flat = np.concatenate([points[r] for r in going])
+        owner = np.repeat(going, [len(points[r]) for r in going])
+        parts = rows.mapInPandas(_assigned(flat, owner, going), "centre long, n double, cost double, sums array<double>")
+        width = flat.shape[1]
+        summed = parts.groupBy("centre").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.get("sums", F.lit(d))) for d in range(width)]).alias("sums"))
+        moved, cost = flat.copy(), np.zeros(len(flat))
+        for r in summed.collect():  # one row per run and centre
+            moved[r["centre"]], cost[r["centre"]] = np.array(r["sums"]) / r["n"], r["cost"]
+        step += 1
+        still = []
+        for r in going:
+            own = owner == r
+            shift = np.sqrt(((moved[own] - points[r]) ** 2).sum(1)).max()
+            if shift <= tol or step > max_iter:
+                # The sums were taken before the move: the cost is that of the centres that were there.
+                found[r] = Centres(*runs[r], points[r], float(cost[own].sum()), step - 1)
+            else:
+                points[r] = moved[own]
+                still.append(r)
+        going = still
+    return [found[r] for r in range(len(runs))]
+
+
+def best_runs(runs: list[Centres]) -> dict[int, Centres]:
+    """The run with the lowest cost for every k, the first of equal ones."""
+    out: dict[int, Centres] = {}
+    for run in runs:
+        if run.k not in out or run.cost < out[run.k].cost:
+            out[run.k] = run
+    return out
 
-    def fit(i: int) -> KMeansModel:
-        return KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + i).fit(vectors)
 
-    # A few distributed fits at a time; the first of equal costs wins, as in a loop.
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        return min(pool.map(fit, range(n_init)), key=lambda m: m.summary.trainingCost)
+def kmeans(vectors: DataFrame, k: int, n_init: int, max_iter: int, tol: float, seed: int = SEED) -> Centres:
+    """The run with the lowest cost over ``n_init`` seeds."""
+    return best_runs(kmeans_runs(vectors, (k,), n_init, max_iter, tol, seed))[k]
 
 
-def label(vectors: DataFrame, model: KMeansModel, level: Column) -> DataFrame:
+def label(vectors: DataFrame, model: Centres, level: Column) -> DataFrame:
     """Cluster per row, numbered by rising mean of ``level`` so that labels do not depend on the seed."""
     raw = model.transform(vectors).withColumnRenamed("prediction", "_raw")
     order = raw.groupBy("_raw").agg(F.avg(level).alias("_m"))
@@ -91,12 +227,13 @@ def sweep(
     tol: float = SWEEP["tol"],
 ) -> DataFrame:
     """(k, inertia, silhouette, iterations) for every k."""
-    rows = []
-    for k in ks:
-        model = kmeans(vectors, k, n_init, max_iter, tol)
-        labelled = model.transform(vectors).withColumnRenamed("prediction", "cluster")
-        score = silhouette(labelled, columns).first()["silhouette"]
-        rows.append((k, float(model.summary.trainingCost), float(score), int(model.summary.numIter)))
+    best = best_runs(kmeans_runs(vectors, ks, n_init, max_iter, tol))
+    scored = []
+    for k, run in best.items():
+        labelled = run.transform(vectors).withColumnRenamed("prediction", "cluster")
+        scored.append(silhouette(labelled, columns).select(F.lit(k).alias("k"), "silhouette"))
+    scores = {r["k"]: r["silhouette"] for r in reduce(DataFrame.unionByName, scored).collect()}  # one job, one row per k
+    rows = [(k, run.cost, float(scores[k]), run.iterations) for k, run in best.items()]
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, iterations int")
 
 

@@ -83,6 +83,11 @@ RECIPES = {
 }
 
 
+def monthly_mean(rows: DataFrame, date: str, names: tuple[str, ...]) -> DataFrame:
+    """Indicators that come several times a month as the mean of their month."""
+    return rows.groupBy(F.trunc(date, "month").alias("month")).agg(*[F.avg(n).alias(n) for n in names])
+
+
 def recipe_columns(cluster: int) -> list[str]:
     plain, rolled = RECIPES[cluster]
     out = [c for n, sizes in rolled.items() for c in (n, *(f"{n}_{s}M" for s in sizes))]
@@ -110,7 +115,10 @@ def _recipe_value(name: str) -> Column:
 
 
 def recipe_long(panel: DataFrame, features: DataFrame, cluster: str = "cluster") -> DataFrame:
-    """(series, month, cluster, feature, value): each series with the features of its cluster."""
+    """(series, month, cluster, feature, value): each series with the features of its cluster.
+
+    Months without indicators stay; their values are null.
+    """
     pairs = []
     for c in RECIPES:
         pairs.append(
@@ -124,5 +132,5 @@ def recipe_long(panel: DataFrame, features: DataFrame, cluster: str = "cluster")
                 ),
             )
         )
-    joined = panel.join(F.broadcast(features), "month")
+    joined = panel.join(features, "month", "left")
     return joined.select("series", "month", cluster, F.inline(F.coalesce(*pairs)))

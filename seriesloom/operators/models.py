@@ -1,46 +1,22 @@
-"""Model panels on Spark ML.
+"""Model panels: configurations, fits of all clusters at once, validation and grids.
 
-One model is trained per cluster over the pooled rows of its series (series
-statistics are features), so training is distributed over rows; nothing loops over
-series. Loops run over clusters, configurations and folds, each a handful.
+One model is trained per cluster over the pooled rows of its series (series statistics are features). All models of a panel,
+all folds and all points of a grid grow together in the jobs of ``boosting``; nothing loops over series or fits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import replace
 from itertools import product
 
-from pyspark import SparkContext
-from pyspark.ml import Model
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions import calendar as cal
-from seriesloom.session import cut_lineage
+from seriesloom.operators import boosting
+from seriesloom.operators.boosting import Boosting, Fitted, Task
 from seriesloom.spec import SeriesSpec
 
-SEED = 42
-
-
-@dataclass(frozen=True)
-class Boosting:
-    """Trees, learning rate, depth, smallest leaf, row share, column share, validation patience."""
-
-    trees: int
-    rate: float
-    depth: int
-    min_child: int = 1
-    rows: float = 1.0
-    cols: float = 1.0
-    stop_after: int | None = None
-
-
 # Configurations by cluster.
 FINISHED = {
     0: Boosting(100, 0.05, 4, 2, 0.8, 0.8),
@@ -48,18 +24,19 @@ FINISHED = {
     2: Boosting(100, 0.01, 4, 5, 0.7, 0.7),
     3: Boosting(1000, 0.01, 6, 3, 0.8, 0.8, stop_after=50),
 }
+_OBLIVIOUS = {"growth": "oblivious", "l2": 3.0}
 SECOND = {
-    0: Boosting(100, 0.05, 4, 2, 0.8, 0.8),
-    1: Boosting(100, 0.048, 4, 2, 0.82, 0.82),
-    2: Boosting(100, 0.045, 5, 3, 0.78, 0.78),
-    3: Boosting(150, 0.02, 5, 5, 0.6, 0.6),
+    0: Boosting(100, 0.05, 4, 2, 0.8, 0.8, **_OBLIVIOUS),
+    1: Boosting(100, 0.048, 4, 2, 0.82, 0.82, **_OBLIVIOUS),
+    2: Boosting(100, 0.045, 5, 3, 0.78, 0.78, **_OBLIVIOUS),
+    3: Boosting(150, 0.02, 5, 5, 0.6, 0.6, growth="oblivious", l2=7.0),
 }
 ENSEMBLE = {c: Boosting(100, 0.05, 4, 2, 0.8, 0.8) for c in range(4)}
 MONTHLY = {
-    0: Boosting(100, 0.1, 4, 2, 0.8, 0.8),
-    1: Boosting(100, 0.05, 3, 2, 0.8, 0.8),
-    2: Boosting(150, 0.03, 3, 3, 0.7, 0.7),
-    3: Boosting(200, 0.05, 4, 3, 0.8, 0.8),
+    0: Boosting(100, 0.1, 4, 2, 0.8, 0.8, l1=0.1, l2=1.0),
+    1: Boosting(100, 0.05, 3, 2, 0.8, 0.8, l1=0.1, l2=1.0),
+    2: Boosting(150, 0.03, 3, 3, 0.7, 0.7, l1=0.2, l2=1.0),
+    3: Boosting(200, 0.05, 4, 3, 0.8, 0.8, l1=0.2, l2=1.5),
 }
 IMPORTANCE = {
     0: Boosting(200, 0.05, 6, 3, 0.8, 0.8),
@@ -69,17 +46,32 @@ IMPORTANCE = {
 }
 IMPORTANCE_STUDY = Boosting(100, 0.1, 5)
 SIMPLE = Boosting(50, 0.1, 3, 1, 0.9, 0.9)
-LEAFWISE = Boosting(100, 0.05, 5, 20, 0.8, 0.9, stop_after=10)
+LEAFWISE = Boosting(100, 0.05, 0, 20, 0.8, 0.9, stop_after=10, l2=0.0, growth="leaf", leaves=31, every=5)
+CATEGORY = Boosting(200, 0.1, 4, stop_after=20, l2=3.0, growth="oblivious")
 SPARSE = Boosting(300, 0.03, 4, 5, 0.8, 0.8)
 DENSE = Boosting(200, 0.05, 5, 3, 0.8, 0.8)
 SPARSE_LIMIT = 0.7
 SELECTION = {"mean": Boosting(100, 0.01, 2, 5, 0.7, 0.7), "median": Boosting(100, 0.1, 4)}
 GRIDS = {
-    0: {"trees": (80, 100, 120), "rate": (0.08, 0.1, 0.12), "depth": (3, 4, 5), "min_child": (2, 3), "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9)},
-    1: {"trees": (80, 100, 120), "rate": (0.03, 0.05, 0.07), "depth": (2, 3, 4), "min_child": (1, 2, 3), "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9)},
-    2: {"trees": (120, 150, 180), "rate": (0.02, 0.03, 0.04), "depth": (2, 3), "min_child": (2, 3, 4), "rows": (0.6, 0.7, 0.8), "cols": (0.6, 0.7, 0.8)},
-    3: {"trees": (150, 200, 250), "rate": (0.03, 0.05, 0.07), "depth": (3, 4, 5), "min_child": (2, 3, 4), "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9)},
-}
+    0: {
+        "trees": (80, 100, 120), "rate": (0.08, 0.1, 0.12), "depth": (3, 4, 5), "min_child": (2, 3),
+        "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9), "l1": (0.05, 0.1, 0.2), "l2": (0.8, 1.0, 1.2),
+    },
+    1: {
+        "trees": (80, 100, 120), "rate": (0.03, 0.05, 0.07), "depth": (2, 3, 4), "min_child": (1, 2, 3),
+        "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9), "l1": (0.05, 0.1, 0.15), "l2": (0.8, 1.0, 1.2),
+    },
+    2: {
+        "trees": (120, 150, 180), "rate": (0.02, 0.03, 0.04), "depth": (2, 3), "min_child": (2, 3, 4),
+        "rows": (0.6, 0.7, 0.8), "cols": (0.6, 0.7, 0.8), "l1": (0.1, 0.2, 0.3), "l2": (0.8, 1.0, 1.2),
+    },
+    3: {
+        "trees": (150, 200, 250), "rate": (0.03, 0.05, 0.07), "depth": (3, 4, 5), "min_child": (2, 3, 4),
+        "rows": (0.7, 0.8, 0.9), "cols": (0.7, 0.8, 0.9), "l1": (0.1, 0.2, 0.3), "l2": (1.0, 1.5, 2.0),
+    },
+}
+#: Bins of a grid search: its points share them, and they are few because every point sums them anew.
+GRID_BINS = 16
 
 
 def vectors(df: DataFrame, features: list[str]) -> DataFrame:
@@ -88,88 +80,55 @@ def vectors(df: DataFrame, features: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=features, outputCol="features").transform(filled)
 
 
-#: Fits that are submitted to the cluster at the same time. Each is a distributed job of its own.
-PARALLEL = 4
+def fit_boosted(rows: DataFrame, config: Boosting, label: str, validate: bool = False, categorical: tuple[int, ...] = ()) -> Fitted:
+    """Fit on train rows. With ``validate`` and a patience in the configuration, boosting ends when the validation rows say so."""
+    return fit_panel(rows, {0: config}, label, validate=validate, categorical=categorical)[0]
 
 
-def in_parallel(fit: Callable, items: list) -> list:
-    """fit of every item, a few at a time; results in the order of the items."""
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        return list(pool.map(fit, items))
+def fit_panel(
+    rows: DataFrame, configs: dict[int, Boosting], label: str, by: str | None = None, validate: bool = False, categorical: tuple[int, ...] = ()
+) -> dict[int, Fitted]:
+    """One model per key of ``by``, all grown in the same jobs. Validation rows count for configurations with a patience only."""
+    learn = F.col("split") == "train"
+    mine = rows.where(learn | (F.col("split") == "val")) if validate else rows.where(learn)
+    tasks = [Task(c, key) for key, c in configs.items()]
+    fitted = boosting.fit(mine, tasks, label, by, held=~learn, categorical=categorical)
+    return {m.task.key: m for m in fitted}
 
 
-def boosted(config: Boosting, label: str) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol=label,
-        predictionCol="predicted",
-        maxIter=config.trees,
-        stepSize=config.rate,
-        maxDepth=config.depth,
-        minInstancesPerNode=config.min_child,
-        subsamplingRate=config.rows,
-        featureSubsetStrategy="all" if config.cols >= 1 else str(config.cols),
-        seed=SEED,
-    )
+def fit_isolated(
+    rows: DataFrame, configs: dict[int, Boosting], label: str, by: str, validate: bool = False
+) -> tuple[dict[int, Fitted], dict[int, str]]:
+    """`fit_panel`, and what went wrong by key: a key that can't be fitted costs the others nothing.
 
+    All keys grow together; only where that raises they are fitted one by one. A key without rows to learn from is an error.
+    """
+    errors: dict[int, str] = {}
+    try:
+        fitted = fit_panel(rows, configs, label, by, validate)
+    except Exception:  # noqa: BLE001  which key it was shows below
+        fitted = {}
+        for key, config in configs.items():
+            try:
+                fitted |= fit_panel(rows.where(F.col(by) == key), {key: config}, label, by, validate)
+            except Exception as e:  # noqa: BLE001
+                errors[key] = f"{type(e).__name__}: {e}"[:500]
+    errors |= {k: "no rows to learn from" for k, m in fitted.items() if not m.getNumTrees and configs[k].trees}
+    return {k: m for k, m in fitted.items() if k not in errors}, errors
+
+
+def predict(model: Fitted, rows: DataFrame, label: str, keep: list[str]) -> DataFrame:
+    """Predictions clamped at zero next to the actual values."""
+    return _paired(model.transform(rows), label, keep)
 
-def forest(config: Boosting, label: str) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        featuresCol="features",
-        labelCol=label,
-        predictionCol="predicted",
-        numTrees=config.trees,
-        maxDepth=config.depth,
-        minInstancesPerNode=config.min_child,
-        subsamplingRate=config.rows,
-        featureSubsetStrategy="all" if config.cols >= 1 else str(config.cols),
-        seed=SEED,
-    )
 
+def _paired(predicted: DataFrame, label: str, keep: list[str]) -> DataFrame:
+    return predicted.select(*keep, F.col(label).alias("actual"), F.greatest("predicted", F.lit(0.0)).alias("predicted"))
 
-def best_prefix(losses: list[float], patience: int) -> int:
-    """Trees to keep: up to the lowest loss that is seen before ``patience`` trees bring no new lowest one.
 
-    >>> best_prefix([5.0, 3.0, 4.0, 2.0], 1), best_prefix([5.0, 3.0, 4.0, 2.0], 2)
-    (2, 4)
-    """
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The model of the first n trees of a boosted model."""
-    context = SparkContext.getOrCreate()
-    java, jvm, gateway = model._java_obj, context._jvm, context._gateway
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = gateway.new_array(gateway.jvm.double, n)
-    own, shares = java.trees(), java.treeWeights()
-    for i in range(n):
-        trees[i], weights[i] = own[i], shares[i]
-    short = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
-    return GBTRegressionModel(java.copyValues(short, jvm.org.apache.spark.ml.param.ParamMap.empty()))
-
-
-def fit_boosted(rows: DataFrame, config: Boosting, label: str, validate: bool = False) -> Model:
-    """Fit on train rows. With ``validate`` and a patience in the configuration, the validation rows say where to stop."""
-    model = boosted(config, label).fit(rows.where(F.col("split") == "train"))
-    held = rows.where(F.col("split") == "val")
-    if not validate or config.stop_after is None or held.isEmpty():
-        return model
-    losses = model.evaluateEachIteration(held, "squared")
-    return first_trees(model, best_prefix(list(losses), config.stop_after))
-
-
-def predict(model: Model, rows: DataFrame, label: str, keep: list[str]) -> DataFrame:
-    """Predictions clamped at zero next to the actual values."""
-    return model.transform(rows).select(
-        *keep, F.col(label).alias("actual"), F.greatest("predicted", F.lit(0.0)).alias("predicted")
-    )
+def second(config: Boosting) -> Boosting:
+    """The second learner's form of a configuration: oblivious trees with its usual penalty."""
+    return replace(config, **_OBLIVIOUS)
 
 
 def panel_by_cluster(
@@ -182,26 +141,19 @@ def panel_by_cluster(
 ) -> DataFrame:
     """Test predictions of one model per cluster; an unknown cluster uses configuration 3.
 
-    ``rows`` has features, label, split and cluster and is materialised once. Models of different clusters are
-    fitted at the same time. Configurations with a patience stop on the validation rows.
+    ``rows`` has features, label, split and cluster and is materialised once. The models of all clusters grow
+    together. Configurations with a patience stop on the validation rows. `second` grows oblivious trees.
     """
+    own = {c: configs.get(c, configs[3]) for c in clusters}
+    if learner == "second":
+        own = {c: config if config.growth == "oblivious" else second(config) for c, config in own.items()}
+    fitted = fit_panel(rows, own, label, "cluster", any(c.stop_after is not None for c in own.values()))
+    return _paired(boosting.predictions(fitted, rows.where(F.col("split") == "test"), "cluster"), label, keep)
 
-    def fitted(c: int) -> DataFrame:
-        config = configs.get(c, configs[3])
-        mine = rows.where(F.col("cluster") == c)
-        if learner == "forest":
-            model = forest(config, label).fit(mine.where(F.col("split") == "train"))
-        else:
-            model = fit_boosted(mine, config, label, config.stop_after is not None)
-        return predict(model, mine.where(F.col("split") == "test"), label, keep)
-
-    return reduce(DataFrame.unionByName, in_parallel(fitted, clusters))
 
-
-def importances(model: Model, features: list[str], spark) -> DataFrame:
-    """(feature, importance) from the model's gain shares: one row per feature."""
-    values = [float(v) for v in model.featureImportances.toArray()]
-    return spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
+def importances(model: Fitted, features: list[str], spark) -> DataFrame:
+    """(feature, importance) from the model's mean gains: one row per feature."""
+    return spark.createDataFrame(list(zip(features, model.importances(), strict=True)), "feature string, importance double")
 
 
 def selected(importance: DataFrame, rule: str = "mean") -> list[str]:
@@ -265,56 +217,59 @@ def backward_folds(df: DataFrame, spec: SeriesSpec, test_rows: int, n: int = 5)
 
 
 def cross_validate(rows: DataFrame, config: Boosting, label: str, folds: list[int], older: str = "below") -> DataFrame:
-    """R2 per fold: train on older rows, validate on the fold.
+    """R2 per fold: train on older rows, validate on the fold. The models of all folds grow together.
 
     ``older`` says whether smaller ('below', expanding) or larger ('above', backward)
     fold numbers are older; fold 0 is always oldest.
     """
-    r2 = RegressionEvaluator(labelCol=label, predictionCol="predicted", metricName="r2")
-
-    def score(fold: int) -> tuple[int, float]:
-        past = F.col("fold") < fold if older == "below" else (F.col("fold") > fold) | (F.col("fold") == 0)
-        model = boosted(config, label).fit(rows.where(past))
-        return fold, float(r2.evaluate(model.transform(rows.where(F.col("fold") == fold))))
-
-    scores = in_parallel(score, folds)
-    return rows.sparkSession.createDataFrame(scores, "fold int, r2 double")
+    tasks = [Task(config, fold=f, older=older) for f in folds]
+    fitted = boosting.fit(rows, tasks, label, fold=F.col("fold"), keep_trees=False)
+    return rows.sparkSession.createDataFrame([(m.task.fold, m.r2()) for m in fitted], "fold int, r2 double")
 
 
 def fold_summary(folds: DataFrame) -> DataFrame:
     return folds.agg(F.avg("r2").alias("cv_r2_mean"), F.stddev_pop("r2").alias("cv_r2_std"))
 
 
-def grid_search(rows: DataFrame, grid: dict[str, tuple], label: str, base: Boosting, folds: int = 3):
-    """Cross-validated R2 over a parameter grid on top of ``base``; the best configuration is refitted.
+def block_folds(df: DataFrame, spec: SeriesSpec, n: int = 5) -> DataFrame:
+    """Fold number 0 .. n - 1 of each row: consecutive blocks of its series, the first ones a row longer where they differ."""
+    return df.withColumn("fold", F.ntile(n).over(spec.window()) - 1)
 
-    The numbers of trees of a point come from one fit with the most trees, cut to its first trees, so that axis costs
-    no fits. Points and folds are fitted a few at a time. ``rows`` has a fold column 0 .. folds - 1. Returns the refitted
-    model and (`params`, `r2`, `best`); best marks the point of the model, the first of several with the same score.
-    """
-    spark = rows.sparkSession
-    stages = sorted(grid.get("trees", (base.trees,)))
+
+def grid_points(grid: dict[str, tuple], base: Boosting) -> list[tuple[dict, Boosting]]:
+    """The points of a grid without its trees axis, each with its configuration at the most trees."""
     axes = [a for a in grid if a != "trees"]
+    most = max(grid.get("trees", (base.trees,)))
     points = [dict(zip(axes, values, strict=True)) for values in product(*(grid[a] for a in axes))]
-    r2 = RegressionEvaluator(labelCol=label, predictionCol="predicted", metricName="r2")
-
-    def score(job):
-        point, fold = job
-        model = boosted(replace(base, trees=stages[-1], **point), label).fit(rows.where(F.col("fold") != fold))
-        held = rows.where(F.col("fold") == fold)
-        return [float(r2.evaluate(first_trees(model, min(n, len(model.trees))).transform(held))) for n in stages]
-
-    jobs = [(p, f) for p in points for f in range(folds)]
-    scores = in_parallel(score, jobs)
-    table = []
-    for k, point in enumerate(points):
-        mine = scores[k * folds : (k + 1) * folds]
-        for i, n in enumerate(stages):
-            table.append((point | {"trees": n}, sum(s[i] for s in mine) / folds))
-    best = max(table, key=lambda t: t[1])[0]
-    shown = [({a: str(v) for a, v in point.items()}, mean, point is best) for point, mean in table]
-    schema = "params map<string,string>, r2 double, best boolean"
-    return boosted(replace(base, **best), label).fit(rows), spark.createDataFrame(shown, schema)
+    return [(p, replace(base, trees=most, **p)) for p in points]
+
+
+def grid_search(
+    rows: DataFrame, grids: dict[int, dict[str, tuple]], label: str, bases: dict[int, Boosting], folds: int = 5, by: str = "cluster", bins: int = GRID_BINS
+) -> tuple[dict[int, Fitted], DataFrame]:
+    """Cross-validated R2 over the grid of every cluster; the best configuration of each is refitted.
+
+    All points and folds of all clusters grow together, one job a level. The trees axis of a point is read off the losses after
+    so many rounds. ``rows`` has a fold column 0 .. folds - 1. Returns the refitted models and (cluster, `params`, `r2`, `best`);
+    best marks the point of the model, the first of several with the same score. Folds without R2 are left out of a mean.
+    """
+    spark = rows.sparkSession
+    points = [(c, point, config) for c, grid in grids.items() for point, config in grid_points(grid, bases[c])]
+    tasks = [Task(config, c, fold) for c, _, config in points for fold in range(folds)]
+    fitted = boosting.fit(rows, tasks, label, by, fold=F.col("fold"), bins=bins, keep_trees=False)
+    table, best = [], {}
+    for k, (c, point, config) in enumerate(points):
+        mine = fitted[k * folds : (k + 1) * folds]
+        for trees in sorted(grids[c].get("trees", (config.trees,))):
+            scores = [r for m in mine if (r := m.r2(trees)) is not None]
+            mean = sum(scores) / len(scores) if scores else None
+            table.append([c, {a: str(v) for a, v in {**point, "trees": trees}.items()}, mean, False])
+            if c not in best or (mean is not None and (best[c][0] is None or mean > best[c][0])):
+                best[c] = (mean, len(table) - 1, replace(config, trees=trees))
+    for _, at, _ in best.values():
+        table[at][3] = True
+    models = {m.task.key: m for m in boosting.fit(rows, [Task(config, c) for c, (_, _, config) in best.items()], label, by)}
+    return models, spark.createDataFrame(table, f"{by} int, params map<string,string>, r2 double, best boolean")
 
 
 def categories(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -322,40 +277,3 @@ def categories(df: DataFrame, columns: list[str]) -> DataFrame:
     text = df.withColumns({c: F.col(c).cast("string") for c in columns})
     indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep")
     return indexer.fit(text).transform(text)
-
-
-def seasonal_regression(
-    rows: DataFrame, spec: SeriesSpec, regressors: list[str], yearly: int = 5, weekly: int = 3, z: float = 1.96
-) -> DataFrame:
-    """Trend, yearly and weekly waves and regressors on log(1 + y), with a 95 % interval.
-
-    The logarithm makes the seasonality multiplicative. One pooled fit; series level
-    enters as the mean of its train rows.
-    """
-    day = spec.t()
-    label = F.log1p(F.greatest(F.col(spec.target), F.lit(0.0)))
-    level = F.avg(F.when(F.col("split") == "train", label)).over(spec.whole())
-    waves: dict[str, Column] = {}
-    for i in range(1, yearly + 1):
-        angle = F.lit(cal.TWO_PI * i / 365.25) * F.dayofyear(day)
-        waves[f"year_sin_{i}"], waves[f"year_cos_{i}"] = F.sin(angle), F.cos(angle)
-    for i in range(1, weekly + 1):
-        angle = F.lit(cal.TWO_PI * i / 7.0) * F.weekday(day)
-        waves[f"week_sin_{i}"], waves[f"week_cos_{i}"] = F.sin(angle), F.cos(angle)
-    columns = {"trend": F.datediff(day, F.lit("1970-01-01")) / F.lit(365.25), "level": level, **waves}
-    ready = cut_lineage(vectors(rows.withColumns({**columns, "_y": label}), [*columns, *regressors]))
-    model = LinearRegression(featuresCol="features", labelCol="_y", predictionCol="_p", regParam=0.01).fit(
-        ready.where(F.col("split") == "train")
-    )
-    half = z * model.summary.rootMeanSquaredError
-    fitted = model.transform(ready)
-    back = lambda c: F.greatest(F.expm1(c), F.lit(0.0))
-    return fitted.select(
-        *spec.keys,
-        spec.time,
-        "split",
-        F.col(spec.target).alias("actual"),
-        back(F.col("_p")).alias("predicted"),
-        back(F.col("_p") - F.lit(half)).alias("lower"),
-        back(F.col("_p") + F.lit(half)).alias("upper"),
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
-from seriesloom.operators import align, cleanse, lumpy, models, report, resample, score
+from seriesloom.operators import align, cleanse, indicators, lumpy, models, report, resample, score
 from seriesloom.operators import profile as prof
 from seriesloom.plans import inputs as inp
 from seriesloom.plans.registry import cols, cte, query, r
@@ -34,13 +34,29 @@ def same(names) -> dict[str, str]:
   sum(m.dispatched) AS dispatched, sum(m.ordered) AS ordered FROM moves m JOIN part p ON m.partkey = p.p_partkey GROUP BY 1, 2, 3""",
 )
 def agg_monthly(spark, sf):
-    rows = tables.orders_daily(spark, sf, F.col("p_brand"), F.col("p_name"))
-    return tables.monthly_rollup(rows, ["series", "series_name"])
+    return tables.orders_monthly(spark, sf, F.col("p_brand"), F.col("p_name"))
 
 
-@query("agg_external", f"SELECT month, {cols(same(text.INDICATORS))} FROM ext")
+cte(
+    "ext_daily",
+    """
+SELECT o.day, n AS ECG_DESP, value / n AS TUAV, net AS PIB_CO, value AS ISE_CO, customers AS VTOTAL_19, urgent AS OTOTAL_19, discount AS ICI
+FROM (SELECT CAST(o_orderdate AS DATE) AS day, CAST(count(*) AS DOUBLE) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS value,
+  CAST(count(DISTINCT o_custkey) AS DOUBLE) AS customers, avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END) AS urgent FROM orders GROUP BY 1) o
+LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS day,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2)) * (CAST(1 AS DECIMAL(3, 2)) - CAST(l_discount AS DECIMAL(5, 2)))) AS DOUBLE) AS net,
+  CAST(sum(CAST(l_discount AS DECIMAL(5, 2))) AS DOUBLE) / count(*) AS discount FROM lineitem GROUP BY 1) l ON o.day = l.day""",
+)
+
+
+@query(
+    "agg_external",
+    f"SELECT CAST(date_trunc('month', day) AS DATE) AS month, {cols({c: f'avg({c})' for c in text.INDICATORS})} FROM ext_daily GROUP BY 1",
+)
 def agg_external(spark, sf):
-    return rnd(inp.external(spark, sf), ["month"], text.INDICATORS)
+    """Monthly means of indicators that come several times a month."""
+    rows = tables.external_by(spark, sf, "day")
+    return rnd(indicators.monthly_mean(rows, "day", text.INDICATORS), ["month"], text.INDICATORS)
 
 
 @query("profile", f"SELECT series, series_name, {cols(same(PROFILE))} FROM profiles")
@@ -356,21 +372,21 @@ def box_stats(spark, sf):
 # --- demand classes --------------------------------------------------------------------------
 
 
-@query(
-    "demand_pattern",
-    """SELECT series, CASE WHEN cv <= 0.5 THEN 'Smooth' WHEN cv <= 1 THEN 'Erratic' WHEN cv > 1 THEN 'Lumpy' END AS pattern FROM (
-SELECT series, CASE WHEN avg(ordered) > 0 THEN stddev_samp(ordered) / avg(ordered) END AS cv FROM parts_monthly GROUP BY 1)""",
-)
+_PATTERN = f"""SELECT series, CASE WHEN cv <= 0.5 THEN 'Smooth' WHEN cv <= 1 THEN 'Erratic' WHEN cv > 1 THEN 'Lumpy' END AS pattern FROM (
+SELECT series, CASE WHEN avg(ordered) > 0 THEN stddev_samp(ordered) / avg(ordered) END AS cv FROM (
+SELECT CAST(p.p_partkey AS VARCHAR) AS series, date_trunc('month', m.date) AS month,
+  sum(CASE WHEN date_trunc('month', m.date) < DATE '{inp.TEST}' THEN m.ordered END) AS ordered
+FROM moves m JOIN part p ON m.partkey = p.p_partkey GROUP BY 1, 2) GROUP BY 1)"""
+
+
+@query("demand_pattern", _PATTERN)
 def demand_pattern(spark, sf):
-    stats = inp.parts_monthly(spark, sf).groupBy("series").agg(
-        F.when(F.avg("ordered") > 0, F.try_divide(F.stddev_samp("ordered"), F.avg("ordered"))).alias("cv")
-    )
-    return stats.select("series", lumpy.demand_pattern(F.col("cv")).alias("pattern"))
+    """Classes of all parts from their active train months."""
+    return demand_pattern_train(spark, sf)
 
 
-@query("demand_pattern_train")
+@query("demand_pattern_train", _PATTERN)
 def demand_pattern_train(spark, sf):
-    """Classes of all parts from their train months, without the cut at 1998 that ``demand_pattern`` shares with its SQL."""
     rows = tables.orders_monthly(spark, sf, F.col("p_partkey").cast("string"))
     part = F.when(F.col("month") < F.lit(inp.TEST).cast("date"), "train").otherwise("test")
     stats = score.series_stats(rows.withColumn("split", part), ["series"], "ordered")

@@ -11,13 +11,15 @@ import re
 from pyspark.sql import functions as F
 
 from seriesloom.functions import text
-from seriesloom.operators import align, indicators, models, recursive, report, score
+from seriesloom.operators import align, indicators, models, recursive, report, score, trend
 from seriesloom.operators import window as win
 from seriesloom.plans import clustered
 from seriesloom.plans import inputs as inp
+from seriesloom.plans.cat_sources import CATEGORIES, category_rows
 from seriesloom.plans.cat_window import brand_labelled
 from seriesloom.plans.registry import cols, query
 from seriesloom.session import cut_lineage, scratch_path, spread
+from seriesloom.sources import sinks
 
 KEYS = ["series", "date"]
 MONTH_KEYS = ["series", "month"]
@@ -68,7 +70,8 @@ def fit_boosted(spark, sf):
 
 @query("fit_second")
 def fit_second(spark, sf):
-    return daily_panel(spark, sf, models.SECOND, learner="forest")
+    """Oblivious trees with the second learner's settings."""
+    return daily_panel(spark, sf, models.SECOND, learner="second")
 
 
 @query("fit_lgbm")
@@ -79,13 +82,12 @@ def fit_lgbm(spark, sf):
 
 @query("early_stop")
 def early_stop(spark, sf):
-    """Trees kept per cluster when the validation month decides."""
+    """Trees kept per cluster when the validation month decides, and trees that were fitted until it did."""
     rows, _ = daily_rows(spark, sf)
-    kept = []
-    for c in clusters_of(rows):
-        model = models.fit_boosted(rows.where(F.col("cluster") == c), models.LEAFWISE, "dispatched", validate=True)
-        kept.append((c, model.getNumTrees))
-    return spark.createDataFrame(kept, "cluster int, trees int")
+    configs = {c: models.LEAFWISE for c in clusters_of(rows)}
+    fitted = models.fit_panel(rows, configs, "dispatched", "cluster", validate=True)
+    kept = [(c, m.getNumTrees, m.rounds) for c, m in fitted.items()]
+    return spark.createDataFrame(kept, "cluster int, trees int, fitted int")
 
 
 @query("ensemble_models")
@@ -95,11 +97,25 @@ def ensemble_models(spark, sf):
     labels = clusters_of(rows)
     one, two = (
         models.panel_by_cluster(rows, models.ENSEMBLE, "dispatched", KEYS, labels, learner=kind)
-        for kind in ("boosted", "forest")
+        for kind in ("boosted", "second")
     )
     return models.ensemble_mean(one, two, KEYS)
 
 
+@query("fit_category")
+def fit_category(spark, sf):
+    """Lags and calendar categories; splits take sets of categories, the test months say when to stop."""
+    target = F.col("dispatched")
+    wide = win.add(inp.monthly_with_split(spark, sf), win.lags(target, inp.MONTHLY, win.LAGS["month_sparse"], "Demand"), win.roll_past(target, inp.MONTHLY, (3, 6, 12), "Demand"))
+    coded = models.categories(category_rows(wide), list(CATEGORIES))
+    codes = [f"{c}_index" for c in CATEGORIES]
+    names = [*codes, *[c for c in wide.columns if c.startswith("Demand_")]]
+    rows = cut_lineage(models.vectors(coded, names).select(*MONTH_KEYS, "split", "dispatched", "features"))
+    judged = rows.withColumn("split", F.when(F.col("split") == "test", "val").otherwise(F.col("split")))
+    model = models.fit_boosted(judged, models.CATEGORY, "dispatched", validate=True, categorical=tuple(range(len(codes))))
+    return models.predict(model, rows.where("split = 'test'"), "dispatched", MONTH_KEYS)
+
+
 @query("simple_vs_full")
 def simple_vs_full(spark, sf):
     rows, _ = monthly_rows(spark, sf)
@@ -149,14 +165,16 @@ def cv_backward(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    """All axes of each cluster's grid, cross-validated; best marks the chosen parameters of a cluster."""
+    """All axes of each cluster's grid, cross-validated; best marks the chosen parameters, which are written and read back."""
     rows, _ = monthly_rows(spark, sf)
-    folded = models.expanding_folds(rows.where("split = 'train'"), inp.MONTHLY, 2)
-    out = []
-    for c in clusters_of(rows):
-        _, table = models.grid_search(folded.where(F.col("cluster") == c), models.GRIDS[c], "dispatched", models.MONTHLY[c])
-        out.append(table.select(F.lit(c).alias("cluster"), F.to_json("params").alias("params"), "r2", "best"))
-    return align.stack(out)
+    folded = models.block_folds(rows.where("split = 'train'"), inp.MONTHLY, 5)
+    labels = clusters_of(rows)
+    _, table = models.grid_search(folded, {c: models.GRIDS[c] for c in labels}, "dispatched", {c: models.MONTHLY[c] for c in labels})
+    path = scratch_path(spark, "params")
+    sinks.write_params(table.where("best").select(F.col("cluster").cast("string").alias("series"), "params"), path)
+    saved = sinks.read_batches(spark, path, "json", "series string, params map<string,string>")
+    known = saved.select(F.col("series").cast("int").alias("cluster"), F.col("params").alias("saved"))
+    return table.join(known, "cluster").select("cluster", F.to_json("params").alias("params"), "r2", "best", F.to_json("saved").alias("saved"))
 
 
 def importance_table(spark, sf):
@@ -263,10 +281,10 @@ def smoothing_routed(spark, sf):
 
 @query("seasonal_regression")
 def seasonal_regression(spark, sf):
-    """Trend, waves and indicators; the indicators are carried to days, gaps take the mean."""
+    """Bending trend, waves and indicators by cluster; the indicators are carried to days, gaps take the mean."""
     panel = inp.filled(spark, sf)
     rows = align.asof_mean_fill(panel, inp.external(spark, sf), list(text.INDICATORS), inp.last_day(spark, sf), inp.SPEC)
-    out = models.seasonal_regression(rows, inp.SPEC, list(text.INDICATORS))
+    out = trend.seasonal_regression(rows.join(brand_labelled(spark, sf), "series"), inp.SPEC, list(text.INDICATORS))
     return out.where("split = 'test'")
 
 
@@ -285,7 +303,7 @@ def clustered_batch(spark, sf):
     orders, external = inp.daily(spark, sf), inp.external(spark, sf)
     assignments = cut_lineage(clustered.clusters(orders, external, "1998-01-01"))
     out = scratch_path(spark, "batch")
-    clustered.run(orders, external, inp.START, inp.last_day(spark, sf), inp.TEST, assignments, out=out)
+    clustered.run(orders, external, inp.first_day(spark, sf), inp.last_day(spark, sf), inp.TEST, assignments, out=out)
     return spark.read.parquet(f"{out}/scores")
 
 
@@ -339,5 +357,5 @@ def horizon_long(spark, sf):
 def _horizon(spark, sf, horizon):
     """Scores of a horizon's feature lists, one model per given cluster."""
     return clustered.run(
-        inp.daily(spark, sf), inp.external(spark, sf), inp.START, inp.last_day(spark, sf), inp.TEST, brand_labelled(spark, sf), horizon
+        inp.daily(spark, sf), inp.external(spark, sf), inp.first_day(spark, sf), inp.last_day(spark, sf), inp.TEST, brand_labelled(spark, sf), horizon
     )["scores"]

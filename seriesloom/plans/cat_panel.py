@@ -8,8 +8,10 @@ from seriesloom.functions import calendar as cal
 from seriesloom.functions import text
 from seriesloom.operators import align, report, score, split
 from seriesloom.plans import inputs as inp
+from seriesloom.plans import naive
 from seriesloom.plans.registry import cols, cte, query, r
-from seriesloom.sources import tables
+from seriesloom.session import cut_lineage, scratch_path
+from seriesloom.sources import ledger, sinks, tables
 
 IND = text.INDICATORS
 BOTH = {"dispatched": "dispatched", "ordered": "ordered"}
@@ -380,6 +382,32 @@ def isolate_errors(spark, sf):
     return split.history_status(all_series(spark, sf), ["series"], 60, in_test)
 
 
+@query(
+    "run_ledger",
+    f"""SELECT series, 'naive' AS stage, CASE WHEN n_train < 60 THEN 'insufficient training data' WHEN n_test < 1 THEN 'no test data' END AS error FROM (
+SELECT series, count(*) FILTER (date < DATE '{inp.TEST}') AS n_train, count(*) FILTER (date >= DATE '{inp.TEST}') AS n_test
+FROM all_series GROUP BY 1)""",
+)
+def run_ledger(spark, sf):
+    """Two batches, the second one stopped by an error, and a restart that does only what is left."""
+    rows = cut_lineage(all_series(spark, sf))
+    in_test = F.col("date") >= F.lit(inp.TEST).cast("date")
+    status = split.history_status(rows, ["series"], 60, in_test).select("series", "error")
+    path, out = scratch_path(spark, "ledger"), scratch_path(spark, "forecasts")
+
+    def forecast(batch):
+        return lambda todo: sinks.write_forecast(naive.forecasts(todo.where(in_test), inp.SPEC, inp.TEST), out, batch)
+
+    def stopped(todo):
+        raise RuntimeError("lost connection")
+
+    first = F.col("series") < "Brand#3"
+    ledger.run(rows.where(first), status, path, "1", "naive", forecast("1"))
+    ledger.run(rows.where(~first), status, path, "2", "naive", stopped)
+    ledger.run(rows, status, path, "3", "naive", forecast("3"))
+    return ledger.latest(spark, path)
+
+
 @query(
     "run_status",
     f"""SELECT count(*) AS n, CAST(count(*) FILTER (ok) AS BIGINT) AS n_success, count(*) FILTER (NOT ok) AS n_failed,

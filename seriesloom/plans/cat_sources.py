@@ -10,7 +10,7 @@ from seriesloom.functions import text
 from seriesloom.operators import align, models, report, score, shape
 from seriesloom.operators import window as win
 from seriesloom.plans import inputs as inp
-from seriesloom.plans.registry import cols, query, r
+from seriesloom.plans.registry import cols, cte, query, r
 from seriesloom.session import cut_lineage, scratch_path
 from seriesloom.sources import files, sinks, tables
 
@@ -443,18 +443,45 @@ def categorise_feature(spark, sf):
     )
 
 
-@query("as_category")
-def as_category(spark, sf):
-    rows = inp.monthly(spark, sf).withColumns(
+CATEGORIES = ("MonthNo", "Quarter", "Year", "YearMonth", "Material")
+
+
+def category_rows(monthly):
+    """Months with their calendar parts and the id, to be read as categories."""
+    return monthly.withColumns(
         {
-            "Month": F.month("month"),
+            "MonthNo": F.month("month"),
             "Quarter": F.quarter("month"),
             "Year": F.year("month"),
             "YearMonth": F.date_format("month", "yyyyMM"),
             "Material": F.col("series"),
         }
     )
-    return models.categories(rows, ["Month", "Quarter", "Year", "YearMonth", "Material"])
+
+
+_CATEGORY_SQL = {
+    "MonthNo": "CAST(month(month) AS VARCHAR)",
+    "Quarter": "CAST(quarter(month) AS VARCHAR)",
+    "Year": "CAST(year(month) AS VARCHAR)",
+    "YearMonth": "strftime(month, '%Y%m')",
+    "Material": "series",
+}
+cte("category_rows", "SELECT *, " + ", ".join(f"{e} AS {c}" for c, e in _CATEGORY_SQL.items()) + " FROM monthly")
+
+
+@query(
+    "as_category",
+    "SELECT m.*, "
+    + ", ".join(f"CAST(i{k}.i AS DOUBLE) AS {c}_index" for k, c in enumerate(CATEGORIES))
+    + " FROM category_rows m "
+    + " ".join(
+        f"JOIN (SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS i FROM category_rows GROUP BY {c}) i{k} ON i{k}.{c} = m.{c}"
+        for k, c in enumerate(CATEGORIES)
+    ),
+)
+def as_category(spark, sf):
+    """Categories by name and by number, the most frequent first; `fit_category` learns from the numbers."""
+    return models.categories(category_rows(inp.monthly(spark, sf)), list(CATEGORIES))
 
 
 @query(

@@ -706,11 +706,18 @@ cte(
     ),
 )
 
+cte(
+    "recipe_names",
+    "SELECT * FROM (VALUES " + ", ".join(f"({c}, '{n}')" for c in (0, 1, 2) for n in indicators.recipe_columns(c)) + ") AS t(cluster, feature)",
+)
+
 
 @query(
     "cluster_recipe",
-    f"""SELECT m.series, m.month, l.cluster, x.feature, {r('x.value')} AS value FROM monthly m JOIN brand_labelled l ON m.series = l.series
-JOIN recipe_rows x ON x.month = m.month AND x.cluster = l.cluster""",
+    f"""SELECT m.series, m.month, l.cluster, n.feature,
+  {r("CASE n.feature WHEN 'Month' THEN month(m.month) WHEN 'Quarter' THEN quarter(m.month) ELSE x.value END")} AS value
+FROM monthly m JOIN brand_labelled l ON m.series = l.series JOIN recipe_names n ON n.cluster = l.cluster
+LEFT JOIN recipe_rows x ON x.month = m.month AND x.cluster = n.cluster AND x.feature = n.feature""",
 )
 def cluster_recipe(spark, sf):
     panel = inp.monthly(spark, sf).select("series", "month").join(brand_labelled(spark, sf), "series")

@@ -130,17 +130,17 @@ def learned(rows: DataFrame, spec: SeriesSpec, labels: list[int], learner: str)
     """Test predictions of the finished boosted models, of the second learner, or of the mean of two learners."""
     keys = ["series", spec.time]
     if learner == "ensemble":
-        one, two = (models.panel_by_cluster(rows, models.ENSEMBLE, spec.target, keys, labels, kind) for kind in ("boosted", "forest"))
+        one, two = (models.panel_by_cluster(rows, models.ENSEMBLE, spec.target, keys, labels, kind) for kind in ("boosted", "second"))
         return models.ensemble_mean(one, two, keys)
-    configs, kind = {"finished": (models.FINISHED, "boosted"), "second": (models.SECOND, "forest")}[learner]
+    configs, kind = {"finished": (models.FINISHED, "boosted"), "second": (models.SECOND, "second")}[learner]
     return models.panel_by_cluster(rows, configs, spec.target, keys, labels, kind)
 
 
 def run(
     orders: DataFrame,
     external: DataFrame,
-    start: str,
-    end: str,
+    start: str | Column,
+    end: str | Column,
     test_from: str,
     assignments: DataFrame,
     horizon: Horizon = MAIN,

@@ -1,7 +1,7 @@
 """Common table expressions: the panels of ``inputs`` in SQL."""
 
 
-from seriesloom.plans.inputs import START, TEST, VAL
+from seriesloom.plans.inputs import TEST, VAL
 from seriesloom.plans.registry import cte
 
 cte(
@@ -25,14 +25,15 @@ FROM moves m JOIN part p ON m.partkey = p.p_partkey GROUP BY 1, 2
 cte(
     "cal_end",
     """
-SELECT greatest((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS day
+SELECT greatest((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) AS day,
+  least((SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)) AS first
 """,
 )
 for name, column, step in (("cal_days", "date", "DAY"), ("cal_months", "month", "MONTH")):
     cte(
         name,
         f"""
-SELECT CAST(unnest(range(TIMESTAMP '{START}', CAST(day AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 {step})) AS DATE) AS {column} FROM cal_end
+SELECT CAST(unnest(range(CAST(date_trunc('{step.lower()}', first) AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 {step})) AS DATE) AS {column} FROM cal_end
 """,
     )
 for name, base in (("filled", "daily"), ("filled_lumpy", "daily_lumpy")):

@@ -6,6 +6,8 @@ of the test tables.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,10 @@ from seriesloom.operators import align, indicators, lumpy, resample, score, spli
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
 from seriesloom.plans import naive
-from seriesloom.session import cut_lineage
+from seriesloom.session import cut_lineage, remembered
 from seriesloom.sources import tables
 from seriesloom.spec import SeriesSpec
 
-START = "1995-01-01"
 VAL, TEST = "2000-12-01", "2001-01-01"
 SPEC = SeriesSpec()
 SPLIT = SPEC.with_history("split")
@@ -27,10 +28,29 @@ MONTHLY_SPLIT = MONTHLY.with_history("split")
 MEASURES = ["dispatched", "ordered"]
 
 
+def _days(spark: SparkSession, sf: str) -> tuple[datetime.date | None, datetime.date | None]:
+    """First and last day of the data, looked up once a session."""
+
+    def look():
+        ends = lambda name, c: tables.table(spark, sf, name).agg(F.min(F.col(c).cast("date")), F.max(F.col(c).cast("date"))).first()
+        found = [d for row in (ends("lineitem", "l_shipdate"), ends("orders", "o_orderdate")) for d in row if d is not None]
+        return (min(found), max(found)) if found else (None, None)
+
+    return remembered(spark, ("days", sf), look)
+
+
+def first_day(spark: SparkSession, sf: str) -> Column:
+    """The first day of the data: the start of every calendar here, as a literal."""
+    return F.lit(_days(spark, sf)[0]).cast("date")
+
+
 def last_day(spark: SparkSession, sf: str) -> Column:
-    """The last day of the data: the end of every calendar here."""
-    end = lambda name, c: tables.table(spark, sf, name).agg(F.max(F.col(c).cast("date"))).scalar()
-    return F.greatest(end("lineitem", "l_shipdate"), end("orders", "o_orderdate"))
+    """The last day of the data: the end of every calendar here, as a literal."""
+    return F.lit(_days(spark, sf)[1]).cast("date")
+
+
+def first_month(spark: SparkSession, sf: str) -> Column:
+    return F.trunc(first_day(spark, sf), "month")
 
 
 def last_month(spark: SparkSession, sf: str) -> Column:
@@ -53,24 +73,24 @@ def daily_lumpy(spark: SparkSession, sf: str, since: str | None = None) -> DataF
 
 def filled(spark: SparkSession, sf: str) -> DataFrame:
     """Brand panel on the complete calendar with its split."""
-    panel = align.gap_fill(daily(spark, sf), SPEC, MEASURES, START, last_day(spark, sf))
+    panel = align.gap_fill(daily(spark, sf), SPEC, MEASURES, first_day(spark, sf), last_day(spark, sf))
     return panel.withColumn("split", split.cutoff_split(F.col("date"), TEST))
 
 
 def filled_lumpy(spark: SparkSession, sf: str) -> DataFrame:
-    panel = align.gap_fill(daily_lumpy(spark, sf), SPEC, MEASURES, START, last_day(spark, sf))
+    panel = align.gap_fill(daily_lumpy(spark, sf), SPEC, MEASURES, first_day(spark, sf), last_day(spark, sf))
     return panel.withColumn("split", split.cutoff_split(F.col("date"), TEST))
 
 
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     """Brand panel by month on the complete calendar."""
     rolled = tables.orders_monthly(spark, sf, F.col("p_brand"))
-    return align.gap_fill(rolled, MONTHLY, MEASURES, START, last_month(spark, sf), step="month")
+    return align.gap_fill(rolled, MONTHLY, MEASURES, first_month(spark, sf), last_month(spark, sf), step="month")
 
 
 def monthly_lumpy(spark: SparkSession, sf: str) -> DataFrame:
     rolled = tables.orders_monthly(spark, sf, lumpy_key())
-    return align.gap_fill(rolled, MONTHLY, MEASURES, START, last_month(spark, sf), step="month")
+    return align.gap_fill(rolled, MONTHLY, MEASURES, first_month(spark, sf), last_month(spark, sf), step="month")
 
 
 def monthly_with_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,7 +98,8 @@ def monthly_with_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def external(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.external_monthly(spark, sf)
+    """The indicators: one row per month, written once a session, so that plans know how small the table is."""
+    return remembered(spark, ("indicators", sf), lambda: cut_lineage(tables.external_monthly(spark, sf).coalesce(1)))
 
 
 def external_split(spark: SparkSession, sf: str) -> DataFrame:

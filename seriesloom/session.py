@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings for any cluster size. AQE picks the number of reduce tasks from the
@@ -57,6 +59,15 @@ def shared_root(spark: SparkSession) -> str:
 
 
 _MADE: list[str] = []
+_KNOWN: dict[tuple, object] = {}
+
+
+def remembered(spark: SparkSession, key: tuple, make: Callable):
+    """What make() gave the first time in this session; ``release`` forgets it. For values and tables as small as a calendar."""
+    at = (spark.sparkContext.applicationId, *key)
+    if at not in _KNOWN:
+        _KNOWN[at] = make()
+    return _KNOWN[at]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -66,12 +77,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def discard(context: SparkContext, path: str) -> None:
+    """Removes a folder that no later step reads."""
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def release(spark: SparkSession) -> None:
     """Removes what this process has written to scratch paths; results that still read them are lost."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    _KNOWN.clear()
     while _MADE:
-        at = hadoop.Path(_MADE.pop())
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        discard(spark.sparkContext, _MADE.pop())
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -54,6 +54,11 @@ def write_clusters(df: DataFrame, path: str, batch: str = "all", fmt: str = "csv
     return _batch(df, path, batch, ("cluster",), fmt)
 
 
+def write_parts(df: DataFrame, path: str, by: tuple[str, ...]) -> str:
+    """Rows under folders of ``by``; only the folders that df has rows for are replaced."""
+    return _overwrite(df, path, by)
+
+
 def write_merged(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """A merged table or prediction set as it is."""
     return _overwrite(df, path, (), fmt)

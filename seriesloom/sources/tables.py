@@ -89,14 +89,20 @@ def _exact(c: Column, scale: int) -> Column:
 
 
 def external_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven monthly indicators: one row per calendar month that has orders.
+    """Seven monthly indicators: one row per calendar month that has orders."""
+    return external_by(spark, sf_dir, "month")
+
+
+def external_by(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
+    """Seven indicators: one row per `month` or `day` that has orders.
 
     Money is summed as decimals, so the result does not depend on how rows are
     spread over tasks.
     """
+    start = lambda c: (F.col(c).cast("date") if grain == "day" else F.trunc(F.col(c).cast("date"), "month")).alias(grain)
     by_order = (
         table(spark, sf_dir, "orders")
-        .groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"))
+        .groupBy(start("o_orderdate"))
         .agg(
             F.count("*").cast("double").alias("ECG_DESP"),
             F.sum(_exact(F.col("o_totalprice"), 2)).cast("double").alias("ISE_CO"),
@@ -107,15 +113,15 @@ def external_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, discount = _exact(F.col("l_extendedprice"), 2), _exact(F.col("l_discount"), 2)
     by_line = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
+        .groupBy(start("l_shipdate"))
         .agg(
             F.sum(price * (F.lit(1).cast("decimal(3,2)") - discount)).cast("double").alias("PIB_CO"),
             F.sum(discount).cast("double").alias("_disc"),
             F.count("*").cast("double").alias("_lines"),
         )
     )
-    return by_order.join(by_line, "month", "left").select(
-        "month",
+    return by_order.join(by_line, grain, "left").select(
+        grain,
         "ECG_DESP",
         (F.col("ISE_CO") / F.col("ECG_DESP")).alias("TUAV"),
         "PIB_CO",

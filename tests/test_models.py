@@ -1,75 +1,29 @@
-"""Learners: when boosting stops, that fits don't depend on cores, and quality against the naive forecast."""
+"""Learners on the registered panels: quality against the naive forecast, and that queries give rows."""
 
-import os
-import subprocess
-import sys
-
-import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from seriesloom.operators import models
-from seriesloom.operators.models import Boosting
+from seriesloom.operators import boosting, models
 
 SF = "/root/testdata/sf0.001"
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-
-
-def rows(spark, noise: float, n: int = 1500):
-    rng = np.random.default_rng(0)
-    x = rng.uniform(-1, 1, size=(n, 3))
-    y = 10 * x[:, 0] + 5 * (x[:, 1] > 0) + noise * rng.normal(size=n)
-    data = [(Vectors.dense(a), float(b), "val" if i % 4 == 0 else "train") for i, (a, b) in enumerate(zip(x, y, strict=True))]
-    return spark.createDataFrame(data, ["features", "y", "split"]).repartition(1).cache()
 
 
 def test_best_prefix_waits_as_long_as_the_patience():
-    assert models.best_prefix([5.0, 3.0, 4.0, 2.0], 1) == 2
-    assert models.best_prefix([5.0, 3.0, 4.0, 2.0], 2) == 4
-    assert models.best_prefix([1.0], 5) == 1
-
-
-def test_patience_decides_where_boosting_stops(spark):
-    config = Boosting(30, 0.3, 3, stop_after=4)
-    clean = models.fit_boosted(rows(spark, 0.0), config, "y", validate=True)
-    noisy = models.fit_boosted(rows(spark, 30.0), config, "y", validate=True)
-    assert clean.getNumTrees > 10 > noisy.getNumTrees
-    full = models.boosted(config, "y").fit(rows(spark, 30.0).where("split = 'train'"))
-    losses = list(full.evaluateEachIteration(rows(spark, 30.0).where("split = 'val'"), "squared"))
-    assert noisy.getNumTrees == models.best_prefix(losses, 4)
-    held = rows(spark, 30.0).where("split = 'val'")
-    short = models.predict(noisy, held, "y", []).agg(F.avg(F.pow(F.col("actual") - F.col("predicted"), 2))).first()[0]
-    assert short < models.predict(full, held, "y", []).agg(F.avg(F.pow(F.col("actual") - F.col("predicted"), 2))).first()[0]
-
-
-SCRIPT = """
-import sys
-from pyspark.sql import functions as F
-from seriesloom.operators import models
-from seriesloom.session import local_session, spread
-spark = local_session("cores", sys.argv[1])
-base = spark.range(3000).select(F.col("id"), *[(F.xxhash64("id", F.lit(i)) / 2.0**63).alias(f"x{i}") for i in range(4)])
-rows = models.vectors(base.withColumn("y", F.col("x0") * 3 + F.col("x1")), ["x0", "x1", "x2", "x3"])
-fitted = models.boosted(models.Boosting(4, 0.3, 3, 2, 0.7, 0.7), "y").fit(spread(rows.select("id", "y", "features"), "id"))
-print("SUM", round(fitted.transform(rows).agg(F.sum("predicted")).first()[0], 6))
-"""
+    assert boosting.best_prefix([5.0, 3.0, 4.0, 2.0], 1) == 2
+    assert boosting.best_prefix([5.0, 3.0, 4.0, 2.0], 2) == 4
+    assert boosting.best_prefix([1.0], 5) == 1
 
 
-def test_fits_do_not_depend_on_the_number_of_cores():
-    found = set()
-    for cores in ("2", "4"):
-        env = os.environ | {"PYTHONPATH": ROOT}
-        out = subprocess.run([sys.executable, "-c", SCRIPT, cores], env=env, capture_output=True, text=True, timeout=300)
-        found.add([x for x in out.stdout.splitlines() if x.startswith("SUM")][0])
-    assert len(found) == 1
+@pytest.fixture(scope="module")
+def monthly(spark):
+    from seriesloom.plans import cat_models
 
+    return cat_models.monthly_rows(spark, SF)[0]
 
-def test_boosted_months_beat_the_previous_month(spark):
-    from seriesloom.plans import cat_models
 
-    monthly, _ = cat_models.monthly_rows(spark, SF)
-    model = models.fit_boosted(monthly, models.SIMPLE, "dispatched")
+@pytest.mark.parametrize("config", [models.SIMPLE, models.SECOND[0], models.LEAFWISE], ids=["level", "oblivious", "leaf"])
+def test_learners_beat_the_previous_month(monthly, config):
+    model = models.fit_boosted(monthly, config, "dispatched")
     keep = ["series", "month", F.col("Demand_lag_1").alias("naive")]
     pairs = models.predict(model, monthly.where("split = 'test'"), "dispatched", keep)
     error = lambda c: F.sqrt(F.avg(F.pow(F.col("actual") - F.col(c), 2)))
@@ -77,27 +31,8 @@ def test_boosted_months_beat_the_previous_month(spark):
     assert ours < naive
 
 
-@pytest.mark.parametrize("name", ["holt_winters", "baseline_ext"])
+@pytest.mark.parametrize("name", ["holt_winters", "baseline_ext", "fit_category"])
 def test_model_query_gives_rows(spark, name):
     from seriesloom.plans import catalog
 
     assert catalog.QUERIES[name](spark, SF).count() > 0
-
-
-def test_grid_search_takes_every_axis_and_marks_the_best(spark, monkeypatch):
-    import json
-
-    from seriesloom.plans import cat_models
-
-    rng = np.random.default_rng(5)
-    rows = [(i % 3, Vectors.dense(float(x)), float(3 * x), "train", 0) for i, x in enumerate(rng.normal(size=60))]
-    frame = spark.createDataFrame(rows, ["fold", "features", "dispatched", "split", "cluster"]).cache()
-    grid = {"trees": (1, 2), "rate": (0.1,), "depth": (2,), "min_child": (1, 5), "rows": (0.7,), "cols": (0.7, 1.0)}
-    assert all(set(g) == set(grid) for g in models.GRIDS.values())
-    monkeypatch.setattr(models, "GRIDS", {0: grid})
-    monkeypatch.setattr(models, "expanding_folds", lambda df, spec, n: df)
-    monkeypatch.setattr(cat_models, "monthly_rows", lambda spark, sf: (frame, None))
-    monkeypatch.setattr(cat_models, "clusters_of", lambda rows: [0])
-    got = cat_models.grid_search(spark, None).collect()
-    assert len({r.params for r in got}) == len(got) == 8 and all(set(json.loads(r.params)) == set(grid) for r in got)
-    assert [r.r2 for r in got if r.best] == [max(r.r2 for r in got)]
