@@ -8,8 +8,9 @@ Within a bucket every member is compared with one centre only, so candidates gro
 with their square. The centre is the member that meets most others over all its buckets: edited copies
 share more buckets with their original than with each other. Links are confirmed on the full sets. Buckets
 whose members are still in different components go into another round with the next centre. What is open after
-CENTRES rounds is compared by an exact prefix-filter join, so every pair that shares a bucket is either tested or in
-one component, whatever else is in the corpus.
+CENTRES rounds is compared by an exact join of differences: members of a bucket are reduced to what tells them from its first
+centre, where the text they share cancels out. Every pair that shares a bucket is either tested, provably
+too different, or in one component, whatever else is in the corpus.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table, whole
@@ -103,6 +104,12 @@ class Bands:
         return _mix(key).astype(np.int64)
 
 
+def row_key(id_col: str, text: Column) -> Column:
+    """128 bits that name a row; rows with equal id and text share them."""
+    own = F.coalesce(F.concat(F.lit("="), F.col(id_col).cast("string")), F.lit("n"))
+    return F.unhex(F.md5(F.concat(own, F.lit("\0"), text).cast("binary")))
+
+
 def signed(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """(`id`, `row`, `node`, `n`, `keys`): node is a 128-bit digest of the set, keys its buckets; n = 0 has none."""
     kind = df.schema[id_col].dataType.simpleString()
@@ -122,8 +129,8 @@ def signed(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
             )
 
     text = whole(text_col)
-    rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
-    return rows.mapInPandas(run, f"id {kind}, row long, node binary, n long, keys array<long>")
+    rows = df.select(F.col(id_col).alias("id"), row_key(id_col, text).alias("row"), text.alias("text"))
+    return rows.mapInPandas(run, f"id {kind}, row binary, node binary, n long, keys array<long>")
 
 
 def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -135,7 +142,7 @@ def sets_of(df: DataFrame, wanted: DataFrame, id_col: str, text_col: str, width:
             yield pd.DataFrame({"node": batch["node"], "hashes": [shingles(t).astype(np.int64) for t in batch["text"]]})
 
     text = whole(text_col)
-    rows = df.select(F.xxhash64(F.col(id_col), text).alias("row"), text.alias("text"))
+    rows = df.select(row_key(id_col, text).alias("row"), text.alias("text"))
     # Rows that repeat have the same key; one of them is enough.
     return rows.join(wanted, "row").select("node", "text").mapInPandas(run, "node binary, hashes array<long>").dropDuplicates(["node"])
 
@@ -167,23 +174,35 @@ def joined(merged: DataFrame | None, fresh: DataFrame) -> DataFrame | None:
 
 
 def candidates(rest: DataFrame, sets: DataFrame, similar: int = SIMILAR) -> DataFrame:
-    """All pairs (`a`, `b`) of rest (`node`, `n`, `root`) that may be similar and are in different components.
+    """All pairs (`a`, `b`) of rest (`ref`, `node`, `n`, `root`) that may be similar, share a ref and are in different components.
 
-    Two sets that share enough have a hash in common among the rarest n - ceil(similar * n) + 1 of each, in any one order of
-    all hashes; rare ones first keeps the pairs few. Pairs within the largest component of a hash are never formed.
+    Each set x is reduced to its symmetric difference Sx with the set of its ref. |x △ m| = |Sx| + |Sm| - 2 |Sx ∩ Sm|, so two sets
+    are similar only if Sx and Sm share at least t = (|Sx| + |Sm| - largest difference of similar sets) / 2 hashes, and then
+    also one of the rarest |S| - t + 1 of each. Members that are similar to the ref were linked with it before, so one of a
+    pair is not, and t is at least half of what the other one differs by: what most members have in common is never joined.
     """
-    each = rest.join(sets, "node").select("node", "n", "root", F.explode("hashes").alias("hash"))
-    count = each.groupBy("hash").agg(F.count(F.lit(1)).alias("often"))
-    order = Window.partitionBy("node").orderBy("often", "hash")
-    first = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
-    heads = each.join(count, "hash").withColumn("at", F.row_number().over(order)).filter(F.col("at") <= first).filter("often > 1")
-    heads = cut(heads.select("hash", "node", "n", "root"), "heads")
-    most = heads.groupBy("hash", "root").agg(F.count(F.lit(1)).alias("members")).groupBy("hash")
-    most = most.agg(F.max_by("root", F.struct("members", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-    left = heads.join(most, "hash").filter("root != most").select("hash", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "root")])
-    met = left.join(heads.join(most.select("hash"), "hash", "left_semi"), "hash")
-    near = (100 * F.least("n", "_n") >= similar * F.greatest("n", "_n")) & (F.col("root") != F.col("_root"))
-    return met.filter(near).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+    apart = lambda size: F.floor(size * (100 - similar) / (100 + similar))
+    own = sets.select(F.col("node").alias("_o"), F.col("hashes").alias("ho"))
+    other = sets.select(F.col("node").alias("_r"), F.col("hashes").alias("hr"))
+    both = rest.join(own, F.col("node") == F.col("_o")).join(other, F.col("ref") == F.col("_r"))
+    diff = F.concat(F.array_except("ho", "hr"), F.array_except("hr", "ho"))
+    each = both.select("ref", "node", "n", "root", F.size("hr").cast("long").alias("nr"), diff.alias("diff")).withColumn("k", F.size("diff").cast("long"))
+    each = cut(each.select("ref", "node", "n", "root", "nr", "k", F.explode("diff").alias("hash")), "differences")
+    often = each.groupBy("ref", "hash").agg(F.count(F.lit(1)).alias("often"))
+    order = Window.partitionBy("ref", "node").orderBy("often", "hash")
+    placed = each.join(often, ["ref", "hash"]).withColumn("at", F.row_number().over(order)).filter("often > 1")
+    n, k, nr = (F.col(c) for c in ("n", "k", "nr"))
+    # Partners of a member that is similar to no ref, and partners of any member that are similar to none.
+    least_far = F.greatest(k - apart(n + F.floor(n * 100 / similar)), F.lit(1))
+    least_any = F.greatest(F.ceil((1 + k + apart(nr - n)) / 2), F.lit(1))
+    heads = cut(placed.filter(F.col("at") <= k - F.least(least_far, least_any) + 1), "heads")
+    far = heads.filter((k > apart(n + nr)) & (F.col("at") <= k - least_far + 1)).select("ref", "hash", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "root", "k", "at")])
+    any_ = heads.filter(F.col("at") <= k - least_any + 1)
+    shared = F.ceil((k + F.col("_k") - apart(n + F.col("_n"))) / 2)
+    left = 1 + F.least(k - F.col("at"), F.col("_k") - F.col("_at"))
+    near = (100 * F.least("n", "_n") >= similar * F.greatest("n", "_n")) & (F.col("root") != F.col("_root")) & (left >= shared)
+    met = far.join(any_, ["ref", "hash"]).filter(near)
+    return met.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 
 def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int, similar: int = SIMILAR) -> DataFrame:
@@ -201,7 +220,7 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
     sets = cut(sets_of(df, wanted, id_col, text_col, width), "sets")
 
     # Members carry the root of their component so far; pairs within one component need no test.
-    open_, merged = ranked.withColumn("root", F.col("m.node")), None
+    open_, merged = ranked.withColumns({"root": F.col("m.node"), "ref": F.lit(None).cast("binary")}), None
     for _ in range(CENTRES):
         centre = open_.groupBy("key").agg(F.max(F.struct("m", "root")).alias("c"))
         # A centre meets all others of its bucket now, so the bucket goes on without it.
@@ -212,17 +231,17 @@ def links(df: DataFrame, base: DataFrame, id_col: str, text_col: str, width: int
         pairs = tests.select(F.least("c.m.node", "m.node").alias("a"), F.greatest("c.m.node", "m.node").alias("b")).distinct()
         merged = joined(merged, cut(confirmed(pairs, sets, similar), "links"))
         # Buckets whose other members are in different components, whether or not this round has linked anything.
-        rooted = led.select("key", "m", F.col("m.node").alias("root"))
+        rooted = led.select("key", "m", F.col("m.node").alias("root"), F.coalesce("ref", "c.m.node").alias("ref"))
         if merged is not None:
             known = merged.select(F.col("node").alias("_n"), F.col("root").alias("_root"))
             rooted = rooted.drop("root").join(known, F.col("m.node") == F.col("_n"), "left")
-            rooted = rooted.select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"))
+            rooted = rooted.select("key", "m", F.coalesce("_root", F.col("m.node")).alias("root"), "ref")
         mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
         open_ = cut(rooted.join(mixed, "key"), "open")
         if open_.isEmpty():
             break
     else:
-        rest = cut(open_.select(F.col("m.node").alias("node"), F.col("m.n").alias("n"), "root").distinct(), "rest")
+        rest = cut(open_.select("ref", F.col("m.node").alias("node"), F.col("m.n").alias("n"), "root").distinct(), "rest")
         pairs = cut(candidates(rest, sets, similar), "candidates")
         merged = joined(merged, cut(confirmed(pairs, sets, similar), "links"))
     if merged is None:
@@ -242,7 +261,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     rows = base.select("id", "row", "node", "n").join(roots, "node", "left")
     # Without words a row is alone: its own row key tells it from the others.
     alone = F.struct(F.lit(b"").alias("node"), F.col("row").alias("row"))
-    linked = F.struct(F.coalesce("root", "node").alias("node"), F.lit(0).cast("long").alias("row"))
+    linked = F.struct(F.coalesce("root", "node").alias("node"), F.lit(b"").alias("row"))
     placed = rows.select("id", "row", "n", F.when(F.col("n") == 0, alone).otherwise(linked).alias("group"))
     least = placed.groupBy("group").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     sized = placed.join(least, "group", "left")
@@ -253,7 +272,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of df for each group of near-duplicates, the one with the smallest id; of repeated rows one."""
     kept = groups(df, id_col, text_col, **settings).filter("kept").select(F.col("row").alias("_kept_row")).distinct()
-    rows = df.select(F.struct("*").alias("_record"), F.xxhash64(F.col(id_col), whole(text_col)).alias("_own_row"))
+    rows = df.select(F.struct("*").alias("_record"), row_key(id_col, whole(text_col)).alias("_own_row"))
     joined = rows.join(kept, F.col("_own_row") == F.col("_kept_row")).dropDuplicates(["_own_row"])
     return joined.select("_record.*")
 
