@@ -1,8 +1,8 @@
 """Mixing sources to target weights by capped water-filling.
 
-Source totals are one row per source. On the driver the words of the mix are given out by weight; a source
+Source totals are a table with one row per source. The words of the mix are given out by weight; a source
 above its cap (most epochs times its size) is clamped and the excess goes to the others in proportion
-to their weights, until none is above. A document then appears `whole` times, and once more while
+to their weights, until none is above: each round is an aggregate over the sources that returns three numbers. A document then appears `whole` times, and once more while
 its place in the source's seeded order lies within the words that are still missing.
 
 The place needs a running sum within each source. It is summed first by (source, slice of the hash),
@@ -11,7 +11,6 @@ so a window never holds more than one slice of a source, whatever share of the r
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,34 +25,41 @@ EPOCHS = 2
 SEED = 17
 #: Hex digits of the hash that name a slice: 4096 slices of each source.
 SLICE_DIGITS = 3
-#: Source totals are handled on the driver; more sources than this are refused, not cut.
-MOST_SOURCES = 1_000_000
 
 
 def n_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def water_fill(sizes: Sequence[int], weights: Sequence[float], total: float, epochs: float) -> list[float]:
-    """Targets that sum to total (or to all caps, if less), none above epochs * size.
-
-    >>> water_fill([10, 100], [5, 2], 100, 2)
-    [20.0, 80.0]
-    """
-    targets, open_ = [0.0] * len(sizes), set(range(len(sizes)))
-    left, weight = total, sum(weights)
-    while open_ and weight > 0:
-        above = [i for i in open_ if left * weights[i] / weight > epochs * sizes[i]]
-        if not above:
-            for i in open_:
-                targets[i] = left * weights[i] / weight
+def ranked(sources: DataFrame, column: str) -> DataFrame:
+    """sources with their `rank` from 0 by code point of a column, null last, without one task that holds them all."""
+    ordered = sources.orderBy(F.col(column).isNull(), column)
+    dealt = cut(ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), "ranked")
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per task of the sort.
+    offsets = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))
+    own = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return dealt.join(offsets, "_part").withColumn("rank", F.col("_before") + own).drop("_part", "_at", "_before")
+
+
+def water_fill(sources: DataFrame, share: float, epochs: float) -> DataFrame:
+    """sources (`n`, `weight`) with their `target`: together share of all words (or all caps, if less), none above epochs * n."""
+    cap = F.col("n") * F.lit(epochs)
+    one = sources.agg(F.sum("n").alias("n"), F.sum("weight").alias("w")).first()
+    total, left, weight, clamped = share * (one["n"] or 0), share * (one["n"] or 0), one["w"] or 0, 0
+    while True:
+        above = F.lit(float(left)) * F.col("weight") / F.lit(float(weight or 1)) > cap
+        now = sources.agg(
+            F.count(F.when(above, 1)).alias("clamped"), F.sum(F.when(above, cap)).alias("capped"), F.sum(F.when(above, 0).otherwise(F.col("weight"))).alias("w")
+        ).first()
+        if now["clamped"] == clamped:
             break
-        for i in above:
-            targets[i] = float(epochs * sizes[i])
-        open_ -= set(above)
-        left = total - sum(epochs * sizes[i] for i in range(len(sizes)) if i not in open_)
-        weight = sum(weights[i] for i in open_)
-    return targets
+        # Clamping raises the level of the others, so what is above stays above.
+        left, weight, clamped = total - now["capped"], now["w"], now["clamped"]
+        if not weight:
+            above = F.lit(True)
+            break
+    return sources.withColumn("target", F.when(above, cap).otherwise(F.lit(float(left)) * F.col("weight") / F.lit(float(weight or 1))).cast("double"))
 
 
 def plan(
@@ -72,7 +78,6 @@ def plan(
     size 0 and is taken like any other, at no cost in words. Rows with equal id and text are placed by
     their size and are interchangeable. Without words all targets are 0. No rows: no rows.
     """
-    spark = df.sparkSession
     text = whole(text_col)
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     rows = cut(
@@ -85,16 +90,13 @@ def plan(
         ),
         "sizes",
     )
-    found = rows.groupBy("source").agg(F.sum("size").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    found = sorted(found, key=lambda r: (r.source is None, r.source or ""))
-    sizes = [r.n for r in found]
-    targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes), epochs)
-    lines = [
-        (r.source is None, r.source or "", r.n, t, math.floor(t / r.n) if r.n else 1) for r, t in zip(found, targets, strict=True)
-    ]
-    sources = spark.createDataFrame(lines, "no_source boolean, named string, source_size long, target double, whole_copies long")
+    order = ranked(rows.groupBy("source").agg(F.sum("size").alias("n")), "source")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    filled = water_fill(cut(order.withColumn("weight", weight), "sources"), share, epochs)
+    whole_copies = F.when(F.col("n") > 0, F.floor(F.col("target") / F.col("n"))).otherwise(1)
+    sources = filled.select(
+        F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("named"), F.col("n").alias("source_size"), "target", whole_copies.alias("whole_copies")
+    )
 
     keyed = rows.withColumns(
         {

@@ -21,12 +21,38 @@ def lower(text):
 # --- mixing ------------------------------------------------------------------------------
 
 
-def test_water_filling_clamps_and_reshares():
-    assert mixing.water_fill([10, 100, 1000], [5, 2, 1], 300, 2) == [20.0, pytest.approx(2 * 280 / 3), pytest.approx(280 / 3)]
-    assert mixing.water_fill([10, 20], [5, 2], 1000, 2) == [20.0, 40.0]
-    assert mixing.water_fill([], [], 0, 2) == [] and mixing.water_fill([0, 0], [5, 2], 0, 2) == [0.0, 0.0]
-    targets = mixing.water_fill([7, 50, 3, 900, 41], [5, 2, 1, 5, 2], 1.5 * 1001, 2)
-    assert sum(targets) == pytest.approx(1.5 * 1001) and all(t <= 2 * s for t, s in zip(targets, [7, 50, 3, 900, 41], strict=True))
+def water_fill(sizes, weights, total, epochs):
+    """Targets by rounds over plain lists."""
+    targets, open_, left, weight = [0.0] * len(sizes), set(range(len(sizes))), total, sum(weights)
+    while open_ and weight > 0:
+        above = [i for i in open_ if left * weights[i] / weight > epochs * sizes[i]]
+        if not above:
+            for i in open_:
+                targets[i] = left * weights[i] / weight
+            break
+        for i in above:
+            targets[i] = float(epochs * sizes[i])
+        open_ -= set(above)
+        left = total - sum(epochs * sizes[i] for i in range(len(sizes)) if i not in open_)
+        weight = sum(weights[i] for i in open_)
+    return targets
+
+
+@pytest.mark.parametrize(
+    ("sizes", "weights", "share"),
+    [([10, 100, 1000], [5, 2, 1], 300 / 1110), ([10, 20], [5, 2], 100.0), ([0, 0], [5, 2], 1.5), ([7, 50, 3, 900, 41], [5, 2, 1, 5, 2], 1.5), ([], [], 1.5)],
+)
+def test_water_filling_clamps_and_reshares(spark, sizes, weights, share):
+    rows = spark.createDataFrame(list(zip(range(len(sizes)), sizes, map(float, weights), strict=True)), "i int, n long, weight double")
+    got = [r.target for r in sorted(mixing.water_fill(rows, share, 2).collect())]
+    assert got == pytest.approx(water_fill(sizes, weights, share * sum(sizes), 2))
+    assert sum(got) == pytest.approx(min(share * sum(sizes), 2 * sum(sizes))) and all(t <= 2 * s for t, s in zip(got, sizes, strict=True))
+
+
+def test_ranks_of_many_sources_follow_code_points(spark):
+    names = [None, "", "a", "B", "é", "z", "\U0001f600", "\uffff"] + [f"host{i}" for i in range(500)]
+    got = {r.source: r.rank for r in mixing.ranked(spark.createDataFrame([(n,) for n in names], "source string").repartition(7), "source").collect()}
+    assert got == {n: i for i, n in enumerate(sorted(names, key=lambda n: (n is None, n or "")))}
 
 
 def test_mix_of_odd_rows_and_a_hot_source(odd, odd_rows, docs):
