@@ -20,13 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, table
 
 # Fixed values of the contract.
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
-#: The filters are fitted on at most this many documents of each language, chosen by a hash of their ids.
+#: The filters are fitted on so many documents of each language (on all where it has fewer), give or take what a draw by a
+#: hash of their ids leaves to chance.
 SAMPLE_DOCS = 1000
 LENGTHS = (1, 2, 3, 4)
 #: Slots of the filter and slots an n-gram sets.
@@ -171,21 +172,26 @@ def _gram_docs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame({"lang": lang, "h": h[at].view(np.int64), "docs": docs, "n": np.diff(np.append(at, len(h)))})
 
 
-def sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> DataFrame:
-    """(`lang`, `text`) of documents that may teach: at most `most` of a language (and those that tie with the last one)."""
-    place = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
+def teachable(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(`lang`, `text`, `place`) of documents that may teach; places are uniform in [0, 1)."""
+    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), 1) / 2.0**63
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), place.alias("place"), held_out(F.col(id_col)).alias("held"))
-    rows = rows.filter("NOT held AND lang IS NOT NULL AND text IS NOT NULL")
-    # Hashes alone are ranked; a task passes on no more than `most` of a language.
-    ranked = rows.select("lang", "place", F.row_number().over(Window.partitionBy("lang").orderBy("place")).alias("rank"))
-    last = ranked.filter(F.col("rank") <= most).groupBy("lang").agg(F.max("place").alias("last"))
-    return rows.join(last, "lang").filter("place <= last").select("lang", "text")
+    return rows.filter("NOT held AND lang IS NOT NULL AND text IS NOT NULL").drop("held")
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = SAMPLE_DOCS) -> Filters:
     """Filters of all languages that occur; rows that are held out and rows without text or language teach nothing."""
-    teach = sampled(docs, id_col, text_col, lang_col, most)
-    found = teach.mapInPandas(_gram_docs, "lang string, h long, docs long, n long").groupBy("lang", "h").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    rows = teachable(docs, id_col, text_col, lang_col)
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row per language
+    langs = [r.lang for r in counted]
+    slices = np.zeros((max(1, -(-len(langs) // 8)), SLOTS), dtype=np.uint8)
+    if not langs:
+        return Filters(langs, slices)
+    # The share of a language that is taken; texts stay where they are.
+    shares = F.create_map(*[F.lit(v) for r in counted for v in (r.lang, min(1.0, most / r["count"]))])
+    teach = rows.filter(F.col("place") < F.element_at(shares, F.col("lang"))).select("lang", "text")
+    each = teach.mapInPandas(_gram_docs, "lang string, h long, docs long, n long")
+    found = cut(each.groupBy("lang", "h").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")), "grams")
     totals = found.groupBy("lang").agg(F.sum("n").alias("total"))
     rated = found.join(totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
     top = rated.withColumn("most", F.max("rate").over(Window.partitionBy("h")))
@@ -193,9 +199,6 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     by_rate = Window.partitionBy("lang").orderBy(F.desc("rate"), "h")
     # The rows of one language are bounded by its sample.
     chosen = typical.withColumn("rank", F.row_number().over(by_rate)).filter(F.col("rank") <= MOST_GRAMS).select("lang", "h")
-    share = teach.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # one row per language
-    langs = [r.lang for r in share]
-    slices = np.zeros((max(1, -(-len(langs) // 8)), SLOTS), dtype=np.uint8)
     at = {name: i for i, name in enumerate(langs)}
     for r in chosen.groupBy("lang").agg(F.collect_list("h").alias("hs")).toLocalIterator():  # at most MOST_GRAMS each
         i = at[r.lang]
