@@ -1,12 +1,12 @@
 """Source divergence audit by chunk factorization.
 
 The words of a corpus are few against its text. Each task counts the white-space chunks of its documents and adds them
-up as (language, source, chunk) with occurrences and up to `min_docs` documents; a chunk that a document holds
-thousands of times is one row of its task. Each globally distinct chunk is tokenized once, its terms are joined back,
-and occurrences and distinct documents are summed by term. No row of a document is shuffled, and a hot chunk is a few rows a task.
+up as (language, source, chunk) with occurrences, documents, and the first and last document. These rows are dealt by
+chunk; there each globally distinct chunk is tokenized once and its terms are joined back to its rows without another shuffle. Dealt by
+(language, term), occurrences and distinct documents are summed. No row of a document is shuffled, and a hot chunk is a few rows a task.
 
-That a term is in at least m documents of a language follows exactly from the m first documents of each of its chunks: a chunk
-with fewer has all of them there.
+Whether three documents hold a term follows exactly: a chunk in fewer than three has only its first and last one, so a
+term whose chunks are all such has three if any of these differs from the first and the last of them all.
 
 Sources are compared in slices of terms: a task holds all sources against the terms of a slice as a bounded block of
 exact integers, and gives one sum per pair of sources. Terms are never joined with themselves.
@@ -14,120 +14,236 @@ exact integers, and gives one sum per pair of sources. Terms are never joined wi
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, discard, store, table, whole
+from .common import cut, partitions, table, whole
 
 MIN_DOCS = 3
 TOP = 200
 SCALE = 1_000_000_000
-#: A term: ASCII letters and all characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-WHITE = " \t\n\x0b\x0c\r"
-#: Characters of one text that are split at a time; chunks, and characters of them, that a task adds up before it passes
-#: them on; cells of a block.
-SLAB = 1 << 20
-HELD_CHUNKS = 200_000
-HELD_CHARS = 1 << 24
+# A term is a run of ASCII letters and characters beyond ASCII.
+#: The same on UTF-8 bytes: A-Z lower-cased, all that ends a term is a space.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+#: Bytes of text that are counted at a time, rows that a task adds up before it passes them on, cells of a block.
+SLAB = 1 << 23
+HELD_ROWS = 1_500_000
 BLOCK = 1 << 21
+#: Bytes of text for which the shuffles get one more partition: a task holds the distinct rows of one.
+PART_BYTES = 256 << 20
+COUNTED = "chunk binary, lang string, source string, n long, docs long, low long, high long"
+EACH = "term binary, lang string, source string, n long, many boolean, low long, high long"
 
 
-def _pieces(text: str) -> Iterator[str]:
+def _pieces(text: bytes) -> Iterator[bytes]:
     """The text in slabs that end at white space, so that no chunk is cut."""
     low = 0
     while len(text) - low > SLAB:
-        ends = [i for c in WHITE if (i := text.rfind(c, low, low + SLAB)) > low]
-        if not ends:  # one chunk longer than a slab
-            ends = [i for c in WHITE if (i := text.find(c, low + SLAB)) > 0] or [len(text)]
-            yield text[low : min(ends)]
-            low = min(ends)
-        else:
-            yield text[low : max(ends)]
-            low = max(ends)
+        found = re.compile(rb"[\x20\x09-\x0D]").search(text, low + SLAB)
+        if found is None:
+            break
+        yield text[low : found.start()]
+        low = found.start()
     yield text[low:]
 
 
-_SAME_WHITE = {ord(c): " " for c in WHITE}
-
-
-def chunk_counts(text: str) -> Counter:
-    """Chunks between runs of the six ASCII white-space characters; other white space belongs to a chunk."""
+def chunk_counts(text: bytes) -> Counter:
+    """Chunks of UTF-8 bytes; bytes.split() ends them at the six ASCII white-space characters and at nothing else."""
     found: Counter = Counter()
     for piece in _pieces(text):
-        if piece.isascii():
-            # str.split also cuts at four control characters that are part of a chunk here.
-            plain = not any(c in piece for c in "\x1c\x1d\x1e\x1f")
-            found.update(piece.split() if plain else piece.translate(_SAME_WHITE).split(" "))
-        else:
-            found.update(piece.translate(_SAME_WHITE).split(" "))
-    found.pop("", None)
+        found.update(piece.split())
     return found
 
 
-def _count(min_docs: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task, row, chars = TaskContext.get().partitionId() << 40, 0, 0
-        held: dict[tuple[str, str, str], list] = {}
-
-        def out() -> pd.DataFrame:
-            keys = list(zip(*held, strict=True)) or [(), (), ()]
-            values = list(held.values())
-            columns = {"lang": keys[0], "source": keys[1], "chunk": keys[2], "n": [v[0] for v in values], "docs": [v[1:] for v in values]}
-            held.clear()
-            return pd.DataFrame(columns)
-
-        for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                row += 1
-                for chunk, n in chunk_counts(text).items():
-                    entry = held.get((lang, source, chunk))
-                    if entry is None:
-                        held[(lang, source, chunk)] = [n, task + row]
-                        chars += len(chunk)
-                    else:
-                        entry[0] += n
-                        if len(entry) <= min_docs:
-                            entry.append(task + row)
-                if len(held) >= HELD_CHUNKS or chars >= HELD_CHARS:
-                    yield out()
-                    chars = 0
-        if held:
-            yield out()
+def _table(schema: str, columns: list) -> pa.Table:
+    return pa.table(dict(zip((c.split()[0] for c in schema.split(", ")), columns, strict=True)))
+
+
+def _segments(key: np.ndarray) -> np.ndarray:
+    """Where the runs of a sorted key begin."""
+    return np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+
+
+def _slab(texts: list[bytes], groups: list[tuple[str, str]], first: int) -> pa.Table:
+    """(chunk, lang, source) sums of some documents, numbered from `first` on."""
+    split = [t.split() for t in texts]
+    lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    if not lengths.any():
+        return _long(b"", ("", ""), 0)
+    words = pa.array([w for d in split for w in d], pa.binary()).dictionary_encode()
+    names = sorted(set(groups))
+    at = {g: i for i, g in enumerate(names)}
+    own = np.repeat(np.array([at[g] for g in groups], dtype=np.int64), lengths)
+    width = max(1, len(words.dictionary))
+    key = own * width + words.indices.to_numpy()
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
+    order = np.argsort(key, kind="stable")  # documents stay in order
+    key, doc = key[order], doc[order]
+    starts = _segments(key)
+    ends = np.append(starts[1:], len(key)) - 1
+    new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
+    docs = np.add.reduceat(new, starts, dtype=np.int64)
+    group, code = key[starts] // width, key[starts] % width
+    take = lambda values, i: pa.array(values, pa.string()).take(pa.array(i))
+    many = docs > 2  # documents are named only where there are one or two: of more, none needs to be known
+    named = [pa.array(doc[i] + first, mask=many) for i in (starts, ends)]
+    return _table(COUNTED, [words.dictionary.take(pa.array(code)), take([g[0] for g in names], group), take([g[1] for g in names], group), pa.array(ends - starts + 1), pa.array(docs), *named])
+
+
+def _long(text: bytes, group: tuple[str, str], doc: int) -> pa.Table:
+    """The same of one document that is longer than a slab."""
+    found = chunk_counts(text)
+    same = lambda v, t: pa.array([v] * len(found), t)
+    return _table(COUNTED, [pa.array(list(found), pa.binary()), same(group[0], pa.string()), same(group[1], pa.string()), pa.array(list(found.values()), pa.int64()), same(1, pa.int64()), same(doc, pa.int64()), same(doc, pa.int64())])
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    """Rows of equal (chunk, lang, source) added up."""
+    whole_ = pa.concat_tables(parts)
+    if len(parts) == 1:
+        return whole_
+    sums = whole_.group_by(["chunk", "lang", "source"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum"), ("low", "min"), ("high", "max")])
+    return _table(COUNTED, [sums[c] for c in ("chunk", "lang", "source", "n_sum", "docs_sum", "low_min", "high_max")])
+
+
+def _slabs(batches: Iterator[pa.RecordBatch], task: int) -> Iterator[pa.Table]:
+    row, texts, groups, size = task << 40, [], [], 0
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+            if len(text) > SLAB:
+                yield _long(text, (lang, source), row + len(texts))
+                # The rows before it keep their numbers.
+                texts.append(b"")
+            else:
+                texts.append(text)
+            groups.append((lang, source))
+            size += len(texts[-1])
+            if size >= SLAB or len(texts) >= SLAB // 64:
+                yield _slab(texts, groups, row)
+                row, texts, groups, size = row + len(texts), [], [], 0
+    if texts:
+        yield _slab(texts, groups, row)
+
+
+def counted(batches: Iterator[pa.RecordBatch], task: int) -> Iterator[pa.RecordBatch]:
+    """The sums of a task's documents (`lang`, `source`, `text`) by (chunk, lang, source), passed on when there are many."""
+    parts, rows = [], 0
+    for table_ in _slabs(batches, task):
+        parts.append(table_)
+        rows += table_.num_rows
+        if rows > HELD_ROWS:
+            parts = [_summed(parts)]
+            rows = parts[0].num_rows
+            if rows > HELD_ROWS // 2:
+                yield from parts[0].to_batches()
+                parts, rows = [], 0
+    if parts:
+        yield from _summed(parts).to_batches()
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from counted(batches, TaskContext.get().partitionId())
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> list[pa.Table]:
+    """The batches of a partition as tables; rows that are added up are kept once."""
+    parts, rows, least = [], 0, HELD_ROWS
+    for batch in batches:
+        parts.append(pa.Table.from_batches([batch]))
+        rows += batch.num_rows
+        if rows > least:
+            parts = [_summed(parts)]
+            rows = parts[0].num_rows
+            least = max(HELD_ROWS, 2 * rows)
+    return parts
+
+
+def terms_of(chunks: list[bytes]) -> list[list[bytes]]:
+    """The terms of every chunk."""
+    return [piece.split() for piece in (c.translate(_FOLD) for c in chunks)]
+
+
+def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of a chunk are in one partition: it is tokenized once, and its rows get each of its terms."""
+    parts = _held(batches)
+    if not parts:
+        return
+    rows = _summed(parts).combine_chunks()
+    coded = rows["chunk"].combine_chunks().dictionary_encode()
+    terms = terms_of(coded.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, terms), dtype=np.int64, count=len(terms))
+    starts = np.append(0, np.cumsum(lengths))
+    words = pa.array([w for t in terms for w in t], pa.binary())
+    code = coded.indices.to_numpy()
+    each = lengths[code]
+    row = np.repeat(np.arange(len(code)), each)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+    moved = rows.take(pa.array(row))
+    many = pc.greater(moved["docs"], 2)
+    out = _table(EACH, [words.take(pa.array(starts[code[row]] + offset)), moved["lang"], moved["source"], moved["n"], many, moved["low"], moved["high"]])
+    yield from out.to_batches(max_chunksize=1 << 16)
+
+
+def _kept(min_docs: int):
+    """Sums by (language, source, term) of a partition that holds all rows of a term; terms in too few documents go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.concat_tables(parts).combine_chunks()
+        coded = [rows[c].combine_chunks().dictionary_encode() for c in ("lang", "term", "source")]
+        lang, term, source = (c.indices.to_numpy().astype(np.int64) for c in coded)
+        wide = len(coded[2].dictionary)
+        key = (lang * len(coded[1].dictionary) + term) * wide + source
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        own = key // wide
+        starts = _segments(own)
+        size = np.diff(np.append(starts, len(own)))
+        many = rows["many"].combine_chunks().to_numpy(zero_copy_only=False)[order]
+        known = rows["low"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)[order]
+        low, high = (rows[c].combine_chunks().fill_null(0).to_numpy()[order] for c in ("low", "high"))
+        first = np.repeat(np.minimum.reduceat(np.where(known, low, np.iinfo(np.int64).max), starts), size)
+        last = np.repeat(np.maximum.reduceat(np.where(known, high, -1), starts), size)
+        between = known & ((low > first) & (low < last) | (high > first) & (high < last))
+        enough = {1: np.ones(len(own), dtype=bool), 2: many | (first < last), 3: many | between}[min_docs]
+        stays = np.repeat(np.logical_or.reduceat(enough, starts), size)
+        key, n = key[stays], rows["n"].combine_chunks().to_numpy()[order][stays]
+        if not len(key):
+            return
+        starts = _segments(key)
+        sums, at = np.add.reduceat(n, starts), key[starts]
+        pick = lambda c, i: c.dictionary.take(pa.array(i))
+        columns = [pick(coded[0], at // wide // len(coded[1].dictionary)), pick(coded[2], at % wide), pick(coded[1], at // wide % len(coded[1].dictionary)), pa.array(sums)]
+        yield from pa.table(dict(zip(("lang", "source", "term", "n"), columns, strict=True))).to_batches(max_chunksize=1 << 16)
 
     return run
 
 
-def terms_of(chunk: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(chunk), F.lit(TERM), F.lit(0))
-
-
-def counts(df: DataFrame, min_docs: int = MIN_DOCS, lang: str = "lang", source: str = "source", text: str = "text") -> tuple[DataFrame, list[str]]:
+def counts(df: DataFrame, min_docs: int = MIN_DOCS, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(`lang`, `source`, `term`, `n`) of the terms that at least min_docs documents of the language hold.
 
-    Every row is a document. Also returns the paths of the tables that the result reads.
+    Every row is a document. min_docs is 1 to 3: a chunk remembers two documents.
     """
-    spark = df.sparkSession
+    if not 1 <= min_docs <= 3:
+        raise ValueError("min_docs is 1 to 3")
     plain = df.select(*(whole(F.col(c).cast("string")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
-    rows, at = store(plain.mapInPandas(_count(min_docs), "lang string, source string, chunk string, n long, docs array<long>"), "chunks")
-    vocabulary = rows.select("chunk").distinct().select("chunk", terms_of(F.col("chunk")).alias("terms"))
-    known, known_at = store(vocabulary.filter(F.size("terms") > 0), "vocabulary")
-    per_chunk = rows.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"))
-    occurrences = per_chunk.join(known, "chunk").select("lang", "source", "n", F.explode("terms").alias("term"))
-    occurrences = occurrences.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    places = rows.select("lang", "chunk", F.explode("docs").alias("doc")).join(known, "chunk")
-    places = places.select("lang", F.explode(F.array_distinct("terms")).alias("term"), "doc").distinct()
-    kept = places.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs")).filter(F.col("docs") >= min_docs)
-    found, found_at = store(occurrences.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n"), "terms")
-    for path in (at, known_at):
-        discard(spark, path)
-    return found, [found_at]
+    size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(partitions(df.sparkSession), -(-size // PART_BYTES))
+    dealt = plain.withColumn("text", F.col("text").cast("binary")).mapInArrow(_count, COUNTED).repartition(parts, "chunk")
+    each = dealt.mapInArrow(_tokenize, EACH).repartition(parts, "lang", "term")
+    kept = each.mapInArrow(_kept(min_docs), "lang string, source string, term binary, n long")
+    return cut(kept.withColumn("term", F.col("term").cast("string")), "terms")
 
 
 def scaled(n: Column, total: Column, size: Column) -> Column:
@@ -188,7 +304,7 @@ def audit(df: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, lang: str = "
     group that occurs is compared, also one without terms; a language with one source has no pairs. No rows: no rows.
     Rows that repeat are documents of their own; other columns are ignored.
     """
-    found, _ = counts(df, min_docs, lang, source, text)
+    found = counts(df, min_docs, lang, source, text)
     occurring = df.select(*(whole(F.col(c).cast("string")).alias(n) for c, n in ((lang, "lang"), (source, "source")))).distinct()
     totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     per_term = found.groupBy("lang", "term").agg(F.sum("n").alias("all"))

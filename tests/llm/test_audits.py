@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from seriesloom.llm import divergence, langid, repair
@@ -222,7 +223,7 @@ def plain_audit(rows, min_docs, top):
     return out
 
 
-@pytest.mark.parametrize(("min_docs", "top", "block"), [(3, 200, 1 << 21), (2, 5, 64)])
+@pytest.mark.parametrize(("min_docs", "top", "block"), [(3, 200, 1 << 21), (2, 5, 64), (1, 3, 64)])
 def test_divergence_against_plain_python(monkeypatch, odd, odd_rows, docs, min_docs, top, block):
     monkeypatch.setattr(divergence, "BLOCK", block)
     rows = [(i, t, s) for i, t, s in docs[:60]] + odd_rows + [(500, "a\x1cb c Éa's x_y", "z"), (501, None, "without"), (502, "", None)]
@@ -237,11 +238,36 @@ def test_divergence_without_terms_and_rows(odd, spark):
     assert divergence.audit(odd([])).collect() == []
 
 
+@pytest.mark.parametrize(("slab", "held"), [(1 << 23, 1 << 20), (400, 200), (2000, 1)])
+def test_sums_of_a_task_are_those_of_plain_counts(monkeypatch, docs, slab, held):
+    """Whatever is passed on early: occurrences, documents, and who the one or two documents are."""
+    monkeypatch.setattr(divergence, "SLAB", slab)
+    monkeypatch.setattr(divergence, "HELD_ROWS", held)
+    rows = [("en" if i % 3 else "", s, (t or "").encode()) for i, t, s in docs[:50]] + [("en", "a", b"x y x \xe2\x80\x83 " * 300), ("en", "a", b"")]
+    columns = [pa.array([r[k] for r in rows]) for k in range(3)]
+    batches = pa.table(dict(zip(("lang", "source", "text"), columns, strict=True))).to_batches(max_chunksize=7)
+    got = defaultdict(lambda: [0, 0, set()])
+    for r in (r for b in divergence.counted(iter(batches), 3) for r in b.to_pylist()):
+        entry = got[r["lang"], r["source"], r["chunk"]]
+        entry[0] += r["n"]
+        entry[1] += r["docs"]
+        entry[2] |= {r["low"], r["high"]} - {None}
+    want = defaultdict(lambda: [0, 0, set()])
+    for k, (lang, source, text) in enumerate(rows):
+        for chunk, n in Counter(c for c in re.split(rb"[\x20\x09-\x0D]+", text) if c).items():
+            entry = want[lang, source, chunk]
+            entry[0] += n
+            entry[1] += 1
+            entry[2].add((3 << 40) + k)
+    assert {k: v[:2] for k, v in got.items()} == {k: v[:2] for k, v in want.items()}
+    assert all(got[k][2] == v[2] for k, v in want.items() if v[1] < 3)
+
+
 def test_chunks_of_long_texts_are_whole(monkeypatch):
     monkeypatch.setattr(divergence, "SLAB", 16)
-    text = "a bb\tccc " + "x" * 50 + "\n" + "é é a " * 9
-    want = Counter(c for c in re.split(r"[\x20\x09-\x0D]+", text) if c)
-    assert divergence.chunk_counts(text) == want
+    text = "a bb\tccc " + "x" * 50 + "\n" + "é é a \u2003 \x1c " * 9
+    want = Counter(c.encode() for c in re.split(r"[\x20\x09-\x0D]+", text) if c)
+    assert divergence.chunk_counts(text.encode()) == want
 
 
 def test_divergence_query_against_sql(spark, sf):
