@@ -1,7 +1,7 @@
 """Times the headline queries and prints one JSON line.
 
 BENCH_SF_DIR and BENCH_CPUS choose the data and the cores. Every query is run to
-completion without writing its result; short ones three times, and the median counts.
+completion without writing its result, once to warm up and three more times, of which the median counts.
 """
 
 from __future__ import annotations
@@ -53,8 +53,8 @@ def main() -> None:
     seconds = {}
     for name, query in todo.items():
         times = []
-        # Three runs where the first was short and start-up costs weigh.
-        while not times or (len(times) < 3 and times[0] < 6):
+        run(query(spark, SF_DIR))  # warm-up
+        while len(times) < 3:
             start = time.perf_counter()
             run(query(spark, SF_DIR))
             times.append(time.perf_counter() - start)

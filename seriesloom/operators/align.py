@@ -1,7 +1,6 @@
 """Regular calendars and joins between daily panels and monthly tables.
 
-Monthly tables have one row per calendar month whatever the size of the facts,
-so broadcasting them is safe: decades of months are a few hundred rows.
+Monthly tables are joined as they are: Spark broadcasts them where their size on disk says that they are small.
 """
 
 from __future__ import annotations

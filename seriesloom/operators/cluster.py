@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.session import spread
+from seriesloom.session import cut_lineage
 
 # Settings of the sweep, of the final fit and of the older variant.
 SWEEP = {"ks": tuple(range(2, 11)), "n_init": 25, "max_iter": 300, "tol": 1e-4}
@@ -54,7 +54,7 @@ def assemble(df: DataFrame, columns: list[str], keep: list[str] = ["series"]) ->
     """Rows without missing values as vectors, materialised once for the repeated fits."""
     complete = df.na.drop(subset=columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(complete)
-    return spread(vectors.select(*keep, *columns, "features"), *keep)
+    return cut_lineage(vectors.select(*keep, *columns, "features"))
 
 
 def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -128,7 +128,7 @@ def kmeans_runs(vectors: DataFrame, ks: tuple[int, ...], n_init: int, max_iter:
     A run ends when no centre moves by more than ``tol`` or after ``max_iter`` steps. A centre that loses its rows stays where it is.
     With fewer distinct rows than k some centres coincide. Runs are ordered by k and seed. No rows: no runs.
     """
-    rows = vectors.select(F.xxhash64(vector_to_array("features")).alias("h"), vector_to_array("features").alias("x"))
+    rows = vectors.select(F.xxhash64(vector_to_array("features")).alias("h"), vector_to_array("features").alias("x")).persist()
     runs = [(k, seed + i) for k in ks for i in range(n_init)]
     seeds, centres = [s for _, s in runs], [[] for _ in runs]
     for step in range(max(ks, default=0)):
@@ -163,6 +163,7 @@ def kmeans_runs(vectors: DataFrame, ks: tuple[int, ...], n_init: int, max_iter:
                 points[r] = moved[own]
                 still.append(r)
         going = still
+    rows.unpersist()
     return [found[r] for r in range(len(runs))]
 
 

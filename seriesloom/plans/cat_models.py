@@ -18,7 +18,7 @@ from seriesloom.plans import inputs as inp
 from seriesloom.plans.cat_sources import CATEGORIES, category_rows
 from seriesloom.plans.cat_window import brand_labelled
 from seriesloom.plans.registry import cols, query
-from seriesloom.session import cut_lineage, scratch_path, spread
+from seriesloom.session import cut_lineage, remembered, scratch_path
 from seriesloom.sources import sinks
 
 KEYS = ["series", "date"]
@@ -33,7 +33,7 @@ def daily_rows(spark, sf):
     joined = features.join(stats, "series").join(brand_labelled(spark, sf), "series")
     names = [c for c in joined.columns if c not in (*KEYS, "split", "dispatched", "ordered", "cluster")]
     rows = models.vectors(joined, names).select(*KEYS, "split", "cluster", "dispatched", "features")
-    return spread(rows, *KEYS), names
+    return cut_lineage(rows), names
 
 
 def monthly_rows(spark, sf):
@@ -48,7 +48,7 @@ def monthly_rows(spark, sf):
     )
     labelled = wide.join(brand_labelled(spark, sf), "series")
     names = [c for c in labelled.columns if c not in (*MONTH_KEYS, "split", "dispatched", "ordered", "cluster")]
-    return spread(models.vectors(labelled, names), *MONTH_KEYS), names
+    return cut_lineage(models.vectors(labelled, names)), names
 
 
 def clusters_of(rows) -> list[int]:
@@ -136,7 +136,7 @@ def sparse_params(spark, sf):
     target = F.col("ordered")
     wide = win.add(keyed, win.lags(target, inp.SPLIT, (1, 2, 3, 7), "Order"), win.roll_past(target, inp.SPLIT, (7, 14), "Order"))
     names = [c for c in wide.columns if c.startswith("Order_")]
-    ready = spread(models.vectors(wide, names).select(*KEYS, "split", "config", "ordered", "features"), *KEYS)
+    ready = cut_lineage(models.vectors(wide, names).select(*KEYS, "split", "config", "ordered", "features"))
     out = []
     for name, settings in (("sparse", models.SPARSE), ("dense", models.DENSE)):
         mine = ready.where(F.col("config") == name)
@@ -178,9 +178,14 @@ def grid_search(spark, sf):
 
 
 def importance_table(spark, sf):
-    rows, names = monthly_rows(spark, sf)
-    model = models.fit_boosted(rows, models.IMPORTANCE_STUDY, "dispatched")
-    return models.importances(model, names, spark), rows, names
+    """Importances, rows and feature names of the monthly study; fitted once a session."""
+
+    def fit():
+        rows, names = monthly_rows(spark, sf)
+        model = models.fit_boosted(rows, models.IMPORTANCE_STUDY, "dispatched")
+        return models.importances(model, names, spark), rows, names
+
+    return remembered(spark, ("importance", sf), fit)
 
 
 @query("importance")
@@ -209,7 +214,7 @@ def importance_cluster(spark, sf):
     ext = indicators.recipe_table(inp.external(spark, sf))
     panel = inp.monthly(spark, sf).join(brand_labelled(spark, sf), "series")
     wide = align.join_month(panel, ext).withColumns({"MonthNo": F.month("month"), "Quarter": F.quarter("month")})
-    complete = spread(wide.na.drop().withColumn("split", F.lit("train")), *MONTH_KEYS)
+    complete = cut_lineage(wide.na.drop().withColumn("split", F.lit("train")))
     out = []
     for c in clusters_of(complete):
         names = ["MonthNo" if n == "Month" else n for n in indicators.recipe_columns(c)]
@@ -248,7 +253,7 @@ def select_by_importance(spark, sf):
 def baseline_ext(spark, sf):
     """Monthly orders from the raw indicators alone."""
     joined = align.join_month(inp.monthly_with_split(spark, sf), inp.external(spark, sf))
-    ready = spread(models.vectors(joined, list(text.INDICATORS)), *MONTH_KEYS)
+    ready = cut_lineage(models.vectors(joined, list(text.INDICATORS)))
     model = models.fit_boosted(ready, models.SIMPLE, "ordered")
     pairs = models.predict(model, ready.where("split = 'test'"), "ordered", MONTH_KEYS)
     return score.score_main(pairs, ["series"])
@@ -271,7 +276,7 @@ def smoothing_routed(spark, sf):
         routed.where("route = 'smoothing'").select("series", "month", "split", "ordered"), inp.MONTHLY, "ordered"
     )
     frames = [smooth.where("split = 'test'").select("series", "month", "actual", "predicted", F.lit("smoothing").alias("route"))]
-    boosted = spread(routed.where("route = 'boosted'"), *MONTH_KEYS)
+    boosted = cut_lineage(routed.where("route = 'boosted'"))
     if not boosted.isEmpty():
         model = models.fit_boosted(boosted, models.SIMPLE, "ordered")
         pairs = models.predict(model, boosted.where("split = 'test'"), "ordered", MONTH_KEYS)

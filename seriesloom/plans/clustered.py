@@ -18,7 +18,7 @@ from seriesloom.operators import align, cleanse, cluster, indicators, models, re
 from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
 from seriesloom.plans.naive import GRAINS
-from seriesloom.session import cut_lineage, spread
+from seriesloom.session import cut_lineage
 from seriesloom.sources import sinks, tables
 from seriesloom.spec import SeriesSpec
 
@@ -154,7 +154,7 @@ def run(
     features, names = feature_matrix(panel, external, spec, test_from, horizon)
     joined = features.join(assignments, "series", "left").fillna({"cluster": 3})
     vectors = models.vectors(joined, names)
-    rows = spread(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"), "series", spec.time)
+    rows = cut_lineage(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"))
     labels = sorted(r["cluster"] for r in rows.select("cluster").distinct().collect())
     predicted = learned(rows, spec, labels, learner or horizon.learner)
     forecasts = cut_lineage(rolled_up(cut_lineage(predicted), spec, horizon))

@@ -96,21 +96,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-#: Rows for which a fit gets one more partition, up to ``spark.sql.shuffle.partitions``.
-FIT_ROWS = 20_000
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows for an iterative fit, checkpointed in a fixed order and partitioned by key.
-
-    Learners draw their samples per partition, so the partitioning follows from the rows and the
-    settings only, not from the number of cores. Few rows get few partitions: a fit of
-    hundreds of trees is thousands of passes, each as dear as its number of tasks.
-    """
-    spark = df.sparkSession
-    kept = cut_lineage(df)
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(most, -(-kept.count() // FIT_ROWS)))
-    return kept.repartition(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
