@@ -272,13 +272,15 @@ class Shape:
         return np.array([getattr(t.config, name) for t in self.tasks[chunk]], dtype=float)[:, None]
 
 
-def _histograms(unit: Unit, plan: dict, shape: Shape, seed: int, round_: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of gradients and counts, (models, slots, features, bins)."""
+def _histograms(unit: Unit, plan: dict, shape: Shape, seed: int, round_: int, left_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of gradients and counts, (models, slots, features, bins); with left_only those of even slots, the others are 0."""
     models, n = unit.f.shape
     node = _route(unit.x, plan, plan["steps"])
     slot = np.take_along_axis(plan["slot"], node, 1)
     share, every = shape.column(unit.chunk, "rows"), shape.column(unit.chunk, "every").astype(int).ravel()
     drawn = unit.train & (slot >= 0)
+    if left_only:
+        drawn &= slot % 2 == 0
     if (share < 1).any():
         uniform = {e: _mixed(unit.draw, seed + 1 + (round_ // e) * e) for e in set(every.tolist())}
         drawn &= np.stack([uniform[e] for e in every.tolist()]) < share
@@ -321,17 +323,29 @@ def _choose(chunk: int, sums: tuple[np.ndarray, np.ndarray], columns: np.ndarray
         order[:, :, own] = np.argsort(mean, axis=-1, kind="stable")
         g, h = (np.take_along_axis(a, order, -1) for a in (g, h))
     l1, l2, least, gamma = (shape.column(chunk, c)[:, :, None, None] for c in ("l1", "l2", "min_child", "least_gain"))
-    score = lambda a, b: np.where(b + l2 > 0, _soft(a, l1) ** 2 / np.where(b + l2 > 0, b + l2, 1.0), 0.0)
+
+    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Squared soft-thresholded gradients against hessians; without a hessian there is no gradient."""
+        out = np.abs(a)
+        out -= l1
+        np.maximum(out, 0.0, out=out)
+        out *= out
+        out /= np.maximum(b + l2, 1e-300)
+        return out
+
     node_g, node_h = g[:, :, :1].sum(-1, keepdims=True), h[:, :, :1].sum(-1, keepdims=True)
     left_g, left_h = np.cumsum(g, -1)[..., :-1], np.cumsum(h, -1)[..., :-1]
-    gain = score(left_g, left_h) + score(node_g - left_g, node_h - left_h) - score(node_g, node_h)
-    open_ = columns[:, None, :, None]
+    right_h = node_h - left_h
+    gain = score(left_g, left_h)
+    gain += score(node_g - left_g, right_h)
+    gain -= score(node_g, node_h)
+    closed = ~columns[:, None, :, None]
     oblivious = shape.tasks[chunk][0].config.growth == "oblivious"
     if oblivious:
         # One split for all nodes of a level, the one with the largest sum of gains.
-        gain = np.broadcast_to(np.where(open_, gain, -np.inf).sum(1, keepdims=True), gain.shape)
+        gain = np.broadcast_to(np.where(closed, -np.inf, gain).sum(1, keepdims=True), gain.shape)
     else:
-        gain = np.where(open_ & (left_h >= least) & (node_h - left_h >= least), gain, -np.inf)
+        np.putmask(gain, closed | (left_h < least) | (right_h < least), -np.inf)
     flat = gain.reshape(models, slots, -1)
     best = flat.argmax(-1)[..., None]
     pick = lambda a: np.take_along_axis(a.reshape(models, slots, -1), best, -1)[..., 0]
@@ -381,11 +395,18 @@ class _Alone:
     """Grows the models of a unit that holds all their rows."""
 
     def __init__(self, unit: Unit, shape: Shape, seed: int):
-        self.unit, self.shape, self.seed = unit, shape, seed
+        self.unit, self.shape, self.seed, self.above = unit, shape, seed, ()
 
     def splits(self, plans: dict[int, dict], round_: int, level: int, blocks: int) -> dict[int, dict[str, np.ndarray]]:
-        masks = {c: _drawn_columns(self.shape, c, self.seed, round_, level) for c in plans}
-        return {c: _choose(c, _histograms(self.unit, p, self.shape, self.seed, round_), masks[c], self.shape) for c, p in plans.items()}
+        (chunk, plan), = plans.items()
+        # Slots of a heap's level are pairs of siblings: a right one has what its parent has and the left one has not.
+        paired = plan["heap"] and level > 0
+        sums = _histograms(self.unit, plan, self.shape, self.seed, round_, paired)
+        if paired:
+            for part, above in zip(sums, self.above, strict=True):
+                np.subtract(above, part[:, 0::2], out=part[:, 1::2])
+        self.above = sums
+        return {chunk: _choose(chunk, sums, _drawn_columns(self.shape, chunk, self.seed, round_, level), self.shape)}
 
     def settle(self) -> None:
         pass
@@ -513,7 +534,7 @@ def _by_level(run: _Run, chunks: dict[int, np.ndarray], round_: int, blocks: int
                 alive = alive & (tree["feature"][:, up] >= 0)
             slot[:, first : first + slots] = np.where(alive, np.arange(slots), -1)
             if alive.any():
-                plans[c] = {k: tree[k] for k in ("feature", "goes", "left")} | {"slot": slot, "slots": slots, "steps": level}
+                plans[c] = {k: tree[k] for k in ("feature", "goes", "left")} | {"slot": slot, "slots": slots, "steps": level, "heap": True}
         if not plans:
             break
         for c, best in run.splits(plans, round_, level, blocks).items():
@@ -582,7 +603,7 @@ def _by_leaf(run: _Run, chunks: dict[int, np.ndarray], round_: int, blocks: int)
                 slot = np.full(own["feature"].shape, -1, dtype=np.int32)
                 for i, m in enumerate(models):
                     slot[i, m["new"]] = np.arange(len(m["new"]))
-                plans[c] = {k: own[k] for k in ("feature", "goes", "left", "steps")} | {"slot": slot, "slots": max(len(m["new"]) for m in models)}
+                plans[c] = {k: own[k] for k in ("feature", "goes", "left", "steps")} | {"slot": slot, "slots": max(len(m["new"]) for m in models), "heap": False}
         if not plans:
             break
         best = run.splits(plans, round_, step, blocks)
@@ -685,7 +706,7 @@ def fit(
 
     blocks = sum(n for n, _ in per_key.values())
     n_units = sum(per_key[k][0] * len(cs) for k, cs in of_key.items())
-    wide = min(n_units, max(encoded.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+    wide = min(n_units, max(encoded.rdd.getNumPartitions(), 4 * spark.sparkContext.defaultParallelism))
     units = encoded.rdd.flatMap(open_units)
     if units.getNumPartitions() != wide:
         units = units.map(lambda u: (u.chunk * 1_000_003 + u.block, u)).partitionBy(wide).values()
