@@ -3,7 +3,8 @@
 The words of a corpus are few against its text. Each task counts the white-space chunks of its documents and adds them
 up as (language, source, chunk) with occurrences, documents, and the first and last document. These rows are dealt by
 chunk; there each globally distinct chunk is tokenized once and its terms are joined back to its rows without another shuffle. Dealt by
-(language, term), occurrences and distinct documents are summed. No row of a document is shuffled, and a hot chunk is a few rows a task.
+(language, term), occurrences and distinct documents are summed. No row of a document is shuffled, and a hot chunk is one row a task.
+A row holds what it says of all its languages and sources as packed records, which name these by 64-bit hashes.
 
 Whether three documents hold a term follows exactly: a chunk in fewer than three has only its first and last one, so a
 term whose chunks are all such has three if any of these differs from the first and the last of them all.
@@ -32,16 +33,18 @@ MIN_DOCS = 3
 TOP = 200
 SCALE = 1_000_000_000
 # A term is a run of ASCII letters and characters beyond ASCII.
-#: The same on UTF-8 bytes: A-Z lower-cased, all that ends a term is a space.
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
+#: The same on UTF-8 bytes: A-Z lower-cased, all that ends a term is a space, but a line feed, which is in no chunk, stays.
+_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or c == 10 else 32 for c in range(256))
 #: Bytes of text that are counted at a time, rows that a task adds up before it passes them on, cells of a block.
-SLAB = 1 << 23
-HELD_ROWS = 1_500_000
+SLAB = 1 << 21
+HELD_ROWS = 1_000_000
 BLOCK = 1 << 21
 #: Bytes of text for which the shuffles get one more partition: a task holds the distinct rows of one.
 PART_BYTES = 256 << 20
-COUNTED = "chunk binary, lang string, source string, n long, docs long, low long, high long"
-EACH = "term binary, lang string, source string, n long, many boolean, low long, high long"
+#: Sums of a chunk as they are added up, and the records they are moved as.
+COLUMNS = ("chunk", "lang", "source", "n", "docs", "low", "high")
+OF_CHUNK = np.dtype([("lang", "<i8"), ("source", "<i8"), ("n", "<i8"), ("docs", "<i4"), ("low", "<i8"), ("span", "<i8")])
+OF_TERM = np.dtype([("source", "<i8"), ("n", "<i8"), ("many", "<i1"), ("low", "<i8"), ("span", "<i8")])
 
 
 def _pieces(text: bytes) -> Iterator[bytes]:
@@ -64,8 +67,24 @@ def chunk_counts(text: bytes) -> Counter:
     return found
 
 
-def _table(schema: str, columns: list) -> pa.Table:
-    return pa.table(dict(zip((c.split()[0] for c in schema.split(", ")), columns, strict=True)))
+def _table(columns: list) -> pa.Table:
+    return pa.table(dict(zip(COLUMNS, columns, strict=True)))
+
+
+def _pack(records: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Runs of records as one binary value each."""
+    offsets = (np.append(starts, len(records)) * records.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(records.tobytes())])
+
+
+def _unpack(packed: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The records of all values and the number of the value that each comes from."""
+    sizes = pc.binary_length(packed).to_numpy(zero_copy_only=False) // kind.itemsize
+    return np.frombuffer(b"".join(packed.to_pylist()), dtype=kind), np.repeat(np.arange(len(packed)), sizes)
+
+
+def _batches(names: tuple[str, ...], columns: list, size: int = 1 << 14) -> Iterator[pa.RecordBatch]:
+    yield from pa.table(dict(zip(names, columns, strict=True))).to_batches(max_chunksize=size)
 
 
 def _segments(key: np.ndarray) -> np.ndarray:
@@ -73,17 +92,16 @@ def _segments(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
 
 
-def _slab(texts: list[bytes], groups: list[tuple[str, str]], first: int) -> pa.Table:
-    """(chunk, lang, source) sums of some documents, numbered from `first` on."""
+def _slab(texts: list[bytes], groups: list[tuple[int, int]], first: int) -> pa.Table:
+    """Sums of some documents, numbered from `first` on."""
     split = [t.split() for t in texts]
     lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
     if not lengths.any():
-        return _long(b"", ("", ""), 0)
+        return _long(b"", (0, 0), 0)
     words = pa.array([w for d in split for w in d], pa.binary()).dictionary_encode()
-    names = sorted(set(groups))
-    at = {g: i for i, g in enumerate(names)}
-    own = np.repeat(np.array([at[g] for g in groups], dtype=np.int64), lengths)
-    width = max(1, len(words.dictionary))
+    names, of = np.unique(np.array(groups, dtype=np.int64), axis=0, return_inverse=True)
+    own = np.repeat(of.ravel(), lengths)
+    width = len(words.dictionary)
     key = own * width + words.indices.to_numpy()
     doc = np.repeat(np.arange(len(texts), dtype=np.int64), lengths)
     order = np.argsort(key, kind="stable")  # documents stay in order
@@ -93,17 +111,16 @@ def _slab(texts: list[bytes], groups: list[tuple[str, str]], first: int) -> pa.T
     new = np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)]
     docs = np.add.reduceat(new, starts, dtype=np.int64)
     group, code = key[starts] // width, key[starts] % width
-    take = lambda values, i: pa.array(values, pa.string()).take(pa.array(i))
     many = docs > 2  # documents are named only where there are one or two: of more, none needs to be known
     named = [pa.array(doc[i] + first, mask=many) for i in (starts, ends)]
-    return _table(COUNTED, [words.dictionary.take(pa.array(code)), take([g[0] for g in names], group), take([g[1] for g in names], group), pa.array(ends - starts + 1), pa.array(docs), *named])
+    return _table([words.dictionary.take(pa.array(code)), pa.array(names[group, 0]), pa.array(names[group, 1]), pa.array(ends - starts + 1), pa.array(docs), *named])
 
 
-def _long(text: bytes, group: tuple[str, str], doc: int) -> pa.Table:
+def _long(text: bytes, group: tuple[int, int], doc: int) -> pa.Table:
     """The same of one document that is longer than a slab."""
     found = chunk_counts(text)
-    same = lambda v, t: pa.array([v] * len(found), t)
-    return _table(COUNTED, [pa.array(list(found), pa.binary()), same(group[0], pa.string()), same(group[1], pa.string()), pa.array(list(found.values()), pa.int64()), same(1, pa.int64()), same(doc, pa.int64()), same(doc, pa.int64())])
+    same = lambda v: pa.array(np.full(len(found), v, dtype=np.int64))
+    return _table([pa.array(list(found), pa.binary()), same(group[0]), same(group[1]), pa.array(list(found.values()), pa.int64()), same(1), same(doc), same(doc)])
 
 
 def _summed(parts: list[pa.Table]) -> pa.Table:
@@ -112,13 +129,28 @@ def _summed(parts: list[pa.Table]) -> pa.Table:
     if len(parts) == 1:
         return whole_
     sums = whole_.group_by(["chunk", "lang", "source"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum"), ("low", "min"), ("high", "max")])
-    return _table(COUNTED, [sums[c] for c in ("chunk", "lang", "source", "n_sum", "docs_sum", "low_min", "high_max")])
+    return _table([sums[c] for c in ("chunk", "lang", "source", "n_sum", "docs_sum", "low_min", "high_max")])
+
+
+def _moved(table_: pa.Table) -> Iterator[pa.RecordBatch]:
+    """One row per chunk with its groups as records."""
+    coded = table_["chunk"].combine_chunks().dictionary_encode()
+    code = coded.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    lang, source, n, docs = (table_[c].to_numpy()[order] for c in ("lang", "source", "n", "docs"))
+    low, high = (pc.fill_null(table_[c], 0).to_numpy()[order] for c in ("low", "high"))
+    records = np.empty(len(code), dtype=OF_CHUNK)
+    for name, values in zip(OF_CHUNK.names, (lang, source, n, docs, np.where(docs > 2, 0, low), np.where(docs > 2, 0, high - low)), strict=True):
+        records[name] = values
+    starts = _segments(code[order])
+    yield from _batches(("chunk", "groups"), [coded.dictionary.take(pa.array(code[order][starts])), _pack(records, starts)])
 
 
 def _slabs(batches: Iterator[pa.RecordBatch], task: int) -> Iterator[pa.Table]:
     row, texts, groups, size = task << 40, [], [], 0
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text")), strict=True):
+        for lang, source, scalar in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text"), strict=True):
+            text = scalar.as_py()
             if len(text) > SLAB:
                 yield _long(text, (lang, source), row + len(texts))
                 # The rows before it keep their numbers.
@@ -144,10 +176,10 @@ def counted(batches: Iterator[pa.RecordBatch], task: int) -> Iterator[pa.RecordB
             parts = [_summed(parts)]
             rows = parts[0].num_rows
             if rows > HELD_ROWS // 2:
-                yield from parts[0].to_batches()
+                yield from _moved(parts[0])
                 parts, rows = [], 0
     if parts:
-        yield from _summed(parts).to_batches()
+        yield from _moved(_summed(parts))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +190,12 @@ def _held(batches: Iterator[pa.RecordBatch]) -> list[pa.Table]:
     """The batches of a partition as tables; rows that are added up are kept once."""
     parts, rows, least = [], 0, HELD_ROWS
     for batch in batches:
-        parts.append(pa.Table.from_batches([batch]))
-        rows += batch.num_rows
+        records, row = _unpack(batch.column("groups"), OF_CHUNK)
+        many = records["docs"] > 2
+        named = [pa.array(v, mask=many) for v in (records["low"], records["low"] + records["span"])]
+        numbers = [pa.array(np.ascontiguousarray(records[c]).astype(np.int64)) for c in ("lang", "source", "n", "docs")]
+        parts.append(_table([batch.column("chunk").take(pa.array(row)), *numbers, *named]))
+        rows += len(records)
         if rows > least:
             parts = [_summed(parts)]
             rows = parts[0].num_rows
@@ -167,9 +203,10 @@ def _held(batches: Iterator[pa.RecordBatch]) -> list[pa.Table]:
     return parts
 
 
-def terms_of(chunks: list[bytes]) -> list[list[bytes]]:
-    """The terms of every chunk."""
-    return [piece.split() for piece in (c.translate(_FOLD) for c in chunks)]
+def terms_of(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The terms of all chunks in order, and how many each chunk has."""
+    folded = b"\n".join(chunks).translate(_FOLD)
+    return folded.split(), np.fromiter((len(c.split()) for c in folded.split(b"\n")), dtype=np.int64)[: len(chunks)]
 
 
 def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,53 +216,65 @@ def _tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     rows = _summed(parts).combine_chunks()
     coded = rows["chunk"].combine_chunks().dictionary_encode()
-    terms = terms_of(coded.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, terms), dtype=np.int64, count=len(terms))
+    terms, lengths = terms_of(coded.dictionary.to_pylist())
     starts = np.append(0, np.cumsum(lengths))
-    words = pa.array([w for t in terms for w in t], pa.binary())
+    words = pa.array(terms, pa.binary())
+    del terms
     code = coded.indices.to_numpy()
     each = lengths[code]
     row = np.repeat(np.arange(len(code)), each)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-    moved = rows.take(pa.array(row))
-    many = pc.greater(moved["docs"], 2)
-    out = _table(EACH, [words.take(pa.array(starts[code[row]] + offset)), moved["lang"], moved["source"], moved["n"], many, moved["low"], moved["high"]])
-    yield from out.to_batches(max_chunksize=1 << 16)
+    docs = rows["docs"].to_numpy()[row]
+    low, high = (pc.fill_null(rows[c], 0).to_numpy()[row] for c in ("low", "high"))
+    lang, n, source = (rows[c].to_numpy()[row] for c in ("lang", "n", "source"))
+    term = words.take(pa.array(starts[code[row]] + offset)).dictionary_encode()
+    names, of = np.unique(lang, return_inverse=True)
+    key = of * max(1, len(term.dictionary)) + term.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    records = np.empty(len(order), dtype=OF_TERM)
+    many = docs > 2
+    for name, values in zip(OF_TERM.names, (source, n, many, np.where(many, 0, low), np.where(many, 0, high - low)), strict=True):
+        records[name] = values[order]
+    key = key[order]
+    at = _segments(key)
+    width_ = max(1, len(term.dictionary))
+    yield from _batches(("term", "lang", "groups"), [term.dictionary.take(pa.array(key[at] % width_)), pa.array(names[key[at] // width_]), _pack(records, at)])
 
 
 def _kept(min_docs: int):
     """Sums by (language, source, term) of a partition that holds all rows of a term; terms in too few documents go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        rows = pa.concat_tables(parts).combine_chunks()
-        coded = [rows[c].combine_chunks().dictionary_encode() for c in ("lang", "term", "source")]
-        lang, term, source = (c.indices.to_numpy().astype(np.int64) for c in coded)
-        wide = len(coded[2].dictionary)
-        key = (lang * len(coded[1].dictionary) + term) * wide + source
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        records, row = _unpack(rows["groups"].combine_chunks(), OF_TERM)
+        coded = rows["term"].combine_chunks().dictionary_encode()
+        langs, lang = np.unique(rows["lang"].to_numpy(), return_inverse=True)
+        sources, source = np.unique(records["source"], return_inverse=True)
+        wide, terms = len(sources), len(coded.dictionary)
+        key = (lang[row] * terms + coded.indices.to_numpy()[row]) * wide + source
         order = np.argsort(key, kind="stable")
         key = key[order]
         own = key // wide
         starts = _segments(own)
         size = np.diff(np.append(starts, len(own)))
-        many = rows["many"].combine_chunks().to_numpy(zero_copy_only=False)[order]
-        known = rows["low"].combine_chunks().is_valid().to_numpy(zero_copy_only=False)[order]
-        low, high = (rows[c].combine_chunks().fill_null(0).to_numpy()[order] for c in ("low", "high"))
+        many = records["many"][order] > 0
+        known, low = ~many, records["low"][order]
+        high = low + records["span"][order]
         first = np.repeat(np.minimum.reduceat(np.where(known, low, np.iinfo(np.int64).max), starts), size)
         last = np.repeat(np.maximum.reduceat(np.where(known, high, -1), starts), size)
         between = known & ((low > first) & (low < last) | (high > first) & (high < last))
         enough = {1: np.ones(len(own), dtype=bool), 2: many | (first < last), 3: many | between}[min_docs]
         stays = np.repeat(np.logical_or.reduceat(enough, starts), size)
-        key, n = key[stays], rows["n"].combine_chunks().to_numpy()[order][stays]
+        key, n = key[stays], records["n"][order][stays]
         if not len(key):
             return
         starts = _segments(key)
         sums, at = np.add.reduceat(n, starts), key[starts]
-        pick = lambda c, i: c.dictionary.take(pa.array(i))
-        columns = [pick(coded[0], at // wide // len(coded[1].dictionary)), pick(coded[2], at % wide), pick(coded[1], at // wide % len(coded[1].dictionary)), pa.array(sums)]
-        yield from pa.table(dict(zip(("lang", "source", "term", "n"), columns, strict=True))).to_batches(max_chunksize=1 << 16)
+        columns = [pa.array(langs[at // wide // terms]), pa.array(sources[at % wide]), coded.dictionary.take(pa.array(at // wide % terms)), pa.array(sums)]
+        yield from _batches(("lang", "source", "term", "n"), columns, 1 << 16)
 
     return run
 
@@ -240,10 +289,13 @@ def counts(df: DataFrame, min_docs: int = MIN_DOCS, lang: str = "lang", source:
     plain = df.select(*(whole(F.col(c).cast("string")).alias(n) for c, n in ((lang, "lang"), (source, "source"), (text, "text"))))
     size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(partitions(df.sparkSession), -(-size // PART_BYTES))
-    dealt = plain.withColumn("text", F.col("text").cast("binary")).mapInArrow(_count, COUNTED).repartition(parts, "chunk")
-    each = dealt.mapInArrow(_tokenize, EACH).repartition(parts, "lang", "term")
-    kept = each.mapInArrow(_kept(min_docs), "lang string, source string, term binary, n long")
-    return cut(kept.withColumn("term", F.col("term").cast("string")), "terms")
+    hashed = plain.select(F.xxhash64("lang").alias("lang"), F.xxhash64("source").alias("source"), F.col("text").cast("binary").alias("text"))
+    dealt = hashed.mapInArrow(_count, "chunk binary, groups binary").repartition(parts, "chunk")
+    each = dealt.mapInArrow(_tokenize, "term binary, lang long, groups binary").repartition(parts, "lang", "term")
+    kept = each.mapInArrow(_kept(min_docs), "lang long, source long, term binary, n long")
+    names = plain.select("lang", "source").distinct().select("lang", "source", F.xxhash64("lang").alias("_lang"), F.xxhash64("source").alias("_source"))
+    numbered = kept.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("term").cast("string").alias("term"), "n")
+    return cut(numbered.join(names, ["_lang", "_source"]).select("lang", "source", "term", "n"), "terms")
 
 
 def scaled(n: Column, total: Column, size: Column) -> Column:

@@ -243,15 +243,19 @@ def test_sums_of_a_task_are_those_of_plain_counts(monkeypatch, docs, slab, held)
     """Whatever is passed on early: occurrences, documents, and who the one or two documents are."""
     monkeypatch.setattr(divergence, "SLAB", slab)
     monkeypatch.setattr(divergence, "HELD_ROWS", held)
-    rows = [("en" if i % 3 else "", s, (t or "").encode()) for i, t, s in docs[:50]] + [("en", "a", b"x y x \xe2\x80\x83 " * 300), ("en", "a", b"")]
+    rows = [(i % 3, i % 5, (t or "").encode()) for i, t, s in docs[:50]] + [(1, 2, b"x y x \xe2\x80\x83 " * 300), (1, 2, b"")]
     columns = [pa.array([r[k] for r in rows]) for k in range(3)]
     batches = pa.table(dict(zip(("lang", "source", "text"), columns, strict=True))).to_batches(max_chunksize=7)
     got = defaultdict(lambda: [0, 0, set()])
-    for r in (r for b in divergence.counted(iter(batches), 3) for r in b.to_pylist()):
-        entry = got[r["lang"], r["source"], r["chunk"]]
-        entry[0] += r["n"]
-        entry[1] += r["docs"]
-        entry[2] |= {r["low"], r["high"]} - {None}
+    for batch in divergence.counted(iter(batches), 3):
+        records, row = divergence._unpack(batch.column("groups"), divergence.OF_CHUNK)
+        chunks = batch.column("chunk").to_pylist()
+        for r, k in zip(records, row, strict=True):
+            entry = got[r["lang"], r["source"], chunks[k]]
+            entry[0] += r["n"]
+            entry[1] += r["docs"]
+            if r["docs"] < 3:
+                entry[2] |= {r["low"], r["low"] + r["span"]}
     want = defaultdict(lambda: [0, 0, set()])
     for k, (lang, source, text) in enumerate(rows):
         for chunk, n in Counter(c for c in re.split(rb"[\x20\x09-\x0D]+", text) if c).items():
