@@ -9,6 +9,7 @@ import os
 import pytest
 from compare import connect, difference
 
+from seriesloom.operators import align
 from seriesloom.plans import catalog, inputs
 
 SF = "/root/testdata/sf0.001"
@@ -33,6 +34,12 @@ SOME = [
     "horizon_long_features",
     "ext_lag",
     "carry_last",
+    "demand_pattern",
+    "agg_external",
+    "agg_monthly",
+    "cluster_recipe",
+    "as_category",
+    "run_ledger",
     "weight_groups",
     "choose_k",
 ]
@@ -64,6 +71,16 @@ def test_dates_reach_the_scans(spark):
         assert "GreaterThanOrEqual(l_shipdate" in plan and "GreaterThanOrEqual(o_orderdate" in plan, name
 
 
+def test_calendars_scan_each_table_once(spark):
+    for name in ("filled", "filled_lumpy", "monthly"):
+        assert _plan(getattr(inputs, name)(spark, SF)).count("FileScan parquet") == 3, name
+
+
+def test_indicators_need_no_hint_to_be_broadcast(spark):
+    joined = align.join_month(inputs.monthly(spark, SF), inputs.external(spark, SF))
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_panels_reach_the_end_of_the_data(spark, con):
     want = con.execute("SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem").fetchone()[0]
     assert inputs.filled(spark, SF).agg({"date": "max"}).first()[0] == want

@@ -328,3 +328,36 @@ def test_demand_classes_of_all_train_months(spark):
     assert got == want
     cut = {r.series: r.pattern for r in cat_aggregate.demand_pattern(spark, sf).collect()}
     print("parts", len(got), "with the cut", len(cut), "other class", sum(cut.get(k) != v for k, v in got.items()))
+
+
+def test_recursions_take_time_in_proportion_to_the_days(spark):
+    """Four times the days take less than ten times as long; adding to one array for a whole series took sixteen."""
+    import time
+
+    from seriesloom.operators import recursive
+    from seriesloom.spec import SeriesSpec
+
+    def seconds(days):
+        rows = spark.range(8 * days).selectExpr("CAST(id % 8 AS STRING) AS series", "date_add(DATE '1900-01-01', CAST(id DIV 8 AS INT)) AS date", "CAST(id % 13 AS DOUBLE) AS v")
+        best = []
+        for _ in range(2):
+            start = time.perf_counter()
+            recursive.ema(rows, SeriesSpec(target="v"), "v", (7, 30), "E").write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    seconds(100)
+    assert seconds(20_000) < 10 * seconds(5_000)
+
+
+def test_folds_in_blocks_equal_one_fold(spark, monkeypatch):
+    from seriesloom.operators import recursive
+    from seriesloom.spec import SeriesSpec
+
+    rows = spark.range(400).selectExpr("CAST(id % 3 AS STRING) AS series", "date_add(DATE '2000-01-01', CAST(id AS INT)) AS date", "CAST(pow(id, 2) % 11 AS DOUBLE) AS v")
+    spec = SeriesSpec(target="v")
+    for made in (lambda: recursive.ema(rows, spec, "v", (3,), "E"), lambda: recursive.croston(rows, spec, "v"), lambda: recursive.croston_textbook(rows, spec, "v")):
+        monkeypatch.setattr(recursive, "FOLD_ROWS", 64)
+        blocks = sorted(made().collect())
+        monkeypatch.setattr(recursive, "FOLD_ROWS", 100_000)
+        assert blocks == sorted(made().collect()) and len(blocks) == 400
