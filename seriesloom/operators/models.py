@@ -138,17 +138,24 @@ def panel_by_cluster(
     keep: list[str],
     clusters: list[int],
     learner: str = "boosted",
+    errors: dict[int, str] | None = None,
 ) -> DataFrame:
     """Test predictions of one model per cluster; an unknown cluster uses configuration 3.
 
     ``rows`` has features, label, split and cluster and is materialised once. The models of all clusters grow
-    together. Configurations with a patience stop on the validation rows. `second` grows oblivious trees.
+    together. Configurations with a patience stop on the validation rows. `second` grows oblivious trees. A cluster
+    that can't be fitted has no predictions; ``errors`` gets its text. It is an error if none can.
     """
     own = {c: configs.get(c, configs[3]) for c in clusters}
     if learner == "second":
         own = {c: config if config.growth == "oblivious" else second(config) for c, config in own.items()}
-    fitted = fit_panel(rows, own, label, "cluster", any(c.stop_after is not None for c in own.values()))
-    return _paired(boosting.predictions(fitted, rows.where(F.col("split") == "test"), "cluster"), label, keep)
+    fitted, failed = fit_isolated(rows, own, label, "cluster", any(c.stop_after is not None for c in own.values()))
+    if errors is not None:
+        errors |= failed
+    if not fitted:
+        raise ValueError(f"no cluster could be fitted: {failed}")
+    test = rows.where((F.col("split") == "test") & F.col("cluster").isin(*fitted))
+    return _paired(boosting.predictions(fitted, test, "cluster"), label, keep)
 
 
 def importances(model: Fitted, features: list[str], spark) -> DataFrame:

@@ -19,7 +19,7 @@ from seriesloom.operators import profile as prof
 from seriesloom.operators import window as win
 from seriesloom.plans.naive import GRAINS
 from seriesloom.session import cut_lineage
-from seriesloom.sources import sinks, tables
+from seriesloom.sources import ledger, sinks, tables
 from seriesloom.spec import SeriesSpec
 
 
@@ -126,14 +126,14 @@ def feature_matrix(panel: DataFrame, external: DataFrame, spec: SeriesSpec, test
     return moved.select(*panel.columns, *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names]), names
 
 
-def learned(rows: DataFrame, spec: SeriesSpec, labels: list[int], learner: str) -> DataFrame:
+def learned(rows: DataFrame, spec: SeriesSpec, labels: list[int], learner: str, errors: dict[int, str] | None = None) -> DataFrame:
     """Test predictions of the finished boosted models, of the second learner, or of the mean of two learners."""
     keys = ["series", spec.time]
     if learner == "ensemble":
-        one, two = (models.panel_by_cluster(rows, models.ENSEMBLE, spec.target, keys, labels, kind) for kind in ("boosted", "second"))
+        one, two = (models.panel_by_cluster(rows, models.ENSEMBLE, spec.target, keys, labels, kind, errors) for kind in ("boosted", "second"))
         return models.ensemble_mean(one, two, keys)
     configs, kind = {"finished": (models.FINISHED, "boosted"), "second": (models.SECOND, "second")}[learner]
-    return models.panel_by_cluster(rows, configs, spec.target, keys, labels, kind)
+    return models.panel_by_cluster(rows, configs, spec.target, keys, labels, kind, errors)
 
 
 def run(
@@ -147,7 +147,7 @@ def run(
     out: str | None = None,
     learner: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Forecasts and scores of all series, written under ``out`` when it is given."""
+    """Forecasts and scores of all series, written under ``out`` when it is given, with a ledger of what could be fitted."""
     spec = SeriesSpec()
     panel = align.gap_fill(orders, spec, [spec.target, spec.order], start, end)
     panel = panel.withColumn("split", horizon.split(spec.t(), test_from)).where("split IS NOT NULL")
@@ -156,11 +156,15 @@ def run(
     vectors = models.vectors(joined, names)
     rows = cut_lineage(vectors.select("series", spec.time, "split", "cluster", spec.target, "features"))
     labels = sorted(r["cluster"] for r in rows.select("cluster").distinct().collect())
-    predicted = learned(rows, spec, labels, learner or horizon.learner)
+    errors: dict[int, str] = {}
+    predicted = learned(rows, spec, labels, learner or horizon.learner, errors)
     forecasts = cut_lineage(rolled_up(cut_lineage(predicted), spec, horizon))
     scores = score.score_main(forecasts, ["series", "grain"])
     if out is not None:
         sinks.write_forecast(forecasts, f"{out}/forecasts")
         sinks.write_scores(scores, f"{out}/scores")
         sinks.write_clusters(assignments, f"{out}/clusters")
+        # One text per failed cluster.
+        error = F.coalesce(*[F.when(F.col("cluster") == c, F.lit(e)) for c, e in errors.items()], F.lit(None).cast("string"))
+        ledger.record(rows.select("series", "cluster").distinct().select("series", error.alias("error")), f"{out}/ledger", "all", "fit")
     return {"forecasts": forecasts, "scores": scores}

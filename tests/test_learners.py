@@ -217,6 +217,10 @@ def test_a_failing_cluster_costs_itself_only(spark, monkeypatch):
     monkeypatch.setattr(boosting, "fit", fragile)
     fitted, errors = models.fit_isolated(rows, configs, "y", "cluster")
     assert set(fitted) == {0} and errors == {1: "RuntimeError: bad cluster", 2: "no rows to learn from"}
+    told = {}
+    more = rows.unionByName(rows.where("cluster < 2").withColumn("split", F.lit("test")))
+    pairs = models.panel_by_cluster(more, {**configs, 3: configs[0]}, "y", ["cluster"], [0, 1, 2], errors=told)
+    assert {r.cluster for r in pairs.collect()} == {0} and told == errors
 
 
 def test_a_restart_does_what_is_left(spark, tmp_path):
