@@ -1,7 +1,8 @@
 """K-means on scaled profiles and the choice of k.
 
-All runs of a call (every k, every seed) share one loop: a step is one aggregate over the rows keyed by (run, centre), so a
-sweep takes as many jobs as its longest run has steps. Only sums by centre come back.
+All runs of a call (every k, every seed) share one loop: a step is one aggregate over the rows by (run, centre), so a
+sweep takes as many jobs as its longest run has steps. Only sums by centre come back. The rows are packed once into blocks
+of a matrix, which all steps read.
 """
 
 from __future__ import annotations
@@ -9,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +29,10 @@ SEED = 42
 CLOSE_SCORES = 0.1
 MAX_K = 3
 FIXED_K = 4
-#: Distances that a task holds at a time.
-CELLS = 1 << 21
+#: Distances that a task holds at a time: what fits into the cache of a core.
+CELLS = 1 << 18
+#: Sums up to this many bytes are added up on the driver; beyond it by the tasks first.
+DRIVER_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -62,13 +67,26 @@ def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] - 2.0 * x @ points.T + (points * points).sum(1), 0.0)
 
 
-def _matrices(batches: Iterator[pd.DataFrame], points: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows as (hashes, matrix), few enough that their distances to all points fit."""
-    size = max(1, CELLS // max(1, points))
+def _blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows in blocks: their hashes and their matrix as bytes, so that no step takes rows apart again."""
     for batch in batches:
-        for at in range(0, len(batch), size):
-            part = batch.iloc[at : at + size]
-            yield part["h"].to_numpy(dtype="int64"), np.stack(part["x"].to_list())
+        if len(batch):
+            h, x = batch["h"].to_numpy(dtype="int64"), np.stack(batch["x"].to_list())
+            yield pd.DataFrame({"h": [h.tobytes()], "x": [x.astype("float64").tobytes()]})
+
+
+def _blocks(vectors: DataFrame) -> RDD:
+    """(hashes, matrix) of some thousand rows each; an RDD because arrays are no columns."""
+    x = vector_to_array("features")
+    packed = vectors.select(F.xxhash64(x).alias("h"), x.alias("x")).mapInPandas(_blocked, "h binary, x binary")
+    opened = lambda h, x: (h, np.frombuffer(x, dtype="float64").reshape(len(h), -1))
+    return packed.rdd.map(lambda r: opened(np.frombuffer(r["h"], dtype="int64"), r["x"])).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _added(parts: RDD, size: int) -> tuple[np.ndarray, ...]:
+    """Arrays of all partitions added up, in the order of the partitions where they are few bytes."""
+    add = lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True))
+    return reduce(add, parts.collect()) if size * parts.getNumPartitions() <= DRIVER_BYTES else parts.treeReduce(add)
 
 
 def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
@@ -83,9 +101,9 @@ def _uniform(h: np.ndarray, seed: int, step: int) -> np.ndarray:
 def _drawn(centres: list[list[np.ndarray]], seeds: list[int], runs: list[int], step: int):
     """Per run the row that a race with rates of its squared distance to the centres so far lets win."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[int, tuple[float, list[float]]]]:
         best: dict[int, tuple[float, list[float]]] = {}
-        for h, x in _matrices(batches, max(1, step)):
+        for h, x in blocks:
             for run in runs:
                 rate = _distances(x, np.stack(centres[run])).min(1) if step else np.ones(len(x))
                 with np.errstate(divide="ignore"):
@@ -93,31 +111,39 @@ def _drawn(centres: list[list[np.ndarray]], seeds: list[int], runs: list[int], s
                 i = int(time.argmin())
                 if run not in best or time[i] < best[run][0]:
                     best[run] = float(time[i]), x[i].tolist()
-        if best:
-            yield pd.DataFrame({"run": list(best), "time": [t for t, _ in best.values()], "x": [x for _, x in best.values()]})
+        yield from best.items()
 
     return scan
 
 
-def _assigned(points: np.ndarray, owner: np.ndarray, runs: list[int]):
-    """Per run and centre the rows that it is nearest to: number, squared distances, sums. Centres of a run lie side by side."""
+def _assigned(points: np.ndarray, shapes: list[tuple[int, int]]):
+    """Per centre the rows that it is nearest to, their number and sums, and per run the squared distances.
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, cost, sums = np.zeros(len(points)), np.zeros(len(points)), np.zeros(points.shape)
-        for _, x in _matrices(batches, len(points)):
-            far = _distances(x, points)
-            for run in runs:
-                low = int(np.searchsorted(owner, run))
-                mine = far[:, low : np.searchsorted(owner, run, side="right")]
-                nearest = mine.argmin(1)
-                k = mine.shape[1]
-                n[low : low + k] += np.bincount(nearest, minlength=k)
-                cost[low : low + k] += np.bincount(nearest, mine[np.arange(len(x)), nearest], k)
-                for d in range(x.shape[1]):
-                    sums[low : low + k, d] += np.bincount(nearest, x[:, d], k)
-        used = np.flatnonzero(n)
-        if len(used):
-            yield pd.DataFrame({"centre": used, "n": n[used], "cost": cost[used], "sums": sums[used].tolist()})
+    ``shapes`` says how many runs of how many centres there are, in order. Centres of a run lie side by side. Of equally near ones
+    the first counts.
+    """
+    square, doubled = (points * points).sum(1)[:, None], -2.0 * points
+    widest = max(runs * k for runs, k in shapes)
+
+    def scan(blocks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
+        n, cost, sums = np.zeros(len(points)), np.zeros(sum(runs for runs, _ in shapes)), np.zeros(points.shape)
+        size = max(256, CELLS // widest)
+        for x in (block[at : at + size] for _, block in blocks for at in range(0, len(block), size)):
+            own, low, run = (x * x).sum(1), 0, 0
+            for runs, k in shapes:
+                high = low + runs * k
+                # Squared distances without the part that is the same for all centres.
+                far = (doubled[low:high] @ x.T + square[low:high]).reshape(runs, k, len(x))
+                least, nearest = far[:, 0].copy(), np.zeros((runs, len(x)), dtype=np.int16)
+                for j in range(1, k):
+                    np.copyto(nearest, j, where=far[:, j] < least)
+                    np.minimum(least, far[:, j], out=least)
+                mine = (nearest[:, None] == np.arange(k, dtype=np.int16)[:, None]).reshape(runs * k, len(x))
+                n[low:high] += mine.sum(1)
+                sums[low:high] += mine.astype(float) @ x
+                cost[run : run + runs] += np.maximum(least + own, 0.0).sum(1)
+                low, run = high, run + runs
+        yield n, cost, sums
 
     return scan
 
@@ -128,37 +154,33 @@ def kmeans_runs(vectors: DataFrame, ks: tuple[int, ...], n_init: int, max_iter:
     A run ends when no centre moves by more than ``tol`` or after ``max_iter`` steps. A centre that loses its rows stays where it is.
     With fewer distinct rows than k some centres coincide. Runs are ordered by k and seed. No rows: no runs.
     """
-    rows = vectors.select(F.xxhash64(vector_to_array("features")).alias("h"), vector_to_array("features").alias("x")).persist()
+    rows = _blocks(vectors)
     runs = [(k, seed + i) for k in ks for i in range(n_init)]
     seeds, centres = [s for _, s in runs], [[] for _ in runs]
     for step in range(max(ks, default=0)):
         open_ = [r for r, (k, _) in enumerate(runs) if k > step]
-        raced = rows.mapInPandas(_drawn(centres, seeds, open_, step), "run long, time double, x array<double>")
-        won = {r["run"]: r["x"] for r in raced.groupBy("run").agg(F.min_by("x", F.struct("time", "x")).alias("x")).collect()}
+        won = rows.mapPartitions(_drawn(centres, seeds, open_, step)).reduceByKey(min).collectAsMap()  # one row per run
         if not won:
+            rows.unpersist()
             return []
         for r in open_:
-            centres[r].append(np.array(won[r]))
+            centres[r].append(np.array(won[r][1]))
     points = [np.stack(c) for c in centres]
     found: dict[int, Centres] = {}
     going, step = list(range(len(runs))), 0
     while going:
         flat = np.concatenate([points[r] for r in going])
-        owner = np.repeat(going, [len(points[r]) for r in going])
-        parts = rows.mapInPandas(_assigned(flat, owner, going), "centre long, n double, cost double, sums array<double>")
-        width = flat.shape[1]
-        summed = parts.groupBy("centre").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.get("sums", F.lit(d))) for d in range(width)]).alias("sums"))
-        moved, cost = flat.copy(), np.zeros(len(flat))
-        for r in summed.collect():  # one row per run and centre
-            moved[r["centre"]], cost[r["centre"]] = np.array(r["sums"]) / r["n"], r["cost"]
+        shapes = [(sum(1 for _ in same), k) for k, same in groupby(len(points[r]) for r in going)]
+        n, cost, sums = _added(rows.mapPartitions(_assigned(flat, shapes)), 8 * (flat.size + len(flat) + len(going)))
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1.0)[:, None], flat)
         step += 1
-        still = []
-        for r in going:
-            own = owner == r
+        still, low = [], 0
+        for i, r in enumerate(going):
+            own = slice(low, low := low + len(points[r]))
             shift = np.sqrt(((moved[own] - points[r]) ** 2).sum(1)).max()
             if shift <= tol or step > max_iter:
                 # The sums were taken before the move: the cost is that of the centres that were there.
-                found[r] = Centres(*runs[r], points[r], float(cost[own].sum()), step - 1)
+                found[r] = Centres(*runs[r], points[r], float(cost[i]), step - 1)
             else:
                 points[r] = moved[own]
                 still.append(r)
