@@ -108,8 +108,7 @@ def external_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def parts_monthly(spark: SparkSession, sf: str) -> DataFrame:
     """series = part; months with activity since 1998 only, joined with the indicators."""
-    rows = tables.orders_monthly(spark, sf, F.col("p_partkey").cast("string"), F.col("p_name"), "1998-01-01")
-    return align.join_month(rows, external(spark, sf))
+    return align.join_month(tables.parts_monthly(spark, sf, "1998-01-01"), external(spark, sf))
 
 
 def profiles(spark: SparkSession, sf: str) -> DataFrame:

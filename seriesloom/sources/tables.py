@@ -22,6 +22,19 @@ def daily_totals(rows: DataFrame, keys: list[str], time: str, measures: list[str
     return rows.groupBy(*keys, time).agg(*[F.sum(m).alias(m) for m in measures])
 
 
+def _recent(spark: SparkSession, sf_dir: str, since: str) -> DataFrame:
+    """l_partkey, date, dispatched, ordered of the ship days and the order days from ``since`` on."""
+    from_day, zero = F.lit(since).cast("timestamp_ntz"), F.lit(0.0)
+    fact = table(spark, sf_dir, "lineitem")
+    shipped = fact.where(F.col("l_shipdate") >= from_day).select(
+        "l_partkey", F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("dispatched"), zero.alias("ordered")
+    )
+    recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= from_day)
+    recent = recent.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("date"))
+    ordered = fact.select("l_orderkey", "l_partkey", "l_quantity").join(recent, "l_orderkey")
+    return shipped.union(ordered.select("l_partkey", "date", zero.alias("dispatched"), F.col("l_quantity").alias("ordered")))
+
+
 def _movements(
     spark: SparkSession, sf_dir: str, key: Column, name: Column | None, since: str | None
 ) -> tuple[DataFrame, list[str]]:
@@ -49,16 +62,7 @@ def _movements(
     keys = ["series"] + (["series_name"] if name is not None else [])
     zero = F.lit(0.0)
     if since is not None:
-        from_day = F.lit(since).cast("timestamp_ntz")
-        fact = table(spark, sf_dir, "lineitem")
-        shipped = fact.where(F.col("l_shipdate") >= from_day).select(
-            "l_partkey", F.col("l_shipdate").cast("date").alias("date"), F.col("l_quantity").alias("dispatched"), zero.alias("ordered")
-        )
-        recent = table(spark, sf_dir, "orders").where(F.col("o_orderdate") >= from_day)
-        recent = recent.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("date"))
-        ordered = fact.select("l_orderkey", "l_partkey", "l_quantity").join(recent, "l_orderkey")
-        ordered = ordered.select("l_partkey", "date", zero.alias("dispatched"), F.col("l_quantity").alias("ordered"))
-        return shipped.union(ordered).join(part, "l_partkey").select(*keys, "date", "dispatched", "ordered"), keys
+        return _recent(spark, sf_dir, since).join(part, "l_partkey").select(*keys, "date", "dispatched", "ordered"), keys
     movement = F.inline(
         F.array(
             F.struct(F.col("ship_day").alias("date"), F.col("qty").alias("dispatched"), zero.alias("ordered")),
@@ -84,6 +88,20 @@ def orders_monthly(
     return daily_totals(rows.withColumn("month", F.trunc("date", "month")), keys, "month", ["dispatched", "ordered"])
 
 
+def parts_monthly(spark: SparkSession, sf_dir: str, since: str) -> DataFrame:
+    """`orders_monthly` with series = part: series, series_name, month, dispatched, ordered from ``since`` on.
+
+    There are as many series as parts, and their rows are nearly as many as the lines. They are summed by part and month
+    first, so that a hot part is a few rows, and then dealt by series alone: the names, the sums, and what is
+    grouped by series afterwards need no further shuffle.
+    """
+    moved = _recent(spark, sf_dir, since).withColumn("month", F.trunc("date", "month"))
+    summed = daily_totals(moved, ["l_partkey"], "month", ["dispatched", "ordered"])
+    rows = summed.select(F.col("l_partkey").cast("string").alias("series"), "month", "dispatched", "ordered")
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("series"), F.col("p_name").alias("series_name"))
+    return daily_totals(rows.join(names, "series"), ["series", "series_name"], "month", ["dispatched", "ordered"])
+
+
 def _exact(c: Column, scale: int) -> Column:
     return c.cast(f"decimal(18,{scale})")
 
