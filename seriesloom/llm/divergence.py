@@ -36,8 +36,9 @@ SCALE = 1_000_000_000
 #: The same on UTF-8 bytes: A-Z lower-cased, all that ends a term is a space, but a line feed, which is in no chunk, stays.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 or c == 10 else 32 for c in range(256))
 #: Bytes of text that are counted at a time, rows that a task adds up before it passes them on, cells of a block.
+#: Rows that are added up stand in memory some four times over, each in some 70 bytes.
 SLAB = 1 << 21
-HELD_ROWS = 1_000_000
+HELD_ROWS = 1 << 18
 BLOCK = 1 << 21
 #: Bytes of text for which the shuffles get one more partition: a task holds the distinct rows of one.
 PART_BYTES = 256 << 20
@@ -87,6 +88,18 @@ def _batches(names: tuple[str, ...], columns: list, size: int = 1 << 14) -> Iter
     yield from pa.table(dict(zip(names, columns, strict=True))).to_batches(max_chunksize=size)
 
 
+def _freeing(run):
+    """run, after which the worker, which stays for other tasks, gives back the memory that Arrow holds in reserve."""
+
+    def freed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return freed
+
+
 def _segments(key: np.ndarray) -> np.ndarray:
     """Where the runs of a sorted key begin."""
     return np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
@@ -290,9 +303,9 @@ def counts(df: DataFrame, min_docs: int = MIN_DOCS, lang: str = "lang", source:
     size = plain.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(partitions(df.sparkSession), -(-size // PART_BYTES))
     hashed = plain.select(F.xxhash64("lang").alias("lang"), F.xxhash64("source").alias("source"), F.col("text").cast("binary").alias("text"))
-    dealt = hashed.mapInArrow(_count, "chunk binary, groups binary").repartition(parts, "chunk")
-    each = dealt.mapInArrow(_tokenize, "term binary, lang long, groups binary").repartition(parts, "lang", "term")
-    kept = each.mapInArrow(_kept(min_docs), "lang long, source long, term binary, n long")
+    dealt = hashed.mapInArrow(_freeing(_count), "chunk binary, groups binary").repartition(parts, "chunk")
+    each = dealt.mapInArrow(_freeing(_tokenize), "term binary, lang long, groups binary").repartition(parts, "lang", "term")
+    kept = each.mapInArrow(_freeing(_kept(min_docs)), "lang long, source long, term binary, n long")
     names = plain.select("lang", "source").distinct().select("lang", "source", F.xxhash64("lang").alias("_lang"), F.xxhash64("source").alias("_source"))
     numbered = kept.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("term").cast("string").alias("term"), "n")
     return cut(numbered.join(names, ["_lang", "_source"]).select("lang", "source", "term", "n"), "terms")
