@@ -6,6 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 
 from seriesloom.operators import cluster
 
+
 def test_kmeans_step_reads_blocks_of_arrays(spark):
     rng = np.random.default_rng(5)
     x = np.vstack([rng.normal(size=(700, 3)), [[1.0, 1.0, 1.0]] * 5])
