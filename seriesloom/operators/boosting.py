@@ -9,8 +9,8 @@ which blocks are added up nor on the number of cores. Rows and columns are drawn
 
 Trees grow by level, leaf by leaf (the best leaf of a tree first, up to a number of leaves), or oblivious (one split for
 all nodes of a level). Predictions of all rows are carried from round to round; every REFRESH rounds they are
-checkpointed in the shared folder. Where one block holds all rows of every model, its sums are whole already and REFRESH rounds
-are one job; the trees are the same. Boosting ends when no model is left that its validation rows allow to go on.
+checkpointed in the shared folder. Where one block holds all rows of every model, its sums are whole already and REFRESH rounds,
+or LOSS_ROUNDS where only losses are asked for, are one job; the trees are the same. Boosting ends when no model is left that its validation rows allow to go on.
 """
 
 from __future__ import annotations
@@ -36,10 +36,14 @@ SEED = 42
 BINS = 64
 #: Rows of a block, elements (models x rows) and models of a chunk: bounds of what one task holds at a time.
 BLOCK_ROWS = 1 << 16
-CHUNK_CELLS, CHUNK_MODELS = 1 << 18, 256
+CHUNK_CELLS, CHUNK_MODELS = 1 << 15, 256
+#: Cells of the histograms whose splits are weighed at a time, few enough to stay in a core's cache.
+WEIGHED_CELLS = 1 << 15
 #: Histograms up to this many bytes are summed on the driver; beyond it they are summed by key first.
 DRIVER_BYTES = 64 << 20
 REFRESH = 16
+#: Rounds of a job where no trees are kept and each block holds all rows of its models.
+LOSS_ROUNDS = 64
 
 #: Fold of a row that validates every model.
 HELD = -2
@@ -246,17 +250,20 @@ def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
 
 def _route(x: np.ndarray, grown: dict[str, np.ndarray], steps: int) -> np.ndarray:
     """The node that each row reaches in the tree of each model."""
-    models, nodes = grown["feature"].shape
-    node = np.zeros((models, x.shape[1]), dtype=np.int32)
-    at, row = np.arange(models, dtype=np.int32)[:, None] * nodes, np.arange(x.shape[1])
-    feature, goes, left = (grown[c].ravel() for c in ("feature", "goes", "left"))
+    node = np.zeros((len(grown["feature"]), x.shape[1]), dtype=np.int32)
     for _ in range(steps):
-        where = at + node
-        f = feature[where]
-        node = np.where(f >= 0, left[where] + _right(goes[where], x[f, row]), node)
+        node = _step(x, grown, node)
     return node
 
 
+def _step(x: np.ndarray, grown: dict[str, np.ndarray], node: np.ndarray) -> np.ndarray:
+    """The nodes one step further down."""
+    models, nodes = grown["feature"].shape
+    where = np.arange(models, dtype=np.int32)[:, None] * nodes + node
+    feature, goes, left = (grown[c].ravel()[where] for c in ("feature", "goes", "left"))
+    return np.where(feature >= 0, left + _right(goes, x[feature, np.arange(x.shape[1])]), node)
+
+
 @dataclass
 class Shape:
     """What all tasks of a call know: per chunk its tasks; bins, width, the power of two for gradients, features of categories."""
@@ -272,23 +279,33 @@ class Shape:
         return np.array([getattr(t.config, name) for t in self.tasks[chunk]], dtype=float)[:, None]
 
 
+def _drawn_rows(unit: Unit, shape: Shape, seed: int, round_: int) -> np.ndarray:
+    """Which rows the models of a unit learn from in a round."""
+    share, every = shape.column(unit.chunk, "rows"), shape.column(unit.chunk, "every").astype(int).ravel()
+    if (share >= 1).all():
+        return unit.train
+    uniform = {e: _mixed(unit.draw, seed + 1 + (round_ // e) * e) for e in set(every.tolist())}
+    return unit.train & (np.stack([uniform[e] for e in every.tolist()]) < share)
+
+
+def _gradients(unit: Unit, shape: Shape) -> np.ndarray:
+    """Gradients as whole numbers, multiples of the power of two."""
+    return np.clip(np.rint((unit.f - unit.y) * shape.scale), -shape.limit, shape.limit)
+
+
 def _histograms(unit: Unit, plan: dict, shape: Shape, seed: int, round_: int, left_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Sums of gradients and counts, (models, slots, features, bins); with left_only those of even slots, the others are 0."""
     models, n = unit.f.shape
     node = _route(unit.x, plan, plan["steps"])
     slot = np.take_along_axis(plan["slot"], node, 1)
-    share, every = shape.column(unit.chunk, "rows"), shape.column(unit.chunk, "every").astype(int).ravel()
-    drawn = unit.train & (slot >= 0)
+    drawn = _drawn_rows(unit, shape, seed, round_) & (slot >= 0)
     if left_only:
         drawn &= slot % 2 == 0
-    if (share < 1).any():
-        uniform = {e: _mixed(unit.draw, seed + 1 + (round_ // e) * e) for e in set(every.tolist())}
-        drawn &= np.stack([uniform[e] for e in every.tolist()]) < share
     at = np.flatnonzero(drawn)
     slots, bins = plan["slots"], shape.bins
     cell = (slot + np.arange(models, dtype=np.int64)[:, None] * slots).ravel()[at] * bins
     row = at % n
-    gradient = np.clip(np.rint((unit.f - unit.y) * shape.scale), -shape.limit, shape.limit).ravel()[at]
+    gradient = _gradients(unit, shape).ravel()[at]
     size = models * slots * bins
     g, h = (np.empty((models * slots, shape.width, bins)) for _ in range(2))
     for j in range(shape.width):
@@ -307,6 +324,18 @@ def weight(g, h, l1, l2) -> np.ndarray:
     return np.where(h + l2 > 0, -_soft(g, l1) / np.where(h + l2 > 0, h + l2, 1.0), 0.0)
 
 
+def _score(g: np.ndarray, h: np.ndarray, l1, l2) -> np.ndarray:
+    """Squared soft-thresholded gradients against hessians; without a hessian there is no gradient."""
+    out = np.abs(g)
+    out -= l1
+    np.maximum(out, 0.0, out=out)
+    out *= out
+    below = h + l2
+    np.maximum(below, 1e-300, out=below)
+    out /= below
+    return out
+
+
 def _choose(chunk: int, sums: tuple[np.ndarray, np.ndarray], columns: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
     """Per model and slot the best split: gain, feature, bins that go left, gradient and hessian of the left child and of the node.
 
@@ -323,22 +352,12 @@ def _choose(chunk: int, sums: tuple[np.ndarray, np.ndarray], columns: np.ndarray
         order[:, :, own] = np.argsort(mean, axis=-1, kind="stable")
         g, h = (np.take_along_axis(a, order, -1) for a in (g, h))
     l1, l2, least, gamma = (shape.column(chunk, c)[:, :, None, None] for c in ("l1", "l2", "min_child", "least_gain"))
-
-    def score(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Squared soft-thresholded gradients against hessians; without a hessian there is no gradient."""
-        out = np.abs(a)
-        out -= l1
-        np.maximum(out, 0.0, out=out)
-        out *= out
-        out /= np.maximum(b + l2, 1e-300)
-        return out
-
     node_g, node_h = g[:, :, :1].sum(-1, keepdims=True), h[:, :, :1].sum(-1, keepdims=True)
     left_g, left_h = np.cumsum(g, -1)[..., :-1], np.cumsum(h, -1)[..., :-1]
     right_h = node_h - left_h
-    gain = score(left_g, left_h)
-    gain += score(node_g - left_g, right_h)
-    gain -= score(node_g, node_h)
+    gain = _score(left_g, left_h, l1, l2)
+    gain += _score(node_g - left_g, right_h, l1, l2)
+    gain -= _score(node_g, node_h, l1, l2)
     closed = ~columns[:, None, :, None]
     oblivious = shape.tasks[chunk][0].config.growth == "oblivious"
     if oblivious:
@@ -357,12 +376,53 @@ def _choose(chunk: int, sums: tuple[np.ndarray, np.ndarray], columns: np.ndarray
     return out | {"gl": pick(left_g), "hl": pick(left_h), "g": node_g[..., 0, 0], "h": node_h[..., 0, 0]}
 
 
+def _choose_level(chunk: int, left: list[np.ndarray], features: np.ndarray, columns: np.ndarray, shape: Shape) -> dict[str, np.ndarray]:
+    """What `_choose` gives, by cell, of the running sums over bins of gradients and counts, (features, bins, cells).
+
+    Cells are nodes of models; the first are one of each model, and so on.
+    """
+    g, h = left
+    bins, cells = g.shape[1:]
+    models = len(shape.tasks[chunk])
+    l1, l2, least, gamma = (np.tile(shape.column(chunk, c).ravel(), cells // models) for c in ("l1", "l2", "min_child", "least_gain"))
+    node_g, node_h, cell = g[0, -1], h[0, -1], np.arange(cells)
+    whole = _score(node_g, node_h, l1, l2)
+    closed = np.tile(~columns[:, features].T, (1, cells // models))
+    found, best = np.full(cells, -np.inf), np.zeros(cells, dtype=np.int64)
+    size = max(1, WEIGHED_CELLS // (bins * cells))
+    for at in range(0, len(features), size):
+        left_g, left_h = g[at : at + size, :-1], h[at : at + size, :-1]
+        right_h = node_h - left_h
+        gain = _score(left_g, left_h, l1, l2)
+        gain += _score(node_g - left_g, right_h, l1, l2)
+        gain -= whole
+        shut = left_h < least
+        shut |= right_h < least
+        if closed[at : at + size].any():
+            shut |= closed[at : at + size, None]
+        np.putmask(gain, shut, -np.inf)
+        gain = gain.reshape(-1, cells)
+        top = gain.argmax(0)
+        value = gain[top, cell]
+        better = value > found
+        found, best = np.where(better, value, found), np.where(better, at * (bins - 1) + top, best)
+    own, last = best // (bins - 1), best % (bins - 1)
+    found -= gamma
+    goes = (np.uint64(1) << (last + 1).astype(np.uint64)) - np.uint64(1)
+    out = {"gain": np.where(found > 1e-12, found, -np.inf), "feature": features[own], "goes": goes}
+    return out | {"gl": g[own, last, cell], "hl": h[own, last, cell], "g": node_g, "h": node_h}
+
+
+def _errors(unit: Unit) -> np.ndarray:
+    """Per model the squared error on its validation rows."""
+    return (np.where(unit.held, unit.f - unit.y, 0.0) ** 2).sum(1)
+
+
 def _losses(unit: Unit) -> np.ndarray:
     """Per model the squared error on its validation rows, their number, sum and sum of squares; sum and number of train labels."""
     each = lambda mask, v: (mask * v).sum(1)
     held, train, y = unit.held, unit.train, unit.y
-    error = (np.where(held, unit.f - y, 0.0) ** 2).sum(1)
-    return np.stack([error, held.sum(1), each(held, y), each(held, y * y), each(train, y), train.sum(1)])
+    return np.stack([_errors(unit), held.sum(1), each(held, y), each(held, y * y), each(train, y), train.sum(1)])
 
 
 def _drawn_columns(shape: Shape, chunk: int, seed: int, round_: int, level: int) -> np.ndarray:
@@ -374,7 +434,11 @@ def _drawn_columns(shape: Shape, chunk: int, seed: int, round_: int, level: int)
 
 def _advanced(unit: Unit, tree: dict) -> Unit:
     """The unit with a tree's values added to its predictions."""
-    node = _route(unit.x, tree, tree["steps"])
+    return _moved(unit, tree, _route(unit.x, tree, tree["steps"]))
+
+
+def _moved(unit: Unit, tree: dict, node: np.ndarray) -> Unit:
+    """The unit with the values of the nodes that its rows reach added to its predictions."""
     return Unit(**{**vars(unit), "f": unit.f + np.take_along_axis(tree["value"], node, 1)})
 
 
@@ -391,14 +455,62 @@ def _continues(tasks: list[Task], on: np.ndarray, histories: list[list[float]],
 # --- the loop over rounds ----------------------------------------------------------------
 
 
+def rounds_of_job(keep_trees: bool) -> int:
+    return REFRESH if keep_trees else LOSS_ROUNDS
+
+
 class _Alone:
     """Grows the models of a unit that holds all their rows."""
 
     def __init__(self, unit: Unit, shape: Shape, seed: int):
-        self.unit, self.shape, self.seed, self.above = unit, shape, seed, ()
+        self.unit, self.shape, self.seed, self.above, self.node = unit, shape, seed, (), None
+        self.by_level = shape.tasks[unit.chunk][0].config.growth == "level" and not shape.categorical
+
+    def level(self, plan: dict, round_: int, level: int) -> dict[str, np.ndarray]:
+        """The splits of a level. Rows go on from the nodes of the level above, and only features that may split are summed.
+
+        Of two siblings the one with fewer rows is summed; the other has what their parent has and that one has not. So the cells
+        of a level are first those that are summed, in the order of their parents, then their siblings; `place` says where a slot is.
+        """
+        unit, shape, slots = self.unit, self.shape, plan["slots"]
+        models, n = unit.f.shape
+        if level == 0:
+            self.node, self.place = np.zeros((models, n), dtype=np.int32), np.arange(models)[:, None]
+            self.drawn, self.gradient = _drawn_rows(unit, shape, self.seed, round_), _gradients(unit, shape) / shape.scale
+            self.columns = _drawn_columns(shape, unit.chunk, self.seed, round_, level)
+            self.features = np.flatnonzero(self.columns.any(0))
+            cells, table, sides = models, np.where(plan["slot"] >= 0, self.place, -1), 1
+        else:
+            self.node = _step(unit.x, plan, self.node)
+            cells, own, sides = models * slots // 2, slice(slots - 1, 2 * slots - 1), 2
+            above, summed = np.repeat(self.place, 2, axis=1), np.arange(slots) % 2 == np.repeat(self.right, 2, axis=1)
+            table = np.full(plan["slot"].shape, -1)
+            table[:, own] = np.where((plan["slot"][:, own] >= 0) & summed, above, -1)
+            self.place = np.where(summed, above, above + cells)
+        cell = np.take_along_axis(table, self.node, 1)
+        at = np.flatnonzero(self.drawn & (cell >= 0))
+        row, cell, gradient = at % n, cell.ravel()[at], self.gradient.ravel()[at]
+        size, sums = shape.bins * cells, [np.empty((len(self.features), shape.bins, sides, cells)) for _ in range(2)]
+        for k, x in enumerate(unit.x[self.features].astype(np.int64) * cells):
+            where = x[row]
+            where += cell
+            for out, weights in zip(sums, (gradient, None), strict=True):
+                out[k, :, 0] = np.bincount(where, weights, size).reshape(-1, cells)
+        for out in sums:
+            for b in range(1, shape.bins):
+                out[:, b, 0] += out[:, b - 1, 0]
+        if level:
+            for out, whole in zip(sums, self.above, strict=True):
+                np.subtract(whole, out[:, :, 0], out=out[:, :, 1])
+        self.above = [out.reshape(*out.shape[:2], -1) for out in sums]
+        best = {k: v[self.place] for k, v in _choose_level(unit.chunk, self.above, self.features, self.columns, shape).items()}
+        self.right = best["h"] - best["hl"] < best["hl"]
+        return best
 
     def splits(self, plans: dict[int, dict], round_: int, level: int, blocks: int) -> dict[int, dict[str, np.ndarray]]:
         (chunk, plan), = plans.items()
+        if self.by_level:
+            return {chunk: self.level(plan, round_, level)}
         # Slots of a heap's level are pairs of siblings: a right one has what its parent has and the left one has not.
         paired = plan["heap"] and level > 0
         sums = _histograms(self.unit, plan, self.shape, self.seed, round_, paired)
@@ -412,14 +524,18 @@ class _Alone:
         pass
 
     def rounds(self, on: np.ndarray, first: int, grow, histories: list[list[float]], judged: np.ndarray, keep_trees: bool) -> list[tuple]:
-        """(models that grew, their trees, their losses) of up to REFRESH rounds."""
+        """(models that grew, their trees, their losses) of the rounds of a job."""
         out, chunk = [], self.unit.chunk
-        for r in range(first, first + REFRESH):
+        for r in range(first, first + rounds_of_job(keep_trees)):
             if not on.any():
                 break
+            self.node = None
             tree = grow(self, {chunk: on}, r, 1)[chunk]
-            self.unit = _advanced(self.unit, tree)
-            losses = _losses(self.unit)[0] if judged.any() else None
+            if self.node is None:
+                self.unit = _advanced(self.unit, tree)
+            else:
+                self.unit = _moved(self.unit, tree, _step(self.unit.x, tree, self.node))
+            losses = _errors(self.unit) if judged.any() else None
             out.append((on, tree if keep_trees else None, losses))
             for i in np.flatnonzero(on & judged):
                 histories[i].append(float(losses[i]))
@@ -457,7 +573,7 @@ class _Run:
         return self.summed(list(plans), lambda u: _histograms(u, plans[u.chunk], shape, seed, round_), lambda c, s: _choose(c, s, masks[c], shape), size)
 
     def rounds(self, active: dict[int, np.ndarray], first: int, grow, histories: dict, judged: dict, keep_trees: bool) -> dict[int, list[tuple]]:
-        """REFRESH rounds in one job, where every unit holds all rows of its models."""
+        """The rounds of one job, where every unit holds all rows of its models."""
         shape, seed = self.shape, self.seed
 
         def run(unit: Unit) -> tuple[Unit, list[tuple]]:
@@ -679,13 +795,13 @@ def fit(
     encoded = cut_lineage(dealt.mapInPandas(_encode(edges), "key int, block int, x binary, y binary, draw binary, fold binary"))
     per_key = {r["key"]: (r["n"], r["most"]) for r in encoded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("y") / 8).alias("most")).collect()}
 
-    # Chunks of models of one key and depth; the models of a key without rows have none.
+    # Chunks of models of one key, depth and share of columns; the models of a key without rows have none.
     chunks: dict[int, list[int]] = {}
     groups = defaultdict(list)
     for i, t in enumerate(tasks):
         if t.key in per_key:
-            groups[t.key, t.config.depth].append(i)
-    for (k, _), own in sorted(groups.items()):
+            groups[t.key, t.config.depth, t.config.cols].append(i)
+    for (k, *_), own in sorted(groups.items()):
         size = int(max(1, min(CHUNK_MODELS, CHUNK_CELLS // max(1, int(per_key[k][1])))))
         for at in range(0, len(own), size):
             chunks[len(chunks)] = own[at : at + size]
@@ -741,7 +857,7 @@ def fit(
         histories = {c: [fitted[m].losses if fitted[m].task.config.stop_after is not None else [] for m in chunks[c]] for c in active}
         if run.single:
             made = run.rounds(active, round_, grow, histories, judged, keep_trees)
-            round_ += REFRESH
+            round_ += rounds_of_job(keep_trees)
         else:
             grown = grow(run, active, round_, blocks)
             round_ += 1

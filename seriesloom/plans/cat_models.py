@@ -37,16 +37,19 @@ def daily_rows(spark, sf):
 
 
 def monthly_rows(spark, sf):
-    """Monthly features: lags, rolling statistics, indicators and calendar; last 12 months are test."""
-    target = F.col("dispatched")
-    joined = align.join_month(inp.monthly_with_split(spark, sf), inp.external(spark, sf))
+    """Monthly features: lags, rolling statistics, indicators and calendar; last 12 months are test.
+
+    The panel is materialised, so the lines are joined once for the features and the clusters.
+    """
+    target, panel = F.col("dispatched"), cut_lineage(inp.monthly(spark, sf))
+    joined = align.join_month(inp.monthly_with_split(spark, sf, panel), inp.external(spark, sf))
     wide = win.add(
         joined,
         win.lags(target, inp.MONTHLY, win.LAGS["month_sparse"], "Demand"),
         win.roll_past(target, inp.MONTHLY, (3, 6, 12), "Demand"),
         {"MonthNo": F.month("month"), "Quarter": F.quarter("month"), "Year": F.year("month") - 2022},
     )
-    labelled = wide.join(brand_labelled(spark, sf), "series")
+    labelled = wide.join(brand_labelled(spark, sf, panel), "series")
     names = [c for c in labelled.columns if c not in (*MONTH_KEYS, "split", "dispatched", "ordered", "cluster")]
     return cut_lineage(models.vectors(labelled, names)), names
 

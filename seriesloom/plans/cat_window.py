@@ -682,10 +682,12 @@ cte(
 )
 
 
-def brand_labelled(spark, sf):
+def brand_labelled(spark, sf, panel=None):
+    """``panel`` is `inp.monthly` where the caller has it already."""
     from seriesloom.operators.profile import profile
 
-    return inp.label_by_level(profile(inp.monthly(spark, sf))).select("series", "cluster")
+    monthly = inp.monthly(spark, sf) if panel is None else panel
+    return inp.label_by_level(profile(monthly)).select("series", "cluster")
 
 
 def _recipe_value(name: str) -> str:

@@ -93,8 +93,9 @@ def monthly_lumpy(spark: SparkSession, sf: str) -> DataFrame:
     return align.gap_fill(rolled, MONTHLY, MEASURES, first_month(spark, sf), last_month(spark, sf), step="month")
 
 
-def monthly_with_split(spark: SparkSession, sf: str) -> DataFrame:
-    return split.last_n_split(monthly(spark, sf), MONTHLY, 12)
+def monthly_with_split(spark: SparkSession, sf: str, panel: DataFrame | None = None) -> DataFrame:
+    """``panel`` is `monthly` where the caller has it already."""
+    return split.last_n_split(monthly(spark, sf) if panel is None else panel, MONTHLY, 12)
 
 
 def external(spark: SparkSession, sf: str) -> DataFrame:

@@ -248,3 +248,62 @@ def test_grid_search_finds_the_best_of_single_fits(spark):
             tasks = [Task(Boosting(**values), c, f) for f in range(3)]
             singles = boosting.fit(rows, tasks + [Task(Boosting(1, 0.1, 1), 1 - c)], "y", "cluster", fold=F.col("fold"), bins=32)[:3]
             assert r.r2 == pytest.approx(np.mean([m.r2() for m in singles]))
+
+
+class Plain:
+    """Grows models level by level from whole histograms of all features, rows and nodes."""
+
+    def __init__(self, unit, shape, seed):
+        self.unit, self.shape, self.seed = unit, shape, seed
+
+    def splits(self, plans, round_, level, blocks):
+        columns = boosting._drawn_columns(self.shape, 0, self.seed, round_, level)
+        return {0: boosting._choose(0, boosting._histograms(self.unit, plans[0], self.shape, self.seed, round_), columns, self.shape)}
+
+    def settle(self):
+        pass
+
+
+def lone_unit(tasks, x, y, bins):
+    folds = np.arange(len(y), dtype=np.int32) % 3
+    train, held = (np.stack([boosting._roles(folds, t)[k] for t in tasks]) for k in (0, 1))
+    draws = np.random.default_rng(5).integers(-(2**62), 2**62, len(y))
+    f = np.repeat([[y[m].mean()] for m in train], len(y), axis=1)
+    return boosting.Unit(0, 0, x, y, draws, train, held, f), boosting.Shape({0: tasks}, bins, len(x), 2.0**30, 2.0**40)
+
+
+def test_lone_blocks_grow_the_same_trees_and_sum_less(monkeypatch):
+    """Of two siblings the one with fewer rows is summed, and only features that may split."""
+    rng = np.random.default_rng(3)
+    n, width, bins, depth = 400, 10, 8, 4
+    x, y = rng.integers(0, bins, (width, n)).astype(np.uint8), rng.exponential(50.0, n)
+    tasks = [Task(Boosting(4, 0.3, depth, least, 0.8, cols, l1=l1, l2=l2), 0, f) for f in (0, 2) for least in (1, 9) for cols in (0.2, 0.4) for l1, l2 in ((0.0, 0.0), (30.0, 1.5))]
+    unit, shape = lone_unit(tasks, x, y, bins)
+    on, none = np.ones(len(tasks), dtype=bool), [[] for _ in tasks]
+    plain = Plain(unit, shape, 9)
+    want = []
+    for r in range(4):
+        want.append(boosting._by_level(plain, {0: on}, r, 1)[0])
+        plain.unit = boosting._advanced(plain.unit, want[-1])
+    summed = []
+    bincount = np.bincount
+    monkeypatch.setattr(np, "bincount", lambda a, *rest, **more: summed.append(len(a)) or bincount(a, *rest, **more))
+    alone = boosting._Alone(unit, shape, 9)
+    got = [tree for _, tree, _ in alone.rounds(on, 0, boosting._by_level, none, on, True)]
+    assert len(got) == 4 and all(np.array_equal(a[k], b[k]) for a, b in zip(got, want, strict=True) for k in ("feature", "goes", "left", "value", "gain"))
+    assert np.array_equal(alone.unit.f, plain.unit.f)
+    # Gradients and counts of the drawn rows once for the root and at most half of them for each level below, in 4 of 10 features.
+    drawn = sum(int(boosting._drawn_rows(unit, shape, 9, r).sum()) for r in range(4))
+    assert sum(summed) <= 2 * 4 * drawn * (1 + (depth - 1) / 2)
+
+
+def test_losses_alone_take_fewer_jobs(spark, monkeypatch):
+    x, y = data(300)
+    rows = frame(spark, x, y, fold=[i % 3 for i in range(300)])
+    tasks = [Task(Boosting(trees, 0.2, 2, rows=0.8), fold=f) for trees in (5, 40) for f in range(3)]
+    jobs, rounds = [], boosting._Run.rounds
+    monkeypatch.setattr(boosting._Run, "rounds", lambda self, *a: jobs.append(1) or rounds(self, *a))
+    lean = boosting.fit(rows, tasks, "y", fold=F.col("fold"), keep_trees=False)
+    assert len(jobs) == 1
+    whole = boosting.fit(rows, tasks, "y", fold=F.col("fold"))
+    assert len(jobs) == 4 and [m.losses for m in lean] == [m.losses for m in whole] and [len(m.losses) for m in lean] == [5] * 3 + [40] * 3
