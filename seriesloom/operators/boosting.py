@@ -37,6 +37,8 @@ BINS = 64
 #: Rows of a block, elements (models x rows) and models of a chunk: bounds of what one task holds at a time.
 BLOCK_ROWS = 1 << 16
 CHUNK_CELLS, CHUNK_MODELS = 1 << 15, 256
+#: Models of a chunk even of the largest blocks, as far as there are so many: they share the block's features.
+LEAST_MODELS = 4
 #: Cells of the histograms whose splits are weighed at a time, few enough to stay in a core's cache.
 WEIGHED_CELLS = 1 << 15
 #: Histograms up to this many bytes are summed on the driver; beyond it they are summed by key first.
@@ -802,7 +804,7 @@ def fit(
         if t.key in per_key:
             groups[t.key, t.config.depth, t.config.cols].append(i)
     for (k, *_), own in sorted(groups.items()):
-        size = int(max(1, min(CHUNK_MODELS, CHUNK_CELLS // max(1, int(per_key[k][1])))))
+        size = max(LEAST_MODELS, min(CHUNK_MODELS, CHUNK_CELLS // max(1, int(per_key[k][1]))))
         for at in range(0, len(own), size):
             chunks[len(chunks)] = own[at : at + size]
     most = 4.0 * max(bounds["high"] - bounds["low"], 1e-9)
